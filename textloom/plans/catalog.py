@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from textloom.plans import queries_text
+from textloom.plans import queries_features, queries_text, queries_vocab
 from textloom.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "queries_text"]
+__all__ = ["QUERIES", "SQL", "queries_features", "queries_text", "queries_vocab"]

@@ -79,8 +79,8 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         .when(F.col("kind") == "string", strip(F.try_variant_get("_json", "$", "string")))
         .when(F.col("kind").isin("text", "bad_object"), F.col("_line"))
     )
-    helpers = ["_line", "_shape", "_json", "_entries", "_named", "_strings"]
-    return typed.withColumn("text", F.nullif(text, F.lit(""))).drop(*helpers)
+    # A filter on generated columns stays above the generator, so it cannot pull copies of these steps into the scan.
+    return typed.select(*lines.columns, F.inline(F.array(F.struct("kind", F.nullif(text, F.lit("")).alias("text")))))
 
 
 def extract_text(lines: DataFrame, column: str = "value") -> DataFrame:
