@@ -75,7 +75,7 @@ def assemble(weights: DataFrame, term_ids: DataFrame, size: int) -> DataFrame:
     )
 
 
-def loglinear_fit(train: DataFrame, c: float = 4.0, max_iter: int = 1000) -> LogisticRegressionModel:
+def loglinear_fit(train: DataFrame, c: float = 4.0, max_iter: int = 1000, tol: float = 1e-4) -> LogisticRegressionModel:
     """Balanced multinomial logistic regression on ``(features, label)``.
 
     Balanced weights sum to the row count, so ``regParam = 1 / (c * rows)`` states the same objective.
@@ -89,6 +89,7 @@ def loglinear_fit(train: DataFrame, c: float = 4.0, max_iter: int = 1000) -> Log
         standardization=False,
         weightCol="weight",
         maxIter=max_iter,
+        tol=tol,
     )
     return model.fit(weighted)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ty
@@ -46,33 +48,32 @@ def alphabet_top(words: DataFrame, limit: int = 1000) -> DataFrame:
 
 
 def adjacent_pairs(state: DataFrame, units: Column) -> DataFrame:
-    """``(lhs, rhs, freq, first_seen)`` of neighbouring units; ``rhs`` is null for the last unit of a word.
+    """``(lhs, rhs, freq, first_seen)`` of neighbouring units.
 
-    ``state`` is ``(word_rank, freq, ...)``. The null rows make unit counts a sum over this small table.
+    ``state`` is ``(word_rank, freq, ...)``. The first unit of a word also stands right of a null and the last one
+    left of a null, so unit counts are sums over this small table.
     """
-    shifted = F.slice(units, 2, 2**30)
-    pairs = F.zip_with(units, shifted, lambda a, b: F.struct(a.alias("lhs"), b.alias("rhs")))
-    rows = state.select("word_rank", "freq", F.posexplode_outer(pairs).alias("pos", "pair")).where(F.col("pos").isNotNull())
-    return rows.groupBy("pair.lhs", "pair.rhs").agg(
+    edge = F.array(F.lit(None).cast("string"))
+    pairs = F.arrays_zip(F.concat(edge, units).alias("lhs"), F.concat(units, edge).alias("rhs"))
+    rows = state.select("word_rank", "freq", F.posexplode_outer(pairs).alias("pos", "pair"))
+    return rows.groupBy(F.col("pair.lhs").alias("lhs"), F.col("pair.rhs").alias("rhs")).agg(
         F.sum("freq").alias("freq"), F.min(F.col("word_rank") * F.lit(65536) + F.col("pos")).alias("first_seen")
     )
 
 
-def score_pairs(pairs: DataFrame, score: str) -> DataFrame:
-    """Adds ``lhs_freq``, ``rhs_freq`` and ``score`` (likelihood ratio or plain frequency)."""
-    unit_freq = pairs.groupBy(F.col("lhs").alias("unit")).agg(F.sum("freq").alias("unit_freq"))
-    left = unit_freq.select(F.col("unit").alias("lhs"), F.col("unit_freq").alias("lhs_freq"))
-    right = unit_freq.select(F.col("unit").alias("rhs"), F.col("unit_freq").alias("rhs_freq"))
-    joined = pairs.where(F.col("rhs").isNotNull()).join(left, "lhs").join(right, "rhs")
-    likelihood = F.col("freq").cast("double") / (F.col("lhs_freq") * F.col("rhs_freq"))
-    return joined.withColumn("score", likelihood if score == "likelihood" else F.col("freq").cast("double"))
+def score_pairs(pairs: DataFrame) -> DataFrame:
+    """Adds ``lhs_freq``, ``rhs_freq`` and the likelihood ``score``; as many rows as there are distinct pairs."""
+    left = F.sum("freq").over(Window.partitionBy("lhs"))
+    right = F.sum("freq").over(Window.partitionBy("rhs"))
+    counted = pairs.withColumn("lhs_freq", left).withColumn("rhs_freq", right)
+    likelihood = F.col("freq").cast("double") / (F.col("lhs_freq").cast("double") * F.col("rhs_freq"))
+    return counted.where("lhs is not null and rhs is not null").withColumn("score", likelihood)
 
 
 def pair_stats(words: DataFrame) -> DataFrame:
     """Frequency-weighted counts of adjacent unit pairs and of the two units, before any merge."""
-    state = words.select(F.col("first_seen").alias("word_rank"), "freq", "word")
-    shifted = state.withColumn("word_rank", F.lit(0).cast("long"))
-    pairs = score_pairs(adjacent_pairs(shifted, initial_units(F.col("word"))), "likelihood")
+    state = words.select(F.lit(0).cast("long").alias("word_rank"), "freq", "word")
+    pairs = score_pairs(adjacent_pairs(state, initial_units(F.col("word"))))
     return pairs.select("lhs", "rhs", "freq", "lhs_freq", "rhs_freq", "score")
 
 
@@ -98,6 +99,18 @@ def _independent(candidates: list, limit: int) -> list:
     return taken
 
 
+def _merge_array(merges: list[tuple[str, str]]) -> Column:
+    """Merges in order, as the marked text to find and the marked text to put; one literal for all of them."""
+    entries = [
+        {
+            "found": f"{OPEN}{lhs}{CLOSE}{OPEN}{rhs}{CLOSE}",
+            "put": f"{OPEN}{merged_token(lhs, rhs)}{CLOSE}",
+        }
+        for lhs, rhs in merges
+    ]
+    return F.from_json(F.lit(json.dumps(entries)), "array<struct<found:string,put:string>>")
+
+
 def train_merges(
     words: DataFrame,
     vocab_size: int,
@@ -106,7 +119,7 @@ def train_merges(
     min_frequency: int = 1,
     limit_alphabet: int | None = None,
     batch: int = 256,
-    checkpoint_every: int = 40,
+    checkpoint_every: int = 100,
 ) -> DataFrame:
     """Vocabulary ``(token, token_id)`` learned from ``(word, freq, first_seen)``.
 
@@ -132,26 +145,26 @@ def train_merges(
 
     letters = state.select(F.explode_outer(F.array_distinct(unit_array("units"))).alias("u")).where("u is not null").distinct()
     vocab = specials + [r.u for r in letters.orderBy("u").limit(max(vocab_size, 0)).collect()]
-    rounds = 0
+    pending: list[tuple[str, str]] = []
     while len(vocab) < vocab_size:
-        pairs = adjacent_pairs(state, unit_array("units"))
+        # Pending merges are one constant array, so every round runs the same compiled plan.
+        merged = F.aggregate(_merge_array(pending), F.col("units"), lambda u, m: F.replace(u, m["found"], m["put"]))
+        current = state.withColumn("units", merged) if pending else state
+        pairs = adjacent_pairs(current, unit_array("units"))
         if score == "likelihood":
-            ranked, width = score_pairs(pairs, score), 1
+            ranked, width = score_pairs(pairs), 1
         else:
-            frequent = (F.col("rhs").isNotNull()) & (F.col("freq") >= min_frequency)
-            ranked, width = pairs.where(frequent).withColumn("score", F.col("freq").cast("double")), batch
+            inner = F.col("lhs").isNotNull() & F.col("rhs").isNotNull() & (F.col("freq") >= min_frequency)
+            ranked, width = pairs.where(inner).withColumn("score", F.col("freq").cast("double")), batch
         best = ranked.orderBy(F.desc("score"), "first_seen").select("lhs", "rhs").limit(width).collect()
         chosen = _independent(best, vocab_size - len(vocab))
         if not chosen:
             break
-        for pair in chosen:
-            token = merged_token(pair.lhs, pair.rhs)
-            vocab.append(token)
-            found, put = f"{OPEN}{pair.lhs}{CLOSE}{OPEN}{pair.rhs}{CLOSE}", f"{OPEN}{token}{CLOSE}"
-            state = state.withColumn("units", F.replace("units", F.lit(found), F.lit(put)))
-        rounds += len(chosen)
-        if rounds >= checkpoint_every:
-            state, rounds = cut_lineage(state), 0
+        vocab += [merged_token(pair.lhs, pair.rhs) for pair in chosen]
+        pending += [(pair.lhs, pair.rhs) for pair in chosen]
+        if len(pending) >= checkpoint_every:
+            merged = F.aggregate(_merge_array(pending), F.col("units"), lambda u, m: F.replace(u, m["found"], m["put"]))
+            state, pending = cut_lineage(state.withColumn("units", merged)), []
     rows = [(token, i) for i, token in enumerate(vocab)]
     return spark.createDataFrame(rows, ty.StructType([ty.StructField("token", ty.StringType()), ty.StructField("token_id", ty.LongType())]))
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from textloom.plans import queries_features, queries_text, queries_vocab
+from textloom.plans import queries_features, queries_retrieval, queries_text, queries_translation, queries_vocab
 from textloom.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "queries_features", "queries_text", "queries_vocab"]
+__all__ = ["QUERIES", "SQL", "queries_features", "queries_retrieval", "queries_text", "queries_translation", "queries_vocab"]

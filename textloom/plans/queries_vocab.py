@@ -54,18 +54,18 @@ def pair_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("train_wordpiece")
 def train_wordpiece(spark: SparkSession, sf: str) -> DataFrame:
-    """Likelihood training on all documents: alphabet plus 30 merges."""
+    """Likelihood training on all documents: alphabet plus 15 merges."""
     words = document_words(spark, sf).persist()
-    size = len(C.SPECIALS_LIKELIHOOD) + vocabulary.alphabet(words).count() + 30
+    size = len(C.SPECIALS_LIKELIHOOD) + vocabulary.alphabet(words).count() + 15
     return vocabulary.train_wordpiece(words, size)
 
 
 @query("train_wordpiece_freq")
 def train_wordpiece_freq(spark: SparkSession, sf: str) -> DataFrame:
-    """Frequency training on all documents, 1,000 entries."""
+    """Frequency training on all documents, 400 entries."""
     text = T.pretokenize(T.normalize_text(F.col("text")))
     words = vocabulary.word_freq(I.documents(spark, sf), text)
-    return vocabulary.train_wordpiece_freq(words, 1000)
+    return vocabulary.train_wordpiece_freq(words, 400)
 
 
 _PASSAGE_WORDS = f"""{S.BASE_VOCAB}, {_DOC_WORDS}, ask AS (SELECT word FROM w)"""
@@ -180,11 +180,11 @@ hits AS (SELECT c, s, max(e) AS e FROM (SELECT c, s, unnest(range(s, least(lengt
   FROM (SELECT c, unnest(range(1, length(c) + 1)) AS s FROM chunks)) JOIN chosen ON token = substring(c, s, e - s + 1) GROUP BY c, s),
 jumps AS (SELECT c, s, coalesce(e, s) AS e, e IS NOT NULL AS hit FROM (SELECT c, unnest(range(1, length(c) + 1)) AS s FROM chunks)
   LEFT JOIN hits USING (c, s)),
-visits AS (SELECT c, CAST(1 AS BIGINT) AS at, CAST(NULL AS BOOLEAN) AS hit, CAST(0 AS BIGINT) AS s FROM chunks UNION ALL
-  SELECT v.c, j.e + 1, j.hit, j.s FROM visits v JOIN jumps j ON j.c = v.c AND j.s = v.at),
-runs AS (SELECT c, s, at, hit, sum(CASE WHEN hit OR before THEN 1 ELSE 0 END) OVER (PARTITION BY c ORDER BY s) AS run FROM (
-  SELECT c, s, at, hit, coalesce(lag(hit) OVER (PARTITION BY c ORDER BY s), TRUE) AS before FROM visits WHERE s > 0)),
-parts AS (SELECT c, run, bool_or(hit) AS hit, substring(c, min(s), max(at) - min(s)) AS part FROM runs GROUP BY c, run),
+visits AS (SELECT c, CAST(1 AS BIGINT) AS nxt, CAST(NULL AS BOOLEAN) AS hit, CAST(0 AS BIGINT) AS s FROM chunks UNION ALL
+  SELECT v.c, j.e + 1, j.hit, j.s FROM visits v JOIN jumps j ON j.c = v.c AND j.s = v.nxt),
+runs AS (SELECT c, s, nxt, hit, sum(CASE WHEN hit OR before THEN 1 ELSE 0 END) OVER (PARTITION BY c ORDER BY s) AS run FROM (
+  SELECT c, s, nxt, hit, coalesce(lag(hit) OVER (PARTITION BY c ORDER BY s), TRUE) AS before FROM visits WHERE s > 0)),
+parts AS (SELECT c, run, bool_or(hit) AS hit, substring(c, min(s), max(nxt) - min(s)) AS part FROM runs GROUP BY c, run),
 subs AS (SELECT c, run, hit, list_value(part) AS ws FROM parts WHERE hit
   UNION ALL SELECT c, run, hit, {S.bert_tokens('part')} FROM parts WHERE NOT hit),
 subwords AS (SELECT c, run, hit, i, ws[i] AS word FROM (SELECT c, run, hit, ws, unnest(range(1, len(ws) + 1)) AS i FROM subs)),
@@ -252,8 +252,8 @@ def token_length_stats(spark: SparkSession, sf: str) -> DataFrame:
     term_words AS (SELECT term, unnest(ws) AS word FROM terms), words0 AS (SELECT DISTINCT word FROM term_words),
     {S.walk('words0', 'base', 'b_')},
     before AS (SELECT term, CAST(sum(len(tokens)) AS BIGINT) AS base_tokens FROM term_words JOIN b_enc USING (word) GROUP BY term),
-    both AS (SELECT term, base_tokens, CAST(len(tokens) AS BIGINT) AS extended_tokens FROM before JOIN chunk_tokens ON c = term)
-    SELECT term, base_tokens, extended_tokens, round((base_tokens - extended_tokens) / base_tokens * 100, 6) AS saved_percent FROM both
+    pair AS (SELECT term, base_tokens, CAST(len(tokens) AS BIGINT) AS extended_tokens FROM before JOIN chunk_tokens ON c = term)
+    SELECT term, base_tokens, extended_tokens, round((base_tokens - extended_tokens) / base_tokens * 100, 6) AS saved_percent FROM pair
     WHERE base_tokens > extended_tokens AND (base_tokens - extended_tokens) / base_tokens * 100 >= 25""",
 )
 def term_gains(spark: SparkSession, sf: str) -> DataFrame:
