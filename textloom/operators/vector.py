@@ -134,10 +134,16 @@ def hybrid_scores(
 
     Fused = alpha * kw / (max kw + 1e-9) + (1 - alpha) * (cos + 1) / 2. A rule without keyword hits scores by its
     cosine alone, so it can only be among the best k if it is among the k nearest rules; pairs with hits are all
-    kept. No other pair is formed, and the result is exact. ``alpha`` is a number or ``(query_id, alpha)``.
+    kept. No other pair is formed, and the result is exact. ``alpha`` is a number or ``(query_id, alpha)``. With
+    alpha 1 the cosine does not count and rules without hits rank by id: a query with fewer than k hits finds k such
+    rules among the 2k highest ids.
     """
-    near = cosine_topk(query_vecs, rule_vecs, k, high_id_first=True)
-    near = near.select("query_id", F.col("item_id").alias("rule_id"))
+    if isinstance(alpha, float) and alpha == 1.0:
+        last = rule_vecs.select("id").orderBy(F.desc("id")).limit(2 * k).agg(F.collect_list("id")).scalar()
+        near = query_vecs.select(F.col("id").alias("query_id"), F.explode(last).alias("rule_id"))
+    else:
+        near = cosine_topk(query_vecs, rule_vecs, k, high_id_first=True)
+        near = near.select("query_id", F.col("item_id").alias("rule_id"))
     candidates = near.join(kw, ["query_id", "rule_id"], "full_outer").withColumn("kw", F.coalesce("kw", F.lit(0)))
     left = small_side(query_vecs.select(F.col("id").alias("query_id"), F.col("vec").alias("qv")))
     right = small_side(rule_vecs.select(F.col("id").alias("rule_id"), F.col("vec").alias("rv")))

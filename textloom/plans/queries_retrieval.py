@@ -204,9 +204,9 @@ _COSINE = f"""{S.VECS}, cos AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id
   FROM vecs q JOIN vecs i ON q.vec_id % 10 = 0 AND i.vec_id % 10 <> 0)"""
 
 
-@query("cosine_scores", f"WITH {_COSINE} SELECT query_id, item_id, round(score, 6) AS score FROM cos WHERE score >= 0.5")
+@query("cosine_scores", f"WITH {_COSINE} SELECT query_id, item_id, round(score, 6) AS score FROM cos WHERE score >= 0.25")
 def cosine_scores(spark: SparkSession, sf: str) -> DataFrame:
-    found = vector.cosine_scores(*vector_sides(spark, sf), min_score=0.5)
+    found = vector.cosine_scores(*vector_sides(spark, sf), min_score=0.25)
     return found.withColumn("score", F.round("score", 6))
 
 
@@ -263,13 +263,18 @@ MISSING_SQL = f"""{S.DICTIONARY}, {S.WORDS},
 missing AS (SELECT word FROM words WHERE word NOT IN (SELECT word FROM dict)),
 pool AS (SELECT word AS match, entry_rank FROM dict WHERE length(word) >= 3)"""
 AFFIX_SQL = """prefix AS (SELECT word, match FROM (SELECT word, match, row_number() OVER (PARTITION BY word ORDER BY length(match) DESC) AS r
-  FROM (SELECT word, substring(word, 1, n) AS match FROM (SELECT word, unnest(range(1, length(word) + 1)) AS n FROM asked))
+  FROM (SELECT word, substring(word, 1, n) AS match FROM (SELECT word, unnest(range(1, length(word) + 1)) AS n FROM asked_words))
   JOIN pool USING (match)) WHERE r = 1),
 suffix AS (SELECT word, match FROM (SELECT t.word, t.match, row_number() OVER (PARTITION BY t.word ORDER BY length(t.match) DESC) AS r
-  FROM (SELECT word, right(word, n) AS match FROM (SELECT word, unnest(range(1, length(word) + 1)) AS n FROM asked)) t
+  FROM (SELECT word, right(word, n) AS match FROM (SELECT word, unnest(range(1, length(word) + 1)) AS n FROM asked_words)) t
   JOIN pool USING (match) LEFT JOIN prefix p ON p.word = t.word WHERE p.match IS NULL OR p.match <> t.match) WHERE r = 1)"""
-FUZZY_SQL = """ratio AS (SELECT word, match, entry_rank,
-    100 * (1 - CAST(levenshtein(word, match) AS DOUBLE) / greatest(length(word), length(match))) AS score FROM asked_fuzzy CROSS JOIN pool),
+def _one_byte(x: str) -> str:
+    """The checking engine counts edits in bytes; lowered words leave the capitals free to stand for other letters."""
+    return f"translate({x}, 'áéíóúñüçèêàâîôûäößëï', 'ABCDEFGHIJKLMNOPQRSTU')"
+
+
+FUZZY_SQL = f"""ratio AS (SELECT word, match, entry_rank,
+    100 * (1 - CAST(levenshtein({_one_byte("word")}, {_one_byte("match")}) AS DOUBLE) / greatest(length(word), length(match))) AS score FROM asked_fuzzy CROSS JOIN pool),
 fuzzy AS (SELECT word, match, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY round(score, 9) DESC, entry_rank) AS rank
   FROM ratio) WHERE rank <= 2)"""
 
@@ -278,12 +283,12 @@ def missing_words(spark: SparkSession, sf: str, dictionary: DataFrame) -> DataFr
     return I.passage_words(spark, sf).join(dictionary.select("word"), "word", "left_anti")
 
 
-@query("dict_prefix", f"WITH {MISSING_SQL}, asked AS (SELECT word FROM words), {AFFIX_SQL} SELECT word, match, CAST(100 AS DOUBLE) AS score FROM prefix")
+@query("dict_prefix", f"WITH {MISSING_SQL}, asked_words AS (SELECT word FROM words), {AFFIX_SQL} SELECT word, match, CAST(100 AS DOUBLE) AS score FROM prefix")
 def dict_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return lookup.dict_prefix(I.passage_words(spark, sf), lookup.choices(I.dictionary(spark, sf), 3))
 
 
-@query("dict_suffix", f"WITH {MISSING_SQL}, asked AS (SELECT word FROM words), {AFFIX_SQL} SELECT word, match, CAST(100 AS DOUBLE) AS score FROM suffix")
+@query("dict_suffix", f"WITH {MISSING_SQL}, asked_words AS (SELECT word FROM words), {AFFIX_SQL} SELECT word, match, CAST(100 AS DOUBLE) AS score FROM suffix")
 def dict_suffix(spark: SparkSession, sf: str) -> DataFrame:
     words, pool = I.passage_words(spark, sf), lookup.choices(I.dictionary(spark, sf), 3)
     return lookup.dict_suffix(words, pool, lookup.dict_prefix(words, pool))
@@ -299,7 +304,7 @@ def dict_fuzzy_topk(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
-LOOKUP_SQL = f"""asked AS (SELECT word FROM missing), {AFFIX_SQL}, asked_fuzzy AS (SELECT word FROM missing), {FUZZY_SQL},
+LOOKUP_SQL = f"""asked_words AS (SELECT word FROM missing), {AFFIX_SQL}, asked_fuzzy AS (SELECT word FROM missing), {FUZZY_SQL},
 listed AS (SELECT word, match, 1 AS n, CAST(100 AS DOUBLE) AS score FROM prefix UNION ALL SELECT word, match, 2, 100 FROM suffix),
 staged AS (SELECT * FROM listed UNION ALL SELECT word, match, 2 + rank, score FROM fuzzy f
   WHERE NOT EXISTS (SELECT 1 FROM listed l WHERE l.word = f.word AND l.match = f.match)),
