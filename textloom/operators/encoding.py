@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.session import small_side
+from textloom.session import small_side, spread
 
 UNK = "[UNK]"
 
@@ -51,7 +51,7 @@ def _walk(key: str, on_gap: str, continued: bool) -> Column:
 
 def encode_words(words: DataFrame, vocab: DataFrame, max_chars: int | None = 100) -> DataFrame:
     """``(word, tokens)`` for distinct words; a word that cannot be covered, or is too long, becomes ``[UNK]``."""
-    distinct = words.select("word").where(F.col("word") != "").distinct()
+    distinct = spread(words.select("word").where(F.col("word") != "").distinct(), "word")
     short = distinct if max_chars is None else distinct.where(F.length("word") <= max_chars)
     found = distinct.join(_longest_matches(short, "word", vocab, continued=True), "word", "left")
     walked = found.withColumn("pieces", F.when(F.col("ends").isNotNull(), _walk("word", "fail", continued=True)))
@@ -90,7 +90,7 @@ def _split_added(chunks: DataFrame, added: DataFrame) -> DataFrame:
 
 def encode_chunks(chunks: DataFrame, vocab: DataFrame, added: DataFrame | None = None, max_chars: int | None = 100) -> DataFrame:
     """``(chunk, tokens)`` of distinct white-space chunks; added tokens match first, also inside words."""
-    distinct = chunks.select("chunk").where(F.col("chunk") != "").distinct()
+    distinct = spread(chunks.select("chunk").where(F.col("chunk") != "").distinct(), "chunk")
     if added is None:
         pieces = distinct.select("chunk", F.lit(0).alias("pos"), F.col("chunk").alias("piece"), F.lit(False).alias("hit"))
     else:
@@ -204,7 +204,7 @@ def segment(texts: DataFrame, id_col: str, text: Column, lexicon: DataFrame, sea
     blocks = texts.select(
         F.col(id_col), F.posexplode_outer(T.split_blank(T.clean_unspaced(text), any_whitespace=True)).alias("pos", "block")
     ).where(F.col("block").isNotNull())
-    distinct = blocks.select("block").distinct()
+    distinct = spread(blocks.select("block").distinct(), "block")
     found = distinct.join(_longest_matches(distinct, "block", lexicon, continued=False), "block", "left")
     single = F.transform(T.characters(F.col("block")), lambda c: F.struct(c.alias("piece"), F.lit(False).alias("hit")))
     cut = F.when(F.col("ends").isNull(), single).otherwise(_walk("block", "char", continued=False))

@@ -6,17 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.lexical import TIE_DIGITS, top_k
-from textloom.session import salted_join
+from textloom.session import salted_join, spread
 
 FULL_SCORE = 100.0
 MAX_DISTANCE = 2
 """Edit distance up to which candidates come from shared deletion variants."""
 
 BLOCK_WORDS = 20_000
+SCAN_ROWS = 2_000
+"""Pool entries compared at a time; entries of similar length share a matrix."""
 
 
 def choices(dictionary: DataFrame, min_chars: int = 1, fold_case: bool = False) -> DataFrame:
@@ -75,31 +78,35 @@ def _variants(df: DataFrame, column: str) -> DataFrame:
 
 def _near(words: DataFrame, pool: DataFrame) -> DataFrame:
     """All pool entries within edit distance ``MAX_DISTANCE``: such words share a deletion variant."""
-    hits = salted_join(_variants(pool, "match"), _variants(words, "word"), ["variant"], "match")
+    hits = salted_join(_variants(spread(pool, "match"), "match"), _variants(words, "word"), ["variant"], "match")
     pairs = hits.select("word", "match", "entry_rank").distinct()
     close = pairs.where(F.levenshtein("word", "match") <= MAX_DISTANCE)
     return close.withColumn("score", edit_similarity(F.col("word"), F.col("match")))
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Words as a zero-padded matrix of code points, and their lengths."""
-    sizes = np.array([len(w) for w in words])
-    grid = np.zeros((len(words), max(int(sizes.max(initial=0)), 1)), dtype=np.int32)
-    for row, word in enumerate(words):
-        grid[row, : len(word)] = [ord(c) for c in word]
+    """Words as columns of a zero-padded matrix of code points, and their lengths."""
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    grid = np.zeros((max(int(sizes.max(initial=0)), 1), len(words)), dtype=np.int32)
+    for column, word in enumerate(words):
+        grid[: len(word), column] = [ord(c) for c in word]
     return grid, sizes
 
 
 def _distances(word: str, grid: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Edit distance of one word to every row of the grid."""
-    steps = np.arange(grid.shape[1] + 1)
-    row = np.broadcast_to(steps, (grid.shape[0], steps.size)).copy()
+    """Edit distance of one word to every column of the grid, all columns at a time."""
+    longest, count = grid.shape
+    above = np.broadcast_to(np.arange(longest + 1, dtype=np.int16)[:, None], (longest + 1, count)).copy()
+    row = np.empty_like(above)
     for i, char in enumerate(word, 1):
-        diagonal = row[:, :-1] + (grid != ord(char))
-        first = np.full((grid.shape[0], 1), i)
-        new = np.concatenate([first, np.minimum(diagonal, row[:, 1:] + 1)], axis=1)
-        row = np.minimum.accumulate(new - steps, axis=1) + steps
-    return row[np.arange(grid.shape[0]), sizes]
+        differs = (grid != ord(char)).astype(np.int16)
+        row[0] = i
+        for j in range(longest):
+            np.minimum(above[j + 1], row[j], out=row[j + 1])
+            row[j + 1] += 1
+            np.minimum(row[j + 1], above[j] + differs[j], out=row[j + 1])
+        above, row = row, above
+    return above[sizes, np.arange(count)]
 
 
 def _scan(words: DataFrame, pool: DataFrame, k: int) -> DataFrame:
@@ -114,19 +121,20 @@ def _scan(words: DataFrame, pool: DataFrame, k: int) -> DataFrame:
 
         def scan(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                matches, ranks = batch.column("match"), batch.column("entry_rank").to_numpy()
-                if not len(matches):
-                    continue
-                grid, sizes = _codes(matches.to_pylist())
-                for word in block.value:
-                    score = 100 * (1 - _distances(word, grid, sizes) / np.maximum(sizes, len(word)))
-                    best = np.lexsort((ranks, -np.round(score, TIE_DIGITS)))[:k]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([word] * len(best)), matches.take(pa.array(best)), pa.array(ranks[best]), pa.array(score[best])],
-                        ["word", "match", "entry_rank", "score"],
-                    )
-
-        found = found.unionByName(pool.select("match", "entry_rank").mapInArrow(scan, schema))
+                by_length = batch.take(pc.sort_indices(pc.utf8_length(batch.column("match"))))
+                for start in range(0, by_length.num_rows, SCAN_ROWS):
+                    part = by_length.slice(start, SCAN_ROWS)
+                    matches, ranks = part.column("match"), part.column("entry_rank").to_numpy()
+                    grid, sizes = _codes(matches.to_pylist())
+                    for word in block.value:
+                        score = 100 * (1 - _distances(word, grid, sizes) / np.maximum(sizes, len(word)))
+                        best = np.lexsort((ranks, -np.round(score, TIE_DIGITS)))[:k]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([word] * len(best)), matches.take(pa.array(best)), pa.array(ranks[best]), pa.array(score[best])],
+                            ["word", "match", "entry_rank", "score"],
+                        )
+
+        found = found.unionByName(spread(pool.select("match", "entry_rank"), "match").mapInArrow(scan, schema))
     return found
 
 
@@ -162,8 +170,8 @@ def dict_lookup(
     exact = asked.join(dictionary.select("word"), "word", "left_semi")
     missing = asked.join(dictionary.select("word"), "word", "left_anti").persist()
     pool = choices(dictionary, min_chars)
-    prefix = dict_prefix(missing, pool)
-    suffix = dict_suffix(missing, pool, prefix)
+    prefix = dict_prefix(missing, pool).persist()
+    suffix = dict_suffix(missing, pool, prefix).persist()
     listed = prefix.withColumn("n", F.lit(1)).unionByName(suffix.withColumn("n", F.lit(2)))
     full = listed.groupBy("word").agg(F.count("*").alias("hits")).where(F.col("hits") >= per_word)
     fuzzy = dict_fuzzy_topk(missing.join(full, "word", "left_anti"), pool, per_word)

@@ -10,7 +10,7 @@ from pyspark.sql import types as ty
 
 from textloom.functions import constants as C
 from textloom.functions import text as T
-from textloom.session import cut_lineage
+from textloom.session import cut_lineage, spread
 
 POSITION_BITS = 24
 """Words are ordered by first use: ``doc_id * 2**24 + position``. Arithmetic overflow raises, it never wraps."""
@@ -137,7 +137,7 @@ def train_merges(
         units = F.filter(units, lambda c: F.array_contains("_kept", c))
     marked = F.transform(units, lambda c, i: F.concat(F.lit(OPEN), F.when(i > 0, "##").otherwise(""), c, F.lit(CLOSE)))
     ordered = words.where(F.col("word") != "").orderBy("first_seen").withColumn("word_rank", F.monotonically_increasing_id())
-    state = cut_lineage(ordered.select("word_rank", "freq", F.array_join(marked, "").alias("units")))
+    state = cut_lineage(spread(ordered.select("word_rank", "freq", F.array_join(marked, "").alias("units")), "word_rank"))
 
     def unit_array(column: str) -> Column:
         inner = F.substring(F.col(column), F.lit(2), F.length(column) - 2)

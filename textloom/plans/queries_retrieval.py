@@ -91,7 +91,7 @@ def lookup_word(spark: SparkSession, sf: str) -> DataFrame:
     """Every passage word, asked with blanks and capitals."""
     pairs = I.parallel_pairs(spark, sf)
     index = lexical.postings(pairs, "pair_id", T.tokenize_ws(F.col("src")))
-    asked = I.passage_words(spark, sf).select(F.concat(F.lit(" "), F.initcap("word"), F.lit("\t")).alias("word"))
+    asked = I.passage_words(spark, sf).select(F.concat(F.lit(" "), F.translate("word", "abcdefgh", "ABCDEFGH"), F.lit("\t")).alias("word"))
     found = lexical.lookup_word(asked, index, pairs)
     return found.select(T.strip(F.lower("word")).alias("word"), "pair_id", "tf", "src")
 

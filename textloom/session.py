@@ -42,6 +42,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-distribute a compact table ahead of work that is heavy per row.
+
+    Adaptive execution packs small shuffle outputs into few tasks; an explicit number of partitions stays as given.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """True when ``df`` is measured to be small; reads at most ``max_rows + 1`` rows."""
     row_json_bytes = F.octet_length(F.to_json(F.struct("*")))
