@@ -42,7 +42,8 @@ def tfidf(counts: DataFrame, vocabulary: DataFrame, n_docs: Column) -> DataFrame
     ``vocabulary`` has at most ``max_features`` rows; it is broadcast once measured to fit.
     """
     idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1
-    weighted = vocabulary.select("term", idf.alias("idf"))
+    # Measured and then joined; at most max_features rows.
+    weighted = vocabulary.select("term", idf.alias("idf")).persist()
     raw = counts.join(small_side(weighted), "term").select("doc_id", "term", ((F.log("tf") + 1) * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
     return raw.select("doc_id", "term", (F.col("w") / norm).alias("weight"))

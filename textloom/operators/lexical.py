@@ -79,16 +79,17 @@ def bm25_stats(index: DataFrame, docs: DataFrame, epsilon: float = 0.25) -> Data
     terms = terms.withColumn("n_docs", n_docs)
     idf = F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     terms = terms.withColumn("raw_idf", idf)
-    corpus = terms.agg(
-        (F.sum("total") / F.first("n_docs")).alias("avg_len"), F.avg("raw_idf").alias("mean_idf")
-    )
-    floor = F.lit(epsilon) * corpus.select("mean_idf").scalar()
+    # Read twice, for the corpus means and for the terms themselves; one row per distinct term.
+    terms = terms.persist()
+    means = F.struct((F.sum("total") / F.first("n_docs")).alias("avg_len"), F.avg("raw_idf").alias("mean_idf"))
+    corpus = terms.agg(means.alias("means")).scalar()
+    floor = F.lit(epsilon) * corpus["mean_idf"]
     return terms.select(
         "token",
         "df",
         F.when(F.col("raw_idf") < 0, floor).otherwise(F.col("raw_idf")).alias("idf"),
         "n_docs",
-        corpus.select("avg_len").scalar().alias("avg_len"),
+        corpus["avg_len"].alias("avg_len"),
     )
 
 
@@ -105,6 +106,8 @@ def bm25_scores(
     Only postings of query tokens leave the scan; a hot token is spread over its documents.
     """
     weighted = stats.join(small_side(terms), "token").select("token", "query_id", "qtf", "idf", "avg_len")
+    # Measured and then joined; as many rows as the queries have distinct tokens.
+    weighted = weighted.persist()
     hits = salted_join(index, weighted, ["token"], "pair_id")
     length_norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avg_len"))
     part = F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + length_norm)

@@ -119,7 +119,7 @@ def train_merges(
     min_frequency: int = 1,
     limit_alphabet: int | None = None,
     batch: int = 256,
-    checkpoint_every: int = 100,
+    checkpoint_every: int = 25,
 ) -> DataFrame:
     """Vocabulary ``(token, token_id)`` learned from ``(word, freq, first_seen)``.
 
@@ -145,26 +145,31 @@ def train_merges(
 
     letters = state.select(F.explode_outer(F.array_distinct(unit_array("units"))).alias("u")).where("u is not null").distinct()
     vocab = specials + [r.u for r in letters.orderBy("u").limit(max(vocab_size, 0)).collect()]
-    pending: list[tuple[str, str]] = []
+    rounds, older = 0, None
     while len(vocab) < vocab_size:
-        # Pending merges are one constant array, so every round runs the same compiled plan.
-        merged = F.aggregate(_merge_array(pending), F.col("units"), lambda u, m: F.replace(u, m["found"], m["put"]))
-        current = state.withColumn("units", merged) if pending else state
-        pairs = adjacent_pairs(current, unit_array("units"))
+        pairs = adjacent_pairs(state, unit_array("units"))
         if score == "likelihood":
             ranked, width = score_pairs(pairs), 1
         else:
             inner = F.col("lhs").isNotNull() & F.col("rhs").isNotNull() & (F.col("freq") >= min_frequency)
             ranked, width = pairs.where(inner).withColumn("score", F.col("freq").cast("double")), batch
         best = ranked.orderBy(F.desc("score"), "first_seen").select("lhs", "rhs").limit(width).collect()
+        if older is not None:
+            older.unpersist()
         chosen = _independent(best, vocab_size - len(vocab))
         if not chosen:
             break
         vocab += [merged_token(pair.lhs, pair.rhs) for pair in chosen]
-        pending += [(pair.lhs, pair.rhs) for pair in chosen]
-        if len(pending) >= checkpoint_every:
-            merged = F.aggregate(_merge_array(pending), F.col("units"), lambda u, m: F.replace(u, m["found"], m["put"]))
-            state, pending = cut_lineage(state.withColumn("units", merged)), []
+        # The merges of a round are one constant array, so every round runs the same compiled plan on the kept state.
+        merges = _merge_array([(pair.lhs, pair.rhs) for pair in chosen])
+        merged = F.aggregate(merges, F.col("units"), lambda u, m: F.replace(u, m["found"], m["put"]))
+        rounds, older = rounds + 1, state
+        state = state.withColumn("units", merged).persist()
+        if rounds % checkpoint_every == 0:
+            kept = cut_lineage(state)
+            state.unpersist()
+            state = kept
+    state.unpersist()
     rows = [(token, i) for i, token in enumerate(vocab)]
     return spark.createDataFrame(rows, ty.StructType([ty.StructField("token", ty.StringType()), ty.StructField("token_id", ty.LongType())]))
 

@@ -135,7 +135,8 @@ def _numbered(tokens: DataFrame) -> DataFrame:
     specials = spark.createDataFrame([(t, i) for i, t in enumerate(C.SPECIALS_LIKELIHOOD)], vocabulary.VOCAB_SCHEMA)
     first = len(C.SPECIALS_LIKELIHOOD) - 1
     numbered = vocabulary.number_rows(tokens, ["token"], "n").select("token", (F.col("n") + first).alias("token_id"))
-    return specials.unionByName(numbered)
+    # At most the vocabulary size; read by several steps of a query.
+    return specials.unionByName(numbered).persist()
 
 
 def base_vocab(spark: SparkSession, sf: str, size: int = 30000) -> DataFrame:
@@ -154,7 +155,7 @@ def trained_vocab(spark: SparkSession, sf: str, size: int = 30000) -> DataFrame:
 def extended_vocab(spark: SparkSession, sf: str, n: int = 2000) -> DataFrame:
     """``(token, token_id, added)``."""
     base = base_vocab(spark, sf)
-    return vocabulary.extend_vocab(base, vocabulary.select_new_tokens(trained_vocab(spark, sf), base, n))
+    return vocabulary.extend_vocab(base, vocabulary.select_new_tokens(trained_vocab(spark, sf), base, n)).persist()
 
 
 def multilabel(spark: SparkSession, sf: str) -> DataFrame:

@@ -196,15 +196,15 @@ chunk_tokens AS (SELECT c, flatten(list(CASE WHEN hit THEN [word] ELSE tokens EN
 
 @query("encode_extended", f"WITH RECURSIVE {_CHUNK_TOKENS} SELECT c AS chunk, array_to_string(tokens, '|') AS tokens FROM chunk_tokens")
 def encode_extended(spark: SparkSession, sf: str) -> DataFrame:
-    added = I.extended_vocab(spark, sf).where("added").persist()
+    added = I.extended_vocab(spark, sf).where("added")
     chunks = encoding.encode_chunks(_uses(spark, sf), I.base_vocab(spark, sf), added)
     return chunks.select("chunk", bars("tokens").alias("tokens"))
 
 
 def compared(spark: SparkSession, sf: str) -> DataFrame:
     """Every document under the base and the extended vocabulary."""
-    uses, base = _uses(spark, sf), I.base_vocab(spark, sf).persist()
-    added = I.extended_vocab(spark, sf).where("added").persist()
+    uses, base = _uses(spark, sf), I.base_vocab(spark, sf)
+    added = I.extended_vocab(spark, sf).where("added")
     before = encoding.token_lengths(uses, encoding.encode_chunks(uses, base))
     after = encoding.token_lengths(uses, encoding.encode_chunks(uses, base, added))
     return encoding.compare_tokenizers(before, after)
@@ -258,8 +258,8 @@ def token_length_stats(spark: SparkSession, sf: str) -> DataFrame:
 )
 def term_gains(spark: SparkSession, sf: str) -> DataFrame:
     """Every distinct chunk of the documents as a term."""
-    uses, base = _uses(spark, sf), I.base_vocab(spark, sf).persist()
-    added = I.extended_vocab(spark, sf).where("added").persist()
+    uses, base = _uses(spark, sf), I.base_vocab(spark, sf)
+    added = I.extended_vocab(spark, sf).where("added")
     sized = [
         encoding.encode_chunks(uses, base, extra).select(F.col("chunk").alias("doc_id"), F.size("tokens").cast("long").alias("n_tokens"))
         for extra in (None, added)
