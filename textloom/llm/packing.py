@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -160,6 +160,21 @@ def pack_sizes(sizes: list[int], capacity: int) -> list[list[int]]:
     return LocalSearch(sizes, best_fit(sizes, capacity), capacity).run()
 
 
+def _group_packer(capacity: int, number: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["length", "_at"], ascending=[False, True])
+        at, sizes = frame["_at"].tolist(), frame["length"].tolist()
+        out = []
+        for b in pack_sizes(sizes, capacity):
+            offset, full = 0, last or sum(sizes[i] for i in b) >= REOPEN * capacity
+            for i in b:
+                out.append((at[i], sizes[i], f"{number}-{at[b[0]]}", offset, full))
+                offset += sizes[i]
+        return pd.DataFrame(out, columns=["_at", "length", "bin", "offset", "full"])
+
+    return run
+
+
 def pack(pieces: DataFrame, capacity: int = 4096, group: int = GROUP) -> DataFrame:
     """The rows of ``pieces`` (any columns, with ``length`` up to ``capacity``) with ``sequence_id`` and ``offset``.
 
@@ -177,20 +192,9 @@ def pack(pieces: DataFrame, capacity: int = 4096, group: int = GROUP) -> DataFra
         groups = -(-count // group)
         last = groups == 1
 
-        def run(frame: pd.DataFrame, number: int = number, last: bool = last) -> pd.DataFrame:
-            frame = frame.sort_values(["length", "_at"], ascending=[False, True])
-            at, sizes = frame["_at"].tolist(), frame["length"].tolist()
-            out = []
-            for b in pack_sizes(sizes, capacity):
-                offset, full = 0, last or sum(sizes[i] for i in b) >= REOPEN * capacity
-                for i in b:
-                    out.append((at[i], sizes[i], f"{number}-{at[b[0]]}", offset, full))
-                    offset += sizes[i]
-            return pd.DataFrame(out, columns=["_at", "length", "bin", "offset", "full"])
-
         dealt = rest.withColumn("_group", F.pmod(F.xxhash64("_at", F.lit(number)), F.lit(groups)))
         packed = written(
-            dealt.groupBy("_group").applyInPandas(run, "_at bigint, length bigint, bin string, offset bigint, full boolean"), "packed"
+            dealt.groupBy("_group").applyInPandas(_group_packer(capacity, number, last), "_at bigint, length bigint, bin string, offset bigint, full boolean"), "packed"
         )
         parts.append(packed.where("full").select("_at", "bin", "offset"))
         rest = packed.where("not full").select("_at", "length")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, licenses, nearest, packing, quality, secret_scan, sharding, token_files
+from textloom.llm import bpe, exact_dedup, licenses, near_dedup, nearest, packing, quality, secret_scan, sharding, token_files
 from textloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 20 == 0)
+
+
+@_register
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_documents(spark, sf_dir), width=3, percent=85)
