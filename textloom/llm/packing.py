@@ -105,6 +105,19 @@ class LocalSearch:
     def _take(self, size: int, skip: int | None = None) -> int:
         return next(i for i in self.of_size[size] if i != skip)
 
+    def _home(self, out: int, taken: list[int], b: int) -> int | None:
+        """The donor that gets the document of size ``out``: it fits there and the sum of squared fills grows."""
+        donors = {self.bin_of[i]: 0 for i in taken}
+        for i in taken:
+            donors[self.bin_of[i]] += self.sizes[i]
+        gained = sum(donors.values()) - out
+        for home in sorted(donors, key=lambda n: -self.fill[n]):
+            after = {n: self.fill[n] - lost + out * (n == home) for n, lost in donors.items()}
+            growth = (self.fill[b] + gained) ** 2 - self.fill[b] ** 2 + sum(f**2 - self.fill[n] ** 2 for n, f in after.items())
+            if after[home] <= self.capacity and growth > 0:
+                return home
+        return None
+
     def _step(self, b: int) -> bool:
         gap = self.capacity - self.fill[b]
         best, move = 0, None
@@ -133,7 +146,9 @@ class LocalSearch:
         taken = [self._take(first)]
         if second:
             taken.append(self._take(second, taken[0]))
-        home = min((self.bin_of[i] for i in taken), key=lambda n: -self.fill[n])
+        home = self._home(out, taken, b)
+        if home is None:
+            return False
         for item in taken:
             self._withdraw(item)
             self._put(item, b)
