@@ -60,8 +60,10 @@ def tile(queries: np.ndarray, candidates: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def scores(query: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Inner products in double precision, summed from the first component to the last."""
-    products = query.astype(np.float64)[:, None] * np.ascontiguousarray(candidates.T).astype(np.float64)
-    return np.add.reduce(products, axis=0)
+    total = np.zeros(len(candidates))
+    for x, column in zip(query.astype(np.float64), candidates.T.astype(np.float64)):
+        total += x * column
+    return total
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -16,37 +18,34 @@ DIMENSIONS = 1 << 14
 SAMPLE = 6_000
 """Weakly labelled rows, least by a hash of their id, that the scorer is fitted on."""
 
-# In the order of the signs of a vote pattern.
-LABELLERS = ["shouting", "symbols", "marks", "cells", "repeats", "length", "variety"]
+# In the order of the signs of a vote pattern. Most only object; the last two also vouch, and overlap with all.
+LABELLERS = ["capitals", "symbols", "shouts", "cells", "repeats", "variety", "length", "plain words", "flow"]
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
+_LETTERS = _UPPER + _LOWER + bytes(range(48, 58)) + b"'-\"()" + bytes(range(128, 256))
+_PLAIN = {b"", b".", b",", b";", b":", b"?"}
 
 
 def statistics(data: bytes) -> tuple[np.ndarray, list[bytes]]:
-    """Shares that the labellers look at, and the words."""
+    """Shares that the labellers look at, in their order, and the words."""
     words = data.split()
     n = max(1, len(words))
-    symbols = sum(data.count(c) for c in (b"#", b"$", b"%", b"&", b"*")) / max(1, len(data))
-    doubled = data.count(b"!!") / n
-    cells = data.count(b" | ") / n
     upper = len(data) - len(data.translate(None, _UPPER))
     capitals = upper / max(1, upper + len(data) - len(data.translate(None, _LOWER)))
-    repeats = sum(a == b for a, b in zip(words, words[1:])) / n
+    symbols = (len(data) - len(data.translate(None, b"#$%&*"))) / max(1, len(data))
+    shouts = data.count(b"!!") / n
+    cells = data.count(b" | ") / n
+    repeats = sum(map(eq, words, words[1:])) / n
     variety = len(set(words)) / n
-    return np.array([capitals, symbols, doubled, cells, repeats, n, variety]), words
+    marks = b" ".join(words).translate(None, _LETTERS).split(b" ")
+    plain = sum(c for m, c in Counter(marks).items() if m in _PLAIN) / n if words else 0.0
+    return np.array([capitals, symbols, shouts, cells, repeats, variety, n, plain, plain - repeats]), words
 
 
 def votes(x: np.ndarray) -> str:
     """One sign per labeller: ``-`` low quality, ``+`` good, ``0`` abstains."""
-    capitals, symbols, doubled, cells, repeats, n, variety = x
-    return "".join([
-        "-" if capitals > 0.5 else "+" if capitals < 0.2 else "0",
-        "-" if symbols > 0.05 else "+" if symbols < 0.01 else "0",
-        "-" if doubled > 0.3 else "+" if doubled < 0.05 else "0",
-        "-" if cells > 0.2 else "+" if cells < 0.02 else "0",
-        "-" if repeats > 0.2 else "+" if repeats < 0.05 else "0",
-        "-" if n < 3 else "+" if n > 20 else "0",
-        "-" if n > 40 and variety < 0.15 else "+" if variety > 0.3 else "0",
-    ])
+    capitals, symbols, shouts, cells, repeats, variety, n, plain, flow = x
+    objects = [capitals > 0.5, symbols > 0.05, shouts > 0.2, cells > 0.15, repeats > 0.15, n > 40 and variety < 0.2, n < 3]
+    return "".join("-" if o else "0" for o in objects) + "".join("-" if v < 0.7 else "+" if v > 0.85 else "0" for v in (plain, flow))
 
 
 def fit_accuracies(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, float], np.ndarray, float]:
@@ -58,7 +57,7 @@ def fit_accuracies(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[st
     weight = np.array([patterns[p] for p in names], float)
     vote = np.array([["-0+".index(c) for c in p] for p in names])
     table = np.empty((2, vote.shape[1], 3))
-    table[0], table[1] = [0.4, 0.2, 0.4], [0.02, 0.13, 0.85]
+    table[0], table[1] = [0.4, 0.5, 0.1], [0.02, 0.5, 0.48]
     prior = 0.85
     post = np.full(len(names), prior)
     for _ in range(rounds):
@@ -73,25 +72,32 @@ def fit_accuracies(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[st
     return dict(zip(names, post.tolist())), table, prior
 
 
-def _shape(word: bytes) -> bytes:
-    """Class of a word: capitals, marks at its end, signs, length."""
-    kind = b"A" if word.isupper() else b"a" if word.islower() else b"m" if any(65 <= c <= 90 for c in word) else b"s"
-    return b"%b%b%d" % (kind, word[-3:] if not word[-1:].isalnum() and word[-1] < 128 else b"", min(len(word), 12) // 3)
+class Shapes(dict):
+    """Class of a word: its case, the mark at its end, its length; short words are remembered up to a fixed number."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        kind = b"A" if word.isupper() else b"a" if word.islower() else b"m" if word[:1].isupper() else b"s"
+        shape = b"%b%b%d" % (kind, word[-2:] if not word[-1:].isalnum() and word[-1] < 128 else b"", min(len(word), 12) // 3)
+        if len(word) <= 64:
+            if len(self) >= 300_000:
+                self.clear()
+            self[word] = shape
+        return shape
+
+
+_SHAPES = Shapes()
 
 
 def features(data: bytes) -> dict[int, float]:
-    """Hashed shares: shapes of words, shapes of neighbouring words, words that repeat the one before."""
-    _, words = statistics(data)
-    shapes = [_shape(w) for w in words]
-    counts: dict[bytes, int] = {}
-    for i, s in enumerate(shapes):
-        counts[s] = counts.get(s, 0) + 1
-        if i:
-            pair = b"=" if words[i] == words[i - 1] else shapes[i - 1] + b"_" + s
-            counts[pair] = counts.get(pair, 0) + 1
+    """Hashed shares: shapes of words, pairs of neighbouring shapes, words that repeat the one before."""
+    words = data.split()
+    shapes = list(map(_SHAPES.__getitem__, words))
     n = max(1, len(words))
+    counts = {s: c for s, c in Counter(shapes).items()}
+    counts |= {a + b"_" + b: c for (a, b), c in Counter(zip(shapes, shapes[1:])).items()}
+    counts[b"="] = sum(map(eq, words, words[1:]))
     out: dict[int, float] = {}
-    for key, c in counts.items():
+    for key, c in counts.items() if words else ():
         h = zlib.crc32(key) % DIMENSIONS
         out[h] = out.get(h, 0.0) + (c / n) ** 0.5
     return out
