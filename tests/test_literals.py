@@ -128,7 +128,7 @@ def test_batched_merges_equal_single_merges(spark):
 def test_word_encoding_matches_public_library(spark):
     models = pytest.importorskip("tokenizers").models
     vocab = {"[UNK]": 0, "un": 1, "##aff": 2, "##able": 3, "una": 4, "##f": 5, "##fable": 6, "a": 7, "##a": 8}
-    model = models.WordPiece(vocab, unk_token="[UNK]", max_input_chars_per_word=100)
+    model = models.WordPiece(vocab, unk_token="[UNK]", max_input_chars_per_word=10_000)
     words = ["unaffable", "una", "unaf", "unb", "a" * 30, "a" * 101]
     table = spark.createDataFrame([(t, i) for t, i in vocab.items()], vocabulary.VOCAB_SCHEMA)
     rows = encoding.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), table).collect()

@@ -49,7 +49,7 @@ def _walk(key: str, on_gap: str, continued: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step, lambda s: s["pieces"])
 
 
-def encode_words(words: DataFrame, vocab: DataFrame, max_chars: int | None = 100) -> DataFrame:
+def encode_words(words: DataFrame, vocab: DataFrame, max_chars: int | None = None) -> DataFrame:
     """``(word, tokens)`` for distinct words; a word that cannot be covered, or is too long, becomes ``[UNK]``."""
     distinct = spread(words.select("word").where(F.col("word") != "").distinct(), "word")
     short = distinct if max_chars is None else distinct.where(F.length("word") <= max_chars)
@@ -88,7 +88,7 @@ def _split_added(chunks: DataFrame, added: DataFrame) -> DataFrame:
     )
 
 
-def encode_chunks(chunks: DataFrame, vocab: DataFrame, added: DataFrame | None = None, max_chars: int | None = 100) -> DataFrame:
+def encode_chunks(chunks: DataFrame, vocab: DataFrame, added: DataFrame | None = None, max_chars: int | None = None) -> DataFrame:
     """``(chunk, tokens)`` of distinct white-space chunks; added tokens match first, also inside words."""
     distinct = spread(chunks.select("chunk").where(F.col("chunk") != "").distinct(), "chunk")
     if added is None:

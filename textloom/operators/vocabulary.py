@@ -12,9 +12,6 @@ from textloom.functions import constants as C
 from textloom.functions import text as T
 from textloom.session import cut_lineage, spread
 
-POSITION_BITS = 24
-"""Words are ordered by first use: ``doc_id * 2**24 + position``. Arithmetic overflow raises, it never wraps."""
-
 # Noncharacters that no text may contain; each unit is stored between the two.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
 
@@ -22,10 +19,12 @@ VOCAB_SCHEMA = "token string, token_id bigint"
 
 
 def word_freq(docs: DataFrame, words: Column, id_col: str = "doc_id") -> DataFrame:
-    """``(word, freq, first_seen)``; one hash aggregate with map-side combine is all that sees the corpus."""
+    """``(word, freq, first_seen)`` with ``first_seen`` as document and position.
+
+    One aggregate with map-side combine is all that sees the corpus.
+    """
     used = docs.select(id_col, F.posexplode_outer(words).alias("pos", "word")).where(F.col("word").isNotNull())
-    place = F.when(F.col("pos") < 2**POSITION_BITS, F.col("pos")).otherwise(F.raise_error(F.lit("document too long")))
-    first = F.col(id_col).cast("long") * F.lit(2**POSITION_BITS).cast("long") + place
+    first = F.struct(F.col(id_col).alias("doc"), "pos")
     return used.groupBy("word").agg(F.count("*").alias("freq"), F.min(first).alias("first_seen"))
 
 
@@ -57,7 +56,7 @@ def adjacent_pairs(state: DataFrame, units: Column) -> DataFrame:
     pairs = F.arrays_zip(F.concat(edge, units).alias("lhs"), F.concat(units, edge).alias("rhs"))
     rows = state.select("word_rank", "freq", F.posexplode_outer(pairs).alias("pos", "pair"))
     return rows.groupBy(F.col("pair.lhs").alias("lhs"), F.col("pair.rhs").alias("rhs")).agg(
-        F.sum("freq").alias("freq"), F.min(F.col("word_rank") * F.lit(65536) + F.col("pos")).alias("first_seen")
+        F.sum("freq").alias("freq"), F.min(F.struct("word_rank", "pos")).alias("first_seen")
     )
 
 
@@ -144,7 +143,7 @@ def train_merges(
         return F.when(F.length(column) > 2, F.split(inner, CLOSE + OPEN)).otherwise(T.no_tokens())
 
     letters = state.select(F.explode_outer(F.array_distinct(unit_array("units"))).alias("u")).where("u is not null").distinct()
-    vocab = specials + [r.u for r in letters.orderBy("u").limit(max(vocab_size, 0)).collect()]
+    vocab = specials + [r.u for r in letters.orderBy("u").collect()]
     rounds, older = 0, None
     while len(vocab) < vocab_size:
         pairs = adjacent_pairs(state, unit_array("units"))

@@ -10,7 +10,7 @@ from textloom.functions import text as T
 from textloom.operators import vector, vocabulary
 from textloom.sources.tables import load_dictionary, read_table
 
-TURN_ID = 1_000_000
+TURN_ID = 2**32
 """``conv_id * TURN_ID + turn`` identifies a turn."""
 
 

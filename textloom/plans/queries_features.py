@@ -43,7 +43,7 @@ def loglinear(spark: SparkSession, sf: str) -> DataFrame:
     """Language of all documents: metrics on the training and the test set."""
     rows = labelled(spark, sf).withColumn("label", F.array_position(F.array(*[F.lit(x) for x in ("de", "en", "es", "fr")]), F.col("label")).cast("int") - 1)
     split = [rows.where(F.col("split") == name) for name in ("train", "test")]
-    predicted = features.loglinear(*split, max_features=10000)
+    predicted = features.loglinear(*split, max_features=50000)
     return class_metrics.classification_metrics(predicted, ["split"])
 
 

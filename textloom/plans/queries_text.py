@@ -104,7 +104,7 @@ def load_json_array(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "load_parallel",
     f"""WITH {S.PAIRS} SELECT pair_id, src, tgt,
-      CASE WHEN pair_id // 1000000 % 2 = 0 THEN 'talk' ELSE 'n/a' END AS source FROM pairs""",
+      CASE WHEN pair_id // 4294967296 % 2 = 0 THEN 'talk' ELSE 'n/a' END AS source FROM pairs""",
 )
 def load_parallel(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "pairs") + ".jsonl"
@@ -150,7 +150,7 @@ _BROKEN = {1: "id_is_integer", 2: "question_is_string", 3: "remark_is_string", 4
 
 @query(
     "validate_responses",
-    f"""WITH {S.TURNS}, bad AS (SELECT id, id // 1000000 % 7 AS kind FROM turns WHERE role = 'user' AND next_text IS NOT NULL),
+    f"""WITH {S.TURNS}, bad AS (SELECT id, id // 4294967296 % 7 AS kind FROM turns WHERE role = 'user' AND next_text IS NOT NULL),
     rules AS (SELECT unnest([{S.listed(contracts.RULES)}]) AS rule),
     hits AS (SELECT CASE kind {' '.join(f"WHEN {k} THEN '{r}'" for k, r in _BROKEN.items())} END AS rule,
       count(*) AS violations, min(id) AS first_bad_item FROM bad GROUP BY 1)

@@ -42,7 +42,7 @@ def merge_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return flat.select("query_id", "w.word", "w.meaning", (F.col("place") + 1).cast("long").alias("place"))
 
 
-_EXAMPLE_ID = 1000
+_EXAMPLE_ID = 2**32
 
 
 def few_shot(spark: SparkSession, sf: str, items: DataFrame, k: int = 3) -> DataFrame:

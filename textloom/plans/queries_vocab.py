@@ -20,9 +20,10 @@ def document_words(spark: SparkSession, sf: str) -> DataFrame:
     return I.bert_words(I.documents(spark, sf), "doc_id")
 
 
-@query("word_freq", f"WITH {_DOC_WORDS} SELECT word, freq, first_seen FROM w")
+@query("word_freq", f"WITH {_DOC_WORDS} SELECT word, freq, CAST(first_seen.doc AS BIGINT) AS first_doc, CAST(first_seen.pos AS INTEGER) AS first_pos FROM w")
 def word_freq(spark: SparkSession, sf: str) -> DataFrame:
-    return document_words(spark, sf)
+    first = [F.col("first_seen.doc").alias("first_doc"), F.col("first_seen.pos").alias("first_pos")]
+    return document_words(spark, sf).select("word", "freq", *first)
 
 
 @query("alphabet", f"WITH {_DOC_WORDS} SELECT DISTINCT unnest({S.UNITS}) AS unit FROM w")

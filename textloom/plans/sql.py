@@ -52,7 +52,7 @@ def ngrams(tokens: str, n: int) -> str:
 
 # Roles of the tables, as common table expressions.
 TURNS = """turns AS (
-  SELECT a.conv_id * 1000000 + a.turn AS id, a.conv_id, a.turn, a.role, a.text, b.role AS next_role, b.text AS next_text
+  SELECT a.conv_id * 4294967296 + a.turn AS id, a.conv_id, a.turn, a.role, a.text, b.role AS next_role, b.text AS next_text
   FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"""
 PAIRS = TURNS + """, pairs AS (
   SELECT id AS pair_id, text AS src, next_text AS tgt FROM turns WHERE role = 'user' AND next_role = 'assistant')"""
@@ -112,7 +112,7 @@ WORDS = f"words AS (SELECT DISTINCT w AS word FROM (SELECT unnest({tok_ws('text'
 
 
 def word_counts(name: str, table: str, id_col: str, where: str = "TRUE") -> str:
-    return f"""{name} AS (SELECT word, count(*) AS freq, min({id_col} * 16777216 + pos - 1) AS first_seen FROM (
+    return f"""{name} AS (SELECT word, count(*) AS freq, min(struct_pack(doc := {id_col}, pos := pos - 1)) AS first_seen FROM (
   SELECT {id_col}, toks[pos] AS word, pos FROM (SELECT {id_col}, toks, unnest(range(1, len(toks) + 1)) AS pos FROM (
     SELECT {id_col}, {bert_tokens('lower(text)')} AS toks FROM {table} WHERE {where}))) GROUP BY word)"""
 
@@ -148,7 +148,7 @@ def walk(words: str, vocab: str, prefix: str = "") -> str:
     p = prefix
     return f"""{p}spans AS (SELECT word, s, max(e) AS e FROM (
   SELECT word, s, unnest(range(s, length(word) + 1)) AS e FROM (
-    SELECT word, unnest(range(1, length(word) + 1)) AS s FROM {words} WHERE length(word) <= 100))
+    SELECT word, unnest(range(1, length(word) + 1)) AS s FROM {words}))
   JOIN {vocab} ON token = CASE WHEN s = 1 THEN '' ELSE '##' END || substring(word, s, e - s + 1) GROUP BY word, s),
 {p}steps AS (
   SELECT word, CAST(1 AS BIGINT) AS at, []::VARCHAR[] AS tokens FROM {words}
