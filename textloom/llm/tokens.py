@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from unicodedata import is_normalized
 
 import numpy as np
 
+from textloom.llm.bpe import byte_symbols
+
 KEEP_BYTES = 64
 """Longer chunks are encoded each time."""
 
 KEEP_CHUNKS = 300_000
 """Remembered chunks of a worker; when full, the memory starts anew."""
 
+LATIN = "\u0250"
+"""Below it stand the Latin letters that every Unicode version knows."""
+
 _LOADED: dict[str, "ChunkIds"] = {}
 
 
@@ -28,6 +34,14 @@ class ChunkIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merge = self.tokenizer.model.tokenize
+        self.symbols = byte_symbols()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of lower-case Latin letters: one pre-token that the normaliser leaves alone, so the merges are all."""
+        data = word.encode("utf-8")
+        shown = word if len(data) == len(word) else "".join(map(self.symbols.__getitem__, data))
+        return np.array([t.id for t in self.merge(shown)], "<u4").tobytes()
 
     def __missing__(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8")
@@ -35,6 +49,8 @@ class ChunkIds(dict):
         if len(word) < len(text) and word[-1:].isalpha() and word.isalpha():
             # Letters and the marks after them are two pre-tokens.
             ids = self[word.encode("utf-8")] + self[text[len(word) :].encode("utf-8")]
+        elif text.isalpha() and max(text) < LATIN and text == text.lower() and is_normalized("NFC", text):
+            ids = self._word(text)
         else:
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(chunk) <= KEEP_BYTES:
