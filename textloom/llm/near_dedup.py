@@ -180,7 +180,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Texts are linked when 100 times the common shingles reach ``percent`` times those of either; ``component_id`` is
     the least doc_id reachable. Texts without words, or null, have no shingles and stand alone. Repeated rows share
-    their set and its group; null ids count as the largest. Other columns are left out.
+    their set and its group. Rows with a null id join the group of an equal set only, and never name a group that has
+    other ids. Other columns are left out.
 
     Equal sets are one node. Every list of a retained hash gives candidates: short lists all pairs, long ones each
     member with the list's hub, and then, in blocks, pairs that are still apart. The union sketch filters candidates
