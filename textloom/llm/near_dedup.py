@@ -28,8 +28,8 @@ SMALL_LIST = 24
 
 BLOCK = 256
 
-MARGIN = 0.35
-"""The estimate may fall this far below the threshold: about seven standard errors at k = 64."""
+MARGIN = 0.25
+"""The estimate may fall this far below the threshold: more than five standard errors at k = 64."""
 
 KNOWN_WORDS = 300_000
 _WORDS: dict[bytes, int] = {}
@@ -96,6 +96,12 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return keyed_texts(docs).mapInArrow(run, "node string, members array<bigint>")
 
 
+def _estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the union sketch that both sketches hold; sketches are sorted."""
+    values, times = np.unique(np.concatenate([a, b]), return_counts=True)
+    return float((times[:SKETCH] == 2).mean())
+
+
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose sizes allow a link and whose union sketch does not speak against it."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
@@ -160,6 +166,7 @@ def _cross_pairs(lists: DataFrame, labels: DataFrame, threshold: float) -> DataF
         for j, s in zip(right.index, right["sketch"]):
             for v in s[:LISTED]:
                 of.setdefault(v, []).append(j)
+        sketches = frame["sketch"].tolist()
         node, root, n = frame["node"].tolist(), frame["root"].tolist(), frame["n"].to_numpy()
         for i, s in zip(left.index, left["sketch"]):
             counts = np.zeros(len(frame), np.int32)
@@ -167,8 +174,9 @@ def _cross_pairs(lists: DataFrame, labels: DataFrame, threshold: float) -> DataF
                 if v in of:
                     counts[of[v]] += 1
             need = np.minimum(SHARED, np.ceil(threshold * np.minimum(n, n[i])))
-            for j in np.flatnonzero(counts >= np.maximum(1, need)).tolist():
-                if root[i] != root[j]:
+            near = (counts >= np.maximum(1, need)) & (np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i]))
+            for j in np.flatnonzero(near).tolist():
+                if root[i] != root[j] and _estimate(s, sketches[j]) >= threshold - MARGIN:
                     out.append((min(node[i], node[j]), max(node[i], node[j])))
         return pd.DataFrame(out, columns=["a", "b"])
 
@@ -193,13 +201,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = written(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
     owners = nodes.select("node", "doc_id")
     listed = nodes.select("node", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
-    frequent = listed.groupBy("value").agg(F.count("*").alias("df"), F.min("node").alias("hub")).where("df > 1")
+    frequent = listed.groupBy("value").agg(F.count("*").alias("df"), F.min_by("node", F.xxhash64("node", "value")).alias("hub")).where("df > 1")
     lists = written(listed.join(frequent, "value"), "lists")
     short = lists.where(F.col("df") <= SMALL_LIST)
     right = short.select("value", F.col("node").alias("b"), F.col("n").alias("n_b"))
     near = (F.col("node") < F.col("b")) & (F.least("n", "n_b") >= threshold * F.greatest("n", "n_b"))
     pairs = short.join(right, "value").where(near).select(F.col("node").alias("a"), "b")
-    hubs = lists.where((F.col("df") > SMALL_LIST) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    # A hub differs from list to list, so copies that one hub is too far from meet many others.
+    hubs = lists.where((F.col("df") > SMALL_LIST) & (F.col("node") != F.col("hub"))).select(
+        F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
+    )
     candidates = written(_estimated(pairs.union(hubs).distinct(), nodes, threshold), "candidates")
     links = written(_verified(candidates, docs, owners, width, percent), "links")
     labels = components(nodes, links)
