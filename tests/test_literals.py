@@ -94,6 +94,37 @@ def test_contract_reports_each_rule(spark):
         contracts.validate_responses(items.limit(1), strict=True)
 
 
+def test_wide_integers_are_integers(spark):
+    ids = ["12345678901234567890", "-10000000000000000000", "1", "1.0", "1.5", "true", '"1"']
+    rows = spark.createDataFrame([(n, f'{{"id": {x}}}') for n, x in enumerate(ids)], "item_id long, j string")
+    items = rows.select("item_id", F.parse_json("j").alias("item"))
+    bad = contracts.item_violations(items).where("rule = 'id_is_integer'").orderBy("item_id").collect()
+    assert [r.item_id for r in bad] == [3, 4, 5, 6]
+
+
+def test_parallel_pairs_are_numbered_as_in_the_files(spark, tmp_path):
+    for part in ("a", "b"):
+        rows = [f'{{"za": "{part}{i}", "zh": "x{i}"}}\n' for i in range(500)]
+        (tmp_path / f"{part}.jsonl").write_text("".join(rows))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        pairs = tables.read_parallel(spark, f"{tmp_path}/*.jsonl", "za", "zh", position=None)
+        found = {r.pair_id: r.src for r in pairs.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {i: f"{'ab'[i // 500]}{i % 500}" for i in range(1000)}
+
+
+def test_unspaced_side_of_the_index(spark):
+    pairs = spark.createDataFrame([(0, "gou", "中国人民"), (1, "gou mwngz", "人民"), (2, "", "")], "pair_id long, src string, tgt string")
+    lexicon = spark.createDataFrame([("中国",), ("人民",)], "token string")
+    rows = lexical.parallel_postings(pairs, "za", "zh", lexicon).where("lang = 'zh'").collect()
+    assert sorted((r.pair_id, r.token, r.tf) for r in rows) == [(0, "中国", 1), (0, "人民", 1), (1, "人民", 1)]
+    with pytest.raises(ValueError):
+        lexical.parallel_postings(pairs, "za", "zh")
+
+
 def test_sources_reject_and_resolve(spark):
     with pytest.raises(NotImplementedError):
         tables.read_parallel(spark, "x.csv", "za", "zh")

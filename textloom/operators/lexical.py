@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators.encoding import segment
 from textloom.session import salted_join, small_side
 
 TOKENIZERS: dict[str, Callable[[Column], Column]] = {"za": T.tokenize_ws, "eng": T.tokenize_ws, "kgv": T.tokenize_ws}
-"""Tokenizers that are plain column expressions; unspaced text goes through ``segmentation.segment`` first."""
+"""Tokenizers that are plain column expressions; unspaced text goes through ``encoding.segment``."""
 
 TIE_DIGITS = 9
 """Scores are ranked after rounding, so that the order of a distributed sum cannot break a tie."""
@@ -28,13 +29,22 @@ def postings(docs: DataFrame, id_col: str, tokens: Column) -> DataFrame:
     return counted.select("pair_id", "dl", F.inline_outer("runs")).where(F.col("token").isNotNull())
 
 
-def parallel_postings(pairs: DataFrame, src_lang: str, tgt_lang: str) -> DataFrame:
-    """Postings of both sides of a parallel corpus with a ``lang`` column."""
-    sides = [
-        postings(pairs, "pair_id", TOKENIZERS[lang](F.col(column))).select(F.lit(lang).alias("lang"), "*")
-        for lang, column in ((src_lang, "src"), (tgt_lang, "tgt"))
-    ]
-    return sides[0].unionByName(sides[1])
+def parallel_postings(pairs: DataFrame, src_lang: str, tgt_lang: str, lexicon: DataFrame | None = None) -> DataFrame:
+    """Postings of both sides of a parallel corpus with a ``lang`` column.
+
+    A language without spaces between words is cut by ``lexicon``, a table ``(token)``, with its search pieces.
+    """
+
+    def side(lang: str, column: str) -> DataFrame:
+        if lang in TOKENIZERS:
+            found = postings(pairs, "pair_id", TOKENIZERS[lang](F.col(column)))
+        elif lexicon is None:
+            raise ValueError(f"language {lang!r} needs a lexicon")
+        else:
+            found = postings(segment(pairs, "pair_id", F.col(column), lexicon, search=True), "pair_id", F.col("tokens"))
+        return found.select(F.lit(lang).alias("lang"), "*")
+
+    return side(src_lang, "src").unionByName(side(tgt_lang, "tgt"))
 
 
 def write_index(index: DataFrame, path: str) -> None:

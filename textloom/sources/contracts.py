@@ -35,9 +35,13 @@ def item_violations(items: DataFrame, column: str = "item") -> DataFrame:
     """``(item_id, rule)`` for each broken rule; ``items`` is ``(item_id, item VARIANT)``."""
     value = F.col(column)
     is_object = _kind(value).startswith("OBJECT")
+    number = _field(value, "id")
+    # Integers beyond 64 bits are parsed as decimals.
+    wide = _kind(number).startswith("DECIMAL") & F.try_variant_get(number, "$", "string").rlike("^-?[0-9]{19,}$")
+    is_integer = (_kind(number) == "BIGINT") | F.coalesce(wide, F.lit(False))
     item_rules = F.array(
         _broken(~is_object, "item_is_object"),
-        _broken(is_object & (_kind(_field(value, "id")) != "BIGINT"), "id_is_integer"),
+        _broken(is_object & ~is_integer, "id_is_integer"),
         *[
             _broken(is_object & (_kind(_field(value, name)) != "STRING"), f"{name}_is_string")
             for name in ("question", "reference_answer")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ty
 
@@ -34,19 +34,39 @@ def read_json_array(spark: SparkSession, path: str, schema: str | ty.StructType)
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_parallel(spark: SparkSession, path: str, src_lang: str, tgt_lang: str, position: str = "line") -> DataFrame:
+def in_file_order(rows: DataFrame, name: str) -> DataFrame:
+    """Adds ``name``: the position of each row of a file scan from 0, files in order of their paths.
+
+    Rows of one block of a file are read one after another, so a position is the number of rows in earlier blocks plus
+    the place in the block. Only one row per block is gathered; the rows themselves do not move.
+    """
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+    placed = placed.withColumn("_seen", F.monotonically_increasing_id())
+    blocks = placed.groupBy("_path", "_block").agg(F.count("*").alias("_rows"), F.min("_seen").alias("_first"))
+    before = F.sum("_rows").over(Window.orderBy("_path", "_block")) - F.col("_rows")
+    starts = blocks.select("_path", "_block", "_first", before.alias("_before"))
+    position = (F.col("_before") + F.col("_seen") - F.col("_first")).alias(name)
+    return placed.join(starts, ["_path", "_block"]).select(position, *rows.columns)
+
+
+def read_parallel(spark: SparkSession, path: str, src_lang: str, tgt_lang: str, position: str | None = "line") -> DataFrame:
     """Parallel corpus ``(pair_id, src, tgt, source)`` from ``.jsonl``, ``.json`` or a folder of either.
 
-    ``position`` names the field that holds the position of a pair, since a distributed read has no line order.
+    ``position`` names the field that holds the position of a pair; None numbers the pairs as the files have them.
     """
     suffix = path.rstrip("/").rsplit(".", 1)[-1]
     if suffix not in ("json", "jsonl"):
         raise NotImplementedError(f"unsupported corpus format: {path}")
-    schema = f"`{position}` bigint, `{src_lang}` string, `{tgt_lang}` string, source string"
+    numbered = f"`{position}` bigint, " if position else ""
+    schema = f"{numbered}`{src_lang}` string, `{tgt_lang}` string, source string"
     raw = spark.read.schema(schema).option("multiLine", suffix == "json").json(path)
     source = F.coalesce("source", F.lit("n/a")) if suffix == "jsonl" else F.col("source")
-    return raw.select(
-        F.col(position).alias("pair_id"), F.col(src_lang).alias("src"), F.col(tgt_lang).alias("tgt"), source.alias("source")
+    rows = raw if position else in_file_order(raw, "_position")
+    return rows.select(
+        F.col(position or "_position").alias("pair_id"),
+        F.col(src_lang).alias("src"),
+        F.col(tgt_lang).alias("tgt"),
+        source.alias("source"),
     )
 
 
