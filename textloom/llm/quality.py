@@ -16,7 +16,9 @@ from textloom.llm.support import byte_list, in_batches, keyed_texts, written
 
 DIMENSIONS = 1 << 14
 SAMPLE = 6_000
-"""Weakly labelled rows, least by a hash of their id, that the scorer is fitted on."""
+"""Most weakly labelled rows that the scorer is fitted on, drawn by a hash of id and text."""
+
+DRAWS = 1 << 40
 
 # In the order of the signs of a vote pattern. Most only object; the last two also vouch, and overlap with all.
 LABELLERS = ["capitals", "symbols", "shouts", "cells", "repeats", "variety", "length", "plain words", "flow"]
@@ -130,25 +132,30 @@ def _vote_rows(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """Weights of the scorer. Votes are counted over all rows; the scorer sees at most ``sample`` rows."""
+    """Weights of the scorer. Votes are counted over all rows; the scorer sees at most ``sample`` rows.
+
+    Rows whose draw is below ``sample`` in the number of rows are made features where they are; no text is moved.
+    """
     voted = written(_vote_rows(docs), "votes")
     patterns = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}
     if not patterns:
         return np.zeros(DIMENSIONS + 1)
     posterior, _, _ = fit_accuracies(patterns)
-    chosen = keyed_texts(docs).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample)
-    schema = pa.schema([("keys", pa.list_(pa.int32())), ("values", pa.list_(pa.float64())), ("label", pa.float64())])
+    drawn = keyed_texts(docs).withColumn("draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(DRAWS)))
+    chosen = drawn.where(F.col("draw") < DRAWS * sample // max(sample, sum(patterns.values())))
+    schema = pa.schema([("draw", pa.int64()), ("keys", pa.list_(pa.int32())), ("values", pa.list_(pa.float64())), ("label", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for data in byte_list(batch["text"]):
+                for draw, data in zip(batch["draw"].to_pylist(), byte_list(batch["text"])):
                     x = features(data)
-                    yield list(x), list(x.values()), posterior.get(votes(statistics(data)[0]), 0.5)
+                    yield draw, list(x), list(x.values()), posterior.get(votes(statistics(data)[0]), 0.5)
 
         yield from in_batches(rows(), schema)
 
-    rows = chosen.mapInArrow(run, "keys array<int>, values array<double>, label double").collect()
+    described = chosen.mapInArrow(run, "draw bigint, keys array<int>, values array<double>, label double")
+    rows = described.orderBy("draw").limit(sample).collect()
     return fit_scorer([(dict(zip(r["keys"], r["values"])), r["label"]) for r in rows])
 
 
