@@ -255,7 +255,10 @@ def test_near_duplicates(texts):
         assert sorted(map(tuple, near_dedup.near_duplicates(docs, 3, 85).collect()), key=key) == brute_near(rows, 3, 85)
 
 
-def test_near_duplicates_in_long_lists(spark, monkeypatch):
+@pytest.mark.parametrize("longest", [20_000, 20])
+def test_near_duplicates_in_long_lists(spark, monkeypatch, longest):
+    monkeypatch.setattr(near_dedup, "LONG", longest)
+    monkeypatch.setattr(near_dedup, "BLOCK", 48)
     monkeypatch.setattr(near_dedup, "SMALL_LIST", 2)
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(60)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -18,15 +19,17 @@ SKETCH = 64
 """Hashes kept per document for the union-sketch estimate (k)."""
 
 LISTED = 32
-"""Lowest hashes that enter inverted lists. Of the union's lowest 32, at least ``SHARED`` are common to both sets of a
-link with a chance above 1 - 1e-8 at a similarity of 0.8 or more, so a link's documents meet in many lists."""
-
-SHARED = 9
+"""Lowest hashes that enter inverted lists. Of the union's lowest 32, at least
+``shared_least`` are common to both sets of a link with a chance above 1 - 1e-8, so its documents meet in many lists."""
 
 SMALL_LIST = 24
 """Members up to which a list pairs all with all; longer lists use hubs, then blocks."""
 
-BLOCK = 256
+BLOCK = 1024
+"""Members of a long list per block; a tile holds two blocks."""
+
+LONG = 20_000
+"""Shingles beyond which sets are not held by tiles but joined pair by pair, so that a tile's memory is bounded."""
 
 MARGIN = 0.25
 """The estimate may fall this far below the threshold: more than five standard errors at k = 64."""
@@ -96,12 +99,6 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return keyed_texts(docs).mapInArrow(run, "node string, members array<bigint>")
 
 
-def _estimate(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the union sketch that both sketches hold; sketches are sorted."""
-    values, times = np.unique(np.concatenate([a, b]), return_counts=True)
-    return float((times[:SKETCH] == 2).mean())
-
-
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose sizes allow a link and whose union sketch does not speak against it."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
@@ -139,48 +136,116 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-def _cross_pairs(lists: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different components in long lists, block by block, that share ``SHARED`` listed hashes.
+def shared_least(threshold: float) -> int:
+    """Listed hashes that a link shares with a chance above 1 - 1e-8: the binomial tail below stays under 1e-8."""
+    tail = 0.0
+    for k in range(LISTED + 1):
+        tail += comb(LISTED, k) * threshold**k * (1 - threshold) ** (LISTED - k)
+        if tail > 1e-8:
+            return k
+    return LISTED
+
+
+class Estimates:
+    """Union-sketch estimates of one set against many: sorted sketches as rows of codes, ``empty`` beyond their end."""
+
+    def __init__(self, sketches: list[np.ndarray]) -> None:
+        values = np.unique(np.concatenate(sketches))
+        self.empty = len(values)
+        self.rows = np.full((len(sketches), SKETCH), self.empty, np.int64)
+        for row, s in zip(self.rows, sketches):
+            row[: len(s)] = np.searchsorted(values, s)
+        self.lengths = np.array([len(s) for s in sketches])
+        self.places = np.arange(1, SKETCH + 1)
+
+    def against(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Share of the union sketch of ``i`` and each of ``others`` that both hold."""
+        own = np.zeros(self.empty + 1, bool)
+        own[self.rows[i, : self.lengths[i]]] = True
+        rows = self.rows[others]
+        met = own[rows]
+        rank = np.cumsum(own)[rows] + self.places - np.cumsum(met, axis=1)
+        union = self.lengths[i] + self.lengths[others] - met.sum(axis=1)
+        return (met & (rank <= SKETCH)).sum(axis=1) / np.minimum(union, SKETCH)
 
-    A link missing so far has all its shared hashes in long lists. Documents with fewer of those cannot have one, and
-    the first ``hot - SHARED + 1`` of a document's long lists, rarest first, meet every such partner. Lists of one
-    component are settled. Blocks of the lists are replicated, and sketches compared within a task.
+
+TILE = ["value", "low", "high"]
+
+
+def _cross_candidates(lists: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """``(value, low, high, block, node, root, other)``: sets of long lists with a possible link to another component.
+
+    A link missing so far has all its shared hashes in long lists. Documents with fewer of those than a link shares
+    cannot have one, and the first ``hot - least + 1`` of a document's long lists, rarest first (its prefix), meet
+    every such partner. Lists of one component are settled. Blocks of the lists are replicated and sketches compared
+    within a task; a pair counts only in the tiles of the first value that both prefixes hold. Sets of more than
+    ``LONG`` shingles come as pairs with ``other``; any others once per tile, with ``other`` null.
     """
     members = lists.join(labels, "node")
     open_lists = members.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("value")
     per_node = Window.partitionBy("node")
     hot = members.withColumn("hot", F.count("*").over(per_node)).withColumn("place", F.row_number().over(per_node.orderBy("df", "value")))
-    least = F.least(F.lit(SHARED), F.ceil(F.col("n") * threshold))
-    hot = hot.where((F.col("hot") >= least) & (F.col("place") <= F.col("hot") - least + 1)).join(open_lists, "value", "left_semi")
+    least = F.least(F.lit(shared_least(threshold)), F.ceil(F.col("n") * threshold))
+    hot = hot.where((F.col("hot") >= least) & (F.col("place") <= F.col("hot") - least + 1))
+    hot = hot.withColumn("prefix", F.collect_list("value").over(per_node)).join(open_lists, "value", "left_semi")
     blocks = F.ceil(F.col("df") / BLOCK).cast("int")
     own = hot.withColumn("block", F.pmod(F.xxhash64("node", "value"), blocks).cast("int")).withColumn("blocks", blocks)
     tiles = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "n", "sketch")
+    tiles = tiles.select("value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "n", "sketch", "prefix")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        value, low, high = (int(frame[c].iloc[0]) for c in TILE)
+        estimates = Estimates([np.asarray(s) for s in frame["sketch"]])
+        block, n = frame["block"].to_numpy(), frame["n"].to_numpy()
+        node, root = frame["node"].tolist(), np.unique(frame["root"].tolist(), return_inverse=True)[1]
+        lower = [[v for v in p if v < value] for p in frame["prefix"]]
+        codes = {v: c for c, v in enumerate(sorted({v for p in lower for v in p}))}
+        before = np.full((len(frame), max(map(len, lower), default=0)), len(codes), np.int64)
+        for row, p in zip(before, lower):
+            row[: len(p)] = [codes[v] for v in p]
+        right = block == high
+        inside = np.zeros(len(frame), bool)
+        out = []
+        for i in np.flatnonzero(block == low).tolist():
+            earlier = np.zeros(len(codes) + 1, bool)
+            earlier[before[i]] = True
+            earlier[-1] = False
+            sized = np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i])
+            others = np.flatnonzero(right & (root != root[i]) & sized & ~earlier[before].any(axis=1))
+            others = others[estimates.against(i, others) >= threshold - MARGIN]
+            long = np.maximum(n[others], n[i]) > LONG
+            out += [(value, low, high, 0, node[i], None, node[j]) for j in others[long].tolist()]
+            inside[others[~long]] = True
+            inside[i] |= not long.all()
+        out += [(value, low, high, int(block[i]), node[i], str(root[i]), None) for i in np.flatnonzero(inside).tolist()]
+        return pd.DataFrame(out, columns=[*TILE, "block", "node", "root", "other"])
+
+    return tiles.groupBy(*TILE).applyInPandas(run, "value bigint, low int, high int, block int, node string, root string, other string")
+
+
+def _tile_links(tiles: DataFrame, docs: DataFrame, owners: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components within each tile, on whole sets, which a tile holds once rather than per pair."""
+    rows = owners.join(tiles.select("node").distinct(), "node", "left_semi").select("doc_id")
+    sets = written(_sets(keyed_texts(docs).join(rows, "doc_id", "left_semi"), width).dropDuplicates(["node"]), "tile-sets")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("node").reset_index(drop=True)
-        left = frame[frame["block"] == frame["low"].iloc[0]]
-        right = frame[frame["block"] == frame["high"].iloc[0]]
+        members = frame["members"].tolist()
+        n = np.array([len(m) for m in members])
+        values, codes = np.unique(np.concatenate(members), return_inverse=True)
+        ends = np.cumsum(n)
+        block, node = frame["block"].to_numpy(), frame["node"].tolist()
+        root = np.unique(frame["root"].tolist(), return_inverse=True)[1]
+        right = block == frame["high"].iloc[0]
         out = []
-        of = {}
-        for j, s in zip(right.index, right["sketch"]):
-            for v in s[:LISTED]:
-                of.setdefault(v, []).append(j)
-        sketches = frame["sketch"].tolist()
-        node, root, n = frame["node"].tolist(), frame["root"].tolist(), frame["n"].to_numpy()
-        for i, s in zip(left.index, left["sketch"]):
-            counts = np.zeros(len(frame), np.int32)
-            for v in s[:LISTED]:
-                if v in of:
-                    counts[of[v]] += 1
-            need = np.minimum(SHARED, np.ceil(threshold * np.minimum(n, n[i])))
-            near = (counts >= np.maximum(1, need)) & (np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i]))
-            for j in np.flatnonzero(near).tolist():
-                if root[i] != root[j] and _estimate(s, sketches[j]) >= threshold - MARGIN:
-                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+        for i in np.flatnonzero(block == frame["low"].iloc[0]).tolist():
+            own = np.zeros(len(values), bool)
+            own[codes[ends[i] - n[i] : ends[i]]] = True
+            common = np.add.reduceat(own[codes], ends - n, dtype=np.int64)
+            linked = right & (root != root[i]) & (100 * common >= percent * (n + n[i] - common))
+            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in np.flatnonzero(linked).tolist()]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return tiles.groupBy("value", "low", "high").applyInPandas(run, "a string, b string").distinct()
+    return tiles.join(sets, "node").groupBy(*TILE).applyInPandas(run, "a string, b string").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -216,9 +281,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     labels = components(nodes, links)
     long_lists = lists.where(F.col("df") > SMALL_LIST).join(nodes.select("node", "sketch"), "node")
     if not lists.where(F.col("df") > SMALL_LIST).isEmpty():
-        more = written(_estimated(_cross_pairs(long_lists, labels, threshold), nodes, threshold), "cross")
-        if not more.isEmpty():
-            links = links.union(written(_verified(more, docs, owners, width, percent), "more-links"))
+        cross = written(_cross_candidates(long_lists, labels, threshold), "cross")
+        if not cross.isEmpty():
+            links = links.union(written(_tile_links(cross.where("other is null").drop("other"), docs, owners, width, percent), "tile-links"))
+            apart = cross.where("other is not null").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            if not apart.isEmpty():
+                links = links.union(written(_verified(apart, docs, owners, width, percent), "long-links"))
             labels = components(nodes, links)
     named = labels.join(owners, "node")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
