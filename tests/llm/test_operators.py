@@ -196,6 +196,61 @@ def test_licenses(spark, con, sf, odd):
     assert [r.licenses for r in licenses.scan(ordered).orderBy("doc_id").collect()] == ["Apache-2.0", ""]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD_2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice.
+"""
+BSD_3 = BSD_2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wrapped_licenses(spark):
+    def marked(leader, text):
+        return "\r\n".join(f"{leader} {line}".rstrip() for line in text.split("\n"))
+
+    texts = {
+        MIT: ("2,3,4", "MIT"),
+        marked(" *", MIT): ("2,3,4", "MIT"),
+        marked(";;", MIT): ("2,3,4", "MIT"),
+        marked("rem", MIT).replace("\r\n", "\r"): ("2,3,4", "MIT"),
+        BSD_2: ("15,16", "BSD-2-Clause"),
+        BSD_2.replace("1.", "a)"): ("15,16", "BSD-2-Clause"),
+        BSD_3: ("15,16,17", "BSD-3-Clause"),
+        marked("#", BSD_3): ("15,16,17", "BSD-3-Clause"),
+        marked("!", BSD_3): ("15,16,17", "BSD-3-Clause"),
+        BSD_2 + BSD_3: ("15,16,15,16,17", "BSD-2-Clause,BSD-3-Clause"),
+        BSD_3 + BSD_2: ("15,16,17,15,16", "BSD-2-Clause,BSD-3-Clause"),
+        "no mark here\nlicensed under the\nMIT License": ("1", "MIT"),
+        "licensed under the\n\nMIT License": ("2", ""),
+        "licensed under the. MIT License, or not": ("", ""),
+        "end.***\nLicensed under CC BY-NC 4.0.\nmore": ("12", "CC-BY-NC-4.0"),
+        "This work is licensed under the GNU\n  General Public License,\n  version 3.": ("8", "GPL-3.0"),
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = licenses.scan(docs).orderBy("doc_id").collect()
+    assert [(r.sentence_ids, r.licenses) for r in got] == list(texts.values())
+
+
 def brute_exact(rows):
     groups = defaultdict(list)
     for i, t in rows:
