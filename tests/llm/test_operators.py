@@ -98,6 +98,28 @@ def test_packing_in_rounds(spark):
     assert len(rows) <= -(-pieces.agg(F.sum("length")).first()[0] // 4096) + 1
 
 
+@pytest.mark.parametrize("lengths", ["2100", "id % 1965 + 2049", "if(id % 3 = 0, 2100, id % 40 + 1)", "if(id % 2 = 0, 3000 + id % 7, 900)", "1300 + id % 3"])
+def test_packing_keeps_groups_small(spark, monkeypatch, lengths):
+    packer = packing._group_packer
+
+    def bounded(*args):
+        pack_group = packer(*args)
+
+        def run(frame):
+            assert len(frame) <= 700
+            return pack_group(frame)
+
+        return run
+
+    monkeypatch.setattr(packing, "_group_packer", bounded)
+    pieces = spark.range(4000).select("id", F.expr(lengths).cast("long").alias("length"))
+    rows = packing.pack(pieces, 4096, group=500).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("c")).collect()
+    assert sum(r.c for r in rows) == 4000 and max(r.n for r in rows) <= 4096
+    sizes = [r.length for r in pieces.collect()]
+    # A few bins more for each of the eight groups than in one group.
+    assert len(rows) <= len(packing.pack_sizes(sizes, 4096)) + 3 * 8
+
+
 def test_sequences_hold_the_ids(odd):
     pieces = packing.token_pieces(odd, WORD)
     full = packing.sequences(packing.pack(pieces)).collect()

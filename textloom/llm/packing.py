@@ -19,7 +19,10 @@ GROUP = 20_000
 """Pieces that one task packs."""
 
 REOPEN = 0.98
-"""Bins filled below this share go on to the next round."""
+"""Bins filled below this share go on to the next round, if a remaining piece would fit."""
+
+SHRINK = 0.75
+"""At most this share of a round's pieces goes on to the next one."""
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
@@ -175,17 +178,20 @@ def pack_sizes(sizes: list[int], capacity: int) -> list[list[int]]:
     return LocalSearch(sizes, best_fit(sizes, capacity), capacity).run()
 
 
-def _group_packer(capacity: int, number: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _group_packer(capacity: int, number: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "_at"], ascending=[False, True])
         at, sizes = frame["_at"].tolist(), frame["length"].tolist()
         out = []
-        for b in pack_sizes(sizes, capacity):
-            offset, full = 0, last or sum(sizes[i] for i in b) >= REOPEN * capacity
+        bins = pack_sizes(sizes, capacity)
+        fills = [sum(sizes[i] for i in b) for b in bins]
+        least = min(range(len(bins)), key=lambda n: fills[n])
+        for n, b in enumerate(bins):
+            offset = 0
             for i in b:
-                out.append((at[i], sizes[i], f"{number}-{at[b[0]]}", offset, full))
+                out.append((at[i], sizes[i], f"{number}-{at[b[0]]}", offset, fills[n], n == least))
                 offset += sizes[i]
-        return pd.DataFrame(out, columns=["_at", "length", "bin", "offset", "full"])
+        return pd.DataFrame(out, columns=["_at", "length", "bin", "offset", "fill", "least"])
 
     return run
 
@@ -194,8 +200,9 @@ def pack(pieces: DataFrame, capacity: int = 4096, group: int = GROUP) -> DataFra
     """The rows of ``pieces`` (any columns, with ``length`` up to ``capacity``) with ``sequence_id`` and ``offset``.
 
     Full pieces are sequences by themselves. Others are dealt by place in the written table into groups of about
-    ``group`` pieces, packed one group a task; pieces of bins that stay below ``REOPEN`` meet again in fewer groups,
-    until one group is left. An empty table gives an empty result.
+    ``group`` pieces, packed one group a task; pieces of bins that stay below ``REOPEN`` and have room for the shortest
+    of these pieces meet again in fewer groups, until one group is left. Where that would leave more than ``SHRINK`` of
+    a round's pieces, only the emptiest such bin of each group goes on, or none. An empty table gives an empty result.
     """
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     numbered = written(pieces.select(*names, F.monotonically_increasing_id().alias("_at")), "pieces")
@@ -205,19 +212,21 @@ def pack(pieces: DataFrame, capacity: int = 4096, group: int = GROUP) -> DataFra
     count = rest.count()
     while count:
         groups = -(-count // group)
-        last = groups == 1
-
         dealt = rest.withColumn("_group", F.pmod(F.xxhash64("_at", F.lit(number)), F.lit(groups)))
         packed = written(
-            dealt.groupBy("_group").applyInPandas(_group_packer(capacity, number, last), "_at bigint, length bigint, bin string, offset bigint, full boolean"), "packed"
+            dealt.groupBy("_group").applyInPandas(_group_packer(capacity, number), "_at bigint, length bigint, bin string, offset bigint, fill bigint, least boolean"), "packed"
         )
-        parts.append(packed.where("full").select("_at", "bin", "offset"))
-        rest = packed.where("not full").select("_at", "length")
-        left = rest.count()
-        if left == count and not last:
-            # Nothing got full: larger groups see more combinations.
-            group *= 4
-        count, number = left, number + 1
+        again, most, count = F.lit(False), SHRINK * count, 0
+        if groups > 1:
+            under = F.col("fill") < REOPEN * capacity
+            shortest = packed.where(under).agg(F.min("length")).first()[0]
+            under &= F.col("fill") + F.lit(shortest) <= capacity
+            for chosen, left in zip((under, under & F.col("least")), packed.agg(F.count_if(under), F.count_if(under & F.col("least"))).first()):
+                if left <= most:
+                    again, count = chosen, left
+                    break
+        parts.append(packed.where(~F.coalesce(again, F.lit(False))).select("_at", "bin", "offset"))
+        rest, number = packed.where(again).select("_at", "length"), number + 1
     placed = parts[0]
     for part in parts[1:]:
         placed = placed.unionByName(part)
