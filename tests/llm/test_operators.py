@@ -120,6 +120,13 @@ def test_packing_keeps_groups_small(spark, monkeypatch, lengths):
     assert len(rows) <= len(packing.pack_sizes(sizes, 4096)) + 3 * 8
 
 
+def test_packing_goes_on_to_the_next_best_step():
+    for sizes in ([40, 27, 51, 9, 43, 25, 30, 14, 10, 48], [28, 40, 14, 13, 34, 19, 20, 51, 22, 39, 14]):
+        bins = packing.pack_sizes(sizes, 100)
+        assert len(bins) == 3 and sorted(i for b in bins for i in b) == list(range(len(sizes)))
+        assert all(sum(sizes[i] for i in b) <= 100 for b in bins)
+
+
 def test_sequences_hold_the_ids(odd):
     pieces = packing.token_pieces(odd, WORD)
     full = packing.sequences(packing.pack(pieces)).collect()

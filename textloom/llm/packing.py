@@ -151,7 +151,11 @@ class LocalSearch:
             taken.append(self._take(second, taken[0]))
         home = self._home(out, taken, b)
         if home is None:
-            return False
+            # Two for one that leave no room for what goes out: the next best step.
+            found = self._next_step(b, own)
+            if not found:
+                return False
+            out, taken, home = found
         for item in taken:
             self._withdraw(item)
             self._put(item, b)
@@ -160,6 +164,45 @@ class LocalSearch:
             self._offer(own[out])
         return True
 
+    def _pairs_of(self, out: int, first: int, second: int) -> Iterator[list[int]]:
+        """Documents of the two sizes with most room and growth: a home as full as it may be, the other bin the emptiest."""
+        for keep, other in ((first, second), (second, first)):
+            homes = [i for i in self.of_size[keep] if self.fill[self.bin_of[i]] - keep + out <= self.capacity]
+            if homes:
+                held = max(homes, key=lambda i: self.fill[self.bin_of[i]])
+                rest = [i for i in self.of_size[other] if i != held]
+                if rest:
+                    yield [held, min(rest, key=lambda i: self.fill[self.bin_of[i]])]
+        # Both from one bin always leave room.
+        bins = {self.bin_of[i]: i for i in self.of_size[first]}
+        for i in self.of_size[second]:
+            held = bins.get(self.bin_of[i], i)
+            if held != i:
+                yield [held, i]
+                break
+
+    def _next_step(self, b: int, own: dict[int, int]) -> tuple[int, list[int], int] | None:
+        """``(out, taken, home)`` of the largest gain that is possible; single documents always are."""
+        gap = self.capacity - self.fill[b]
+        single = max(((self._largest(out + gap) - out, out) for out in (0, *own)), default=(0, 0))
+        pairs = []
+        for out in (0, *own):
+            room = out + gap
+            for first in self.present[bisect_left(self.present, room // 2) : bisect_left(self.present, room)]:
+                least = max(out + max(single[0], 0) + 1 - first, 1)
+                for second in self.present[bisect_left(self.present, least) : bisect_left(self.present, min(room - first, first) + 1)]:
+                    pairs.append((first + second - out, out, first, second))
+        for _, out, first, second in sorted(pairs, reverse=True):
+            for taken in self._pairs_of(out, first, second):
+                home = self._home(out, taken, b)
+                if home is not None:
+                    return out, taken, home
+        if single[0] <= 0:
+            return None
+        taken = [self._take(single[0] + single[1])]
+        home = self._home(single[1], taken, b)
+        return None if home is None else (single[1], taken, home)
+
     def run(self) -> list[list[int]]:
         order = sorted((n for n, f in enumerate(self.fill) if f < self.capacity), key=lambda n: -self.fill[n])
         for n in order:
