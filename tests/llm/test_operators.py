@@ -356,6 +356,19 @@ def test_near_duplicates_in_long_lists(spark, monkeypatch, longest):
     assert sorted(map(tuple, near_dedup.near_duplicates(docs, 3, 85).collect()), key=key) == brute_near(rows, 3, 85)
 
 
+@pytest.mark.parametrize("percent, shared", [(80, 31), (85, 36)])
+def test_estimates_keep_links_at_the_threshold(spark, percent, shared):
+    def kept(n):
+        own = (64 - n) // 2
+        a, b = [*range(n + own), *range(1000, 1064 - n - own)], [*range(n), *range(n + own, 64), *range(2000, 2000 + own)]
+        nodes = spark.createDataFrame([("a", 1000, a), ("b", 1000, b)], "node string, n long, sketch array<long>")
+        return near_dedup._estimated(spark.createDataFrame([("a", "b")], "a string, b string"), nodes, percent / 100).count()
+
+    # The binomial tail below ``shared`` of 64 is the last one under 1e-8.
+    assert kept(shared) == 1 and kept(shared - 1) == 0
+    assert near_dedup.estimate_least(percent / 100) == shared / 64
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=8)], 0) for i in range(300)]

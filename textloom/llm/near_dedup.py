@@ -31,9 +31,6 @@ BLOCK = 1024
 LONG = 20_000
 """Shingles beyond which sets are not held by tiles but joined pair by pair, so that a tile's memory is bounded."""
 
-MARGIN = 0.25
-"""The estimate may fall this far below the threshold: more than five standard errors at k = 64."""
-
 KNOWN_WORDS = 300_000
 _WORDS: dict[bytes, int] = {}
 
@@ -106,7 +103,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     met = met.where(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
     shared = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
-    return met.where(shared >= (threshold - MARGIN) * F.size(union)).select("a", "b")
+    return met.where(shared >= estimate_least(threshold) * F.size(union)).select("a", "b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, width: int, percent: int) -> DataFrame:
@@ -136,14 +133,19 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-def shared_least(threshold: float) -> int:
-    """Listed hashes that a link shares with a chance above 1 - 1e-8: the binomial tail below stays under 1e-8."""
+def shared_least(threshold: float, drawn: int = LISTED) -> int:
+    """Of ``drawn`` lowest hashes of a union, those that a link shares with a chance above 1 - 1e-8, by the binomial tail."""
     tail = 0.0
-    for k in range(LISTED + 1):
-        tail += comb(LISTED, k) * threshold**k * (1 - threshold) ** (LISTED - k)
+    for k in range(drawn + 1):
+        tail += comb(drawn, k) * threshold**k * (1 - threshold) ** (drawn - k)
         if tail > 1e-8:
             return k
-    return LISTED
+    return drawn
+
+
+def estimate_least(threshold: float) -> float:
+    """The estimate that a link reaches with a chance above 1 - 1e-8; unions of up to ``SKETCH`` hashes are estimated exactly."""
+    return shared_least(threshold, SKETCH) / SKETCH
 
 
 class Estimates:
@@ -212,7 +214,7 @@ def _cross_candidates(lists: DataFrame, labels: DataFrame, threshold: float) ->
             earlier[-1] = False
             sized = np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i])
             others = np.flatnonzero(right & (root != root[i]) & sized & ~earlier[before].any(axis=1))
-            others = others[estimates.against(i, others) >= threshold - MARGIN]
+            others = others[estimates.against(i, others) >= estimate_least(threshold)]
             long = np.maximum(n[others], n[i]) > LONG
             out += [(value, low, high, 0, node[i], None, node[j]) for j in others[long].tolist()]
             inside[others[~long]] = True
