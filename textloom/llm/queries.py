@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, licenses, near_dedup, nearest, packing, quality, secret_scan, sharding, token_files
+from textloom.llm import bpe, exact_dedup, licenses, near_dedup, nearest, packing, quality, secret_scan, sharding, token_files, web_archive
 from textloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,12 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir), width=3, percent=85)
+
+
+@_register
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = web_archive.archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch_path(spark, "archives"))
+    return web_archive.page_digests(web_archive.read(web_archive.locate(packages)))
+
+
+SQL["op11_warc"] = web_archive.oracle()

@@ -47,3 +47,18 @@ def in_batches(rows: Iterable[tuple], schema: pa.Schema, size=None, most_rows: i
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+SALTS = 1024
+"""Partitions that the rows of one hot key are dealt over."""
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which holds a key once; ``rows`` should be a written table, as it is read twice.
+
+    A key's rows are dealt by a hash of ``by``, and a row of ``table`` is repeated only for the deals that its key
+    really fills: never more rows than ``rows`` has, and no hot key in one task.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    filled = salted.select(key, "_salt").distinct()
+    return salted.join(filled.join(table, key), [key, "_salt"], how).drop("_salt")
