@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.session import scratch_path
@@ -49,6 +50,18 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def named_rows(table: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` of ``table`` with a name of each row in column ``row``, the same in every run over it.
+
+    Rows of files are named by file and place; a table that has no files is written first, and so has them.
+    """
+    try:
+        place = table.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"), *columns)
+    except AnalysisException:
+        return named_rows(written(table.select(*columns), "rows"), *[F.col(n) for n in table.select(*columns).columns])
+    return place.withColumn("row", F.concat_ws("-", F.md5("file"), "place")).drop("file", "place")
+
+
 SALTS = 1024
 """Partitions that the rows of one hot key are dealt over."""
 

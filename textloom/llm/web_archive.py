@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import zip_ranges
-from textloom.llm.support import in_batches, spread_join, written
+from textloom.llm.support import in_batches, named_rows, spread_join, written
+from textloom.session import spread
 
 PACKAGE = 256 << 20
 """Bytes after which a task begins another package; a record is never cut."""
@@ -291,8 +292,8 @@ def read(located: DataFrame) -> DataFrame:
 
         yield from in_batches(rows(), schema, lambda r: len(r[6] or b""))
 
-    stretch = F.floor(F.col("start") / F.lit(STRETCH))
-    dealt = located.repartition("path", stretch).sortWithinPartitions("path", "start")
+    stretched = located.withColumn("stretch", F.floor(F.col("start") / F.lit(STRETCH)))
+    dealt = spread(stretched, "path", "stretch").sortWithinPartitions("path", "start").select("path", "start", "length")
     return dealt.mapInArrow(run, _RECORD)
 
 
@@ -306,16 +307,15 @@ def archive_pages(pages: DataFrame, folder: str, least: int = 1000) -> DataFrame
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     url = F.col("url").cast("string") if "url" in pages.columns else F.lit(None).cast("string")
     page = F.col("page_id").cast("long")
-    rows = pages.select(page.alias("page_id"), url.alias("url"), F.encode(html, "UTF-8").alias("payload"))
-    rows = rows.withColumns({"row": F.monotonically_increasing_id(), "digest": F.sha1("payload"), "same": F.sha2("payload", 256)})
+    rows = named_rows(pages, page.alias("page_id"), url.alias("url"), F.encode(html, "UTF-8").alias("payload"))
     rows = rows.withColumn("n_bytes", F.octet_length("payload").cast("long"))
     rows = rows.withColumn("record_id", F.concat(F.lit(PAGE), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(":"), F.col("row")))
-    numbered = written(rows, "pages")
-    slim = numbered.where(F.col("n_bytes") >= least).select("same", "row", "page_id", "record_id")
+    slim = written(rows.where(F.col("n_bytes") >= least).select(F.sha2("payload", 256).alias("same"), "row", "page_id", "record_id"), "page-rows")
     groups = slim.groupBy("same").agg(F.max(F.struct("page_id", "row", "record_id")).alias("top"), F.count("*").alias("n"))
     groups = groups.where("n > 1").select("same", "top")
     copies = spread_join(slim, groups, "same", "row").where("row <> top.row").select("row", F.col("top.record_id").alias("refers_to"))
-    typed = numbered.join(copies, "row", "left")
+    # Written first, so that its size is known: few copies are sent to where the pages are read.
+    typed = rows.withColumn("digest", F.sha1("payload")).join(written(copies, "page-copies"), "row", "left")
     target = F.coalesce("url", "record_id").alias("target")
     payload = F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload")
     return write(typed.select("record_id", target, payload, "digest", "n_bytes", "refers_to"), folder)

@@ -57,16 +57,17 @@ def _end_record(source) -> tuple[int, int, int, int]:  # noqa: ANN001
     _, disk, first_disk, _, entries, length, start, _ = _END.unpack_from(tail, at)
     end = base + at
     place = source.read_at(20, end - 20) if end >= 20 else b""
-    if place[:4] == LOCATOR and (FULL16 in (disk, first_disk, entries) or FULL32 in (length, start)):
+    if place[:4] == LOCATOR:
         _, _, record, _ = struct.unpack("<4sLQL", place)
         head = source.read_at(_END64.size, record)
         if head[:4] != END64:  # bytes stand before the archive: the record ends at its locator
             record = end - 20 - _END64.size
             head = source.read_at(_END64.size, record)
-        if head[:4] != END64:
-            raise ValueError("the ZIP64 end record is missing")
-        _, _, _, _, disk, first_disk, _, entries, length, start = _END64.unpack(head)
-        end = record
+        if head[:4] == END64:
+            _, _, _, _, disk, first_disk, _, entries, length, start = _END64.unpack(head)
+            end = record
+    if FULL32 in (length, start):
+        raise ValueError("the ZIP64 end record is missing")
     if disk or first_disk:
         raise ValueError("packages over several disks are not read")
     return entries, length, start, end - length - start
