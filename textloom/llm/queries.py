@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, licenses, near_dedup, nearest, packing, quality, secret_scan, sharding, token_files, web_archive
+from textloom.llm import alignment, bpe, exact_dedup, licenses, near_dedup, nearest, packing, quality, secret_scan, sharding, spelling, token_files, web_archive
 from textloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,15 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op11_warc"] = web_archive.oracle()
+
+
+@_register
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir))
+
+
+@_register
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
