@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import json
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as ty
 
 from textloom.functions import constants as C
 from textloom.functions import text as T
-from textloom.session import cut_lineage, spread
-
-# Noncharacters that no text may contain; each unit is stored between the two.
-OPEN, CLOSE = "\ufdd0", "\ufdd1"
+from textloom.operators import training
+from textloom.session import cut_lineage
 
 VOCAB_SCHEMA = "token string, token_id bigint"
 
@@ -80,36 +76,6 @@ def merged_token(lhs: str, rhs: str) -> str:
     return lhs + rhs.removeprefix("##")
 
 
-def _independent(candidates: list, limit: int) -> list:
-    """Longest run of top-ranked pairs whose merges cannot change each other's counts or order.
-
-    Under the frequency score a merge of (a, b) leaves every pair without a or b as it was, and each new pair is at
-    most as frequent, and first seen no earlier in the ranking, than the pair it came from. So the ranking above the
-    first pair that shares a unit stays valid. A pair of equal units ends the run, because it can follow itself.
-    """
-    taken, used = [], set()
-    for row in candidates[:limit]:
-        if row.lhs in used or row.rhs in used:
-            break
-        taken.append(row)
-        if row.lhs == row.rhs:
-            break
-        used |= {row.lhs, row.rhs}
-    return taken
-
-
-def _merge_array(merges: list[tuple[str, str]]) -> Column:
-    """Merges in order, as the marked text to find and the marked text to put; one literal for all of them."""
-    entries = [
-        {
-            "found": f"{OPEN}{lhs}{CLOSE}{OPEN}{rhs}{CLOSE}",
-            "put": f"{OPEN}{merged_token(lhs, rhs)}{CLOSE}",
-        }
-        for lhs, rhs in merges
-    ]
-    return F.from_json(F.lit(json.dumps(entries)), "array<struct<found:string,put:string>>")
-
-
 def train_merges(
     words: DataFrame,
     vocab_size: int,
@@ -117,60 +83,31 @@ def train_merges(
     specials: list[str] | None = None,
     min_frequency: int = 1,
     limit_alphabet: int | None = None,
-    batch: int = 256,
+    batch: int = 512,
     checkpoint_every: int = 25,
 ) -> DataFrame:
     """Vocabulary ``(token, token_id)`` learned from ``(word, freq, first_seen)``.
 
-    Each round is one job over the distinct words; only the winning pairs reach the driver. The frequency score
-    merges a whole run of independent pairs per round, with the same result as one merge per round; the likelihood
-    score merges one pair per round. Equal scores go to the pair first seen in the corpus. A merged token counts
-    toward the size even if it repeats an entry.
+    The result is that of one merge at a time, where equal scores go to the pair first seen in the corpus; rounds of
+    up to ``batch`` merges give it with fewer passes (see ``training``). A merged token counts toward the size even if
+    it repeats an entry.
     """
-    spark = words.sparkSession
     specials = specials or C.SPECIALS_LIKELIHOOD
     units = T.characters(F.col("word"))
     if limit_alphabet is not None:
         kept = alphabet_top(words, limit_alphabet).agg(F.collect_set("char")).scalar()
         words = words.withColumn("_kept", kept)
         units = F.filter(units, lambda c: F.array_contains("_kept", c))
-    marked = F.transform(units, lambda c, i: F.concat(F.lit(OPEN), F.when(i > 0, "##").otherwise(""), c, F.lit(CLOSE)))
-    ordered = words.where(F.col("word") != "").orderBy("first_seen").withColumn("word_rank", F.monotonically_increasing_id())
-    state = cut_lineage(spread(ordered.select("word_rank", "freq", F.array_join(marked, "").alias("units")), "word_rank"))
-
-    def unit_array(column: str) -> Column:
-        inner = F.substring(F.col(column), F.lit(2), F.length(column) - 2)
-        return F.when(F.length(column) > 2, F.split(inner, CLOSE + OPEN)).otherwise(T.no_tokens())
-
-    letters = state.select(F.explode_outer(F.array_distinct(unit_array("units"))).alias("u")).where("u is not null").distinct()
-    vocab = specials + [r.u for r in letters.orderBy("u").collect()]
-    rounds, older = 0, None
-    while len(vocab) < vocab_size:
-        pairs = adjacent_pairs(state, unit_array("units"))
-        if score == "likelihood":
-            ranked, width = score_pairs(pairs), 1
-        else:
-            inner = F.col("lhs").isNotNull() & F.col("rhs").isNotNull() & (F.col("freq") >= min_frequency)
-            ranked, width = pairs.where(inner).withColumn("score", F.col("freq").cast("double")), batch
-        best = ranked.orderBy(F.desc("score"), "first_seen").select("lhs", "rhs").limit(width).collect()
-        if older is not None:
-            older.unpersist()
-        chosen = _independent(best, vocab_size - len(vocab))
-        if not chosen:
-            break
-        vocab += [merged_token(pair.lhs, pair.rhs) for pair in chosen]
-        # The merges of a round are one constant array, so every round runs the same compiled plan on the kept state.
-        merges = _merge_array([(pair.lhs, pair.rhs) for pair in chosen])
-        merged = F.aggregate(merges, F.col("units"), lambda u, m: F.replace(u, m["found"], m["put"]))
-        rounds, older = rounds + 1, state
-        state = state.withColumn("units", merged).persist()
-        if rounds % checkpoint_every == 0:
-            kept = cut_lineage(state)
-            state.unpersist()
-            state = kept
-    state.unpersist()
-    rows = [(token, i) for i, token in enumerate(vocab)]
-    return spark.createDataFrame(rows, ty.StructType([ty.StructField("token", ty.StringType()), ty.StructField("token_id", ty.LongType())]))
+    marked = F.transform(units, lambda c, i: F.concat(F.when(i > 0, "##").otherwise(""), c))
+    ranked = words.where(F.col("word") != "").orderBy("first_seen").withColumn("word_rank", F.monotonically_increasing_id())
+    ordered = cut_lineage(ranked.select("word_rank", "freq", marked.alias("units")))
+    # At most two units per character there is.
+    letters = ordered.select(F.explode(F.array_distinct("units")).alias("u")).distinct().orderBy("u").toArrow()["u"].to_pylist()
+    vocab = specials + letters
+    size = max(vocab_size - len(vocab), 0)
+    vocab += training.merges(ordered, letters, size, merged_token, score == "likelihood", min_frequency, batch, checkpoint_every)
+    tokens = pa.table({"token": pa.array(vocab, pa.string()), "token_id": pa.array(range(len(vocab)), pa.int64())})
+    return words.sparkSession.createDataFrame(tokens, VOCAB_SCHEMA)
 
 
 def train_wordpiece(words: DataFrame, vocab_size: int) -> DataFrame:
