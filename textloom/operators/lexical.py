@@ -6,52 +6,59 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from textloom.functions import text as T
+from textloom.operators import ranking
 from textloom.operators.encoding import segment
-from textloom.session import salted_join, small_side
+from textloom.operators.ranking import TIE_DIGITS
+from textloom.session import cut_lineage, fits_broadcast, salted_join, small_side
 
 TOKENIZERS: dict[str, Callable[[Column], Column]] = {"za": T.tokenize_ws, "eng": T.tokenize_ws, "kgv": T.tokenize_ws}
 """Tokenizers that are plain column expressions; unspaced text goes through ``encoding.segment``."""
 
-TIE_DIGITS = 9
-"""Scores are ranked after rounding, so that the order of a distributed sum cannot break a tie."""
 
+def counted(docs: DataFrame, id_col: str, tokens: Column) -> DataFrame:
+    """``(pair_id, dl, runs)``: every document with its distinct tokens and their counts.
 
-def postings(docs: DataFrame, id_col: str, tokens: Column) -> DataFrame:
-    """``(pair_id, dl, token, tf)``, one row per document and distinct token.
-
-    Counting happens inside each row, so building the index moves no data between executors.
+    Counting happens inside each row, so building an index moves no text between executors.
     """
     ordered = docs.select(F.col(id_col).alias("pair_id"), F.sort_array(tokens).alias("ordered"))
-    counted = ordered.select("pair_id", F.size("ordered").alias("dl"), T.count_runs(F.col("ordered")).alias("runs"))
+    return ordered.select("pair_id", F.size("ordered").alias("dl"), T.count_runs(F.col("ordered")).alias("runs"))
+
+
+def postings(docs: DataFrame, id_col: str, tokens: Column) -> DataFrame:
+    """``(pair_id, dl, token, tf)``, one row per document and distinct token."""
+    return _inlined(counted(docs, id_col, tokens))
+
+
+def _inlined(counted: DataFrame) -> DataFrame:
     # The outer form keeps the optimizer from re-evaluating the array expressions in an inferred size filter.
     return counted.select("pair_id", "dl", F.inline_outer("runs")).where(F.col("token").isNotNull())
 
 
-def parallel_postings(pairs: DataFrame, src_lang: str, tgt_lang: str, lexicon: DataFrame | None = None) -> DataFrame:
-    """Postings of both sides of a parallel corpus with a ``lang`` column.
+def parallel_counted(pairs: DataFrame, src_lang: str, tgt_lang: str, lexicon: DataFrame | None = None) -> DataFrame:
+    """``(lang, pair_id, dl, runs)`` of both sides of a parallel corpus.
 
     A language without spaces between words is cut by ``lexicon``, a table ``(token)``, with its search pieces.
     """
 
     def side(lang: str, column: str) -> DataFrame:
         if lang in TOKENIZERS:
-            found = postings(pairs, "pair_id", TOKENIZERS[lang](F.col(column)))
+            found = counted(pairs, "pair_id", TOKENIZERS[lang](F.col(column)))
         elif lexicon is None:
             raise ValueError(f"language {lang!r} needs a lexicon")
         else:
-            found = postings(segment(pairs, "pair_id", F.col(column), lexicon, search=True), "pair_id", F.col("tokens"))
+            found = counted(segment(pairs, "pair_id", F.col(column), lexicon, search=True), "pair_id", F.col("tokens"))
         return found.select(F.lit(lang).alias("lang"), "*")
 
     return side(src_lang, "src").unionByName(side(tgt_lang, "tgt"))
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """Store postings, one folder per language, clustered by token so a lookup reads few row groups."""
-    by = [c for c in ("lang",) if c in index.columns]
-    writer = index.repartitionByRange(*by, "token", "pair_id").sortWithinPartitions(*by, "token").write.mode("overwrite")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+def parallel_postings(pairs: DataFrame, src_lang: str, tgt_lang: str, lexicon: DataFrame | None = None) -> DataFrame:
+    """Postings of both sides of a parallel corpus with a ``lang`` column."""
+    both = parallel_counted(pairs, src_lang, tgt_lang, lexicon)
+    return both.select("lang", "pair_id", "dl", F.inline_outer("runs")).where(F.col("token").isNotNull())
 
 
 def lookup_word(words: DataFrame, index: DataFrame, pairs: DataFrame, repeat: bool = False) -> DataFrame:
@@ -63,10 +70,11 @@ def lookup_word(words: DataFrame, index: DataFrame, pairs: DataFrame, repeat: bo
     return hits.join(pairs, "pair_id")
 
 
-def lookup_word_pair(
-    word_pairs: DataFrame, index: DataFrame, src_lang: str, tgt_lang: str
-) -> DataFrame:
-    """Pairs whose source holds ``src_word`` and target holds ``tgt_word``; ``tf`` is the source multiplicity."""
+def lookup_word_pair(word_pairs: DataFrame, index: DataFrame, src_lang: str, tgt_lang: str) -> DataFrame:
+    """Pairs whose source holds ``src_word`` and target holds ``tgt_word``; ``tf`` is the source multiplicity.
+
+    The postings of the rarer of the two words are looked up first, and the other word only in the pairs found.
+    """
     asked = word_pairs.select(
         "src_word",
         "tgt_word",
@@ -75,16 +83,21 @@ def lookup_word_pair(
     ).distinct()
     source = index.where(F.col("lang") == src_lang).select("pair_id", F.col("token").alias("s"), "tf")
     target = index.where(F.col("lang") == tgt_lang).select("pair_id", F.col("token").alias("t"))
-    hits = salted_join(source, asked, ["s"], "pair_id")
-    return hits.join(target, ["pair_id", "t"], "left_semi").select("src_word", "tgt_word", "pair_id", "tf")
+    counted = asked.join(source.groupBy("s").agg(F.count("*").alias("s_df")), "s").join(target.groupBy("t").agg(F.count("*").alias("t_df")), "t")
+    counted = cut_lineage(counted)
+    columns = ["src_word", "tgt_word", "pair_id", "tf"]
+    by_source = salted_join(source, counted.where("s_df <= t_df"), ["s"], "pair_id").join(target, ["pair_id", "t"], "left_semi")
+    by_target = salted_join(target, counted.where("s_df > t_df"), ["t"], "pair_id").join(source, ["pair_id", "s"])
+    return by_source.select(*columns).unionByName(by_target.select(*columns))
 
 
 def bm25_stats(index: DataFrame, docs: DataFrame, epsilon: float = 0.25) -> DataFrame:
     """``(token, df, idf, n_docs, avg_len)``; negative idf becomes ``epsilon`` times the mean idf.
 
-    ``docs`` has one row per ranked document, empty ones included; only its row count is read.
+    ``index`` has postings, or the totals of every token. ``docs`` has one row per ranked document, empty ones
+    included; only its row count is read.
     """
-    terms = index.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+    terms = index if "total" in index.columns else index.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
     n_docs = docs.agg(F.count("*").cast("double")).scalar()
     terms = terms.withColumn("n_docs", n_docs)
     idf = F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
@@ -139,13 +152,28 @@ def bm25_topk(
     k: int = 5,
     pad_zero: bool = False,
     index: DataFrame | None = None,
+    forward: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """``(query_id, pair_id, score, rank)``, rank 1 best; equal scores put the higher id first.
 
+    ``forward`` and ``totals`` are the counted documents and token totals of a stored index, ``index`` its postings
+    alone; without them the documents are counted on the way. Query terms of a measured size go to the documents,
+    which are scored where they lie; more of them, or postings alone, meet by token and document in a shuffle.
     ``pad_zero`` fills up with the highest ids of score 0 when fewer than ``k`` documents match.
     """
-    index = postings(docs, "pair_id", doc_tokens) if index is None else index
-    scored = bm25_scores(query_terms(queries, query_tokens), index, bm25_stats(index, docs))
+    terms = query_terms(queries, query_tokens)
+    if index is None:
+        forward = counted(docs, "pair_id", doc_tokens) if forward is None else forward
+        stats = bm25_stats(_inlined(forward) if totals is None else totals, docs)
+        weighted = stats.join(small_side(terms), "token").select("query_id", "token", "qtf", "idf", "avg_len").persist()
+        if forward.schema["pair_id"].dataType == LongType() and fits_broadcast(weighted):
+            scored = ranking.local_topk(weighted.toArrow(), forward, k)
+        else:
+            scored = bm25_scores(terms, _inlined(forward), stats)
+        weighted.unpersist()
+    else:
+        scored = bm25_scores(terms, index, bm25_stats(index, docs))
     best = top_k(scored, k)
     if not pad_zero:
         return best

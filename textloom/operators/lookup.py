@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,12 +15,18 @@ from textloom.operators.lexical import TIE_DIGITS, top_k
 from textloom.session import salted_join, spread
 
 FULL_SCORE = 100.0
-MAX_DISTANCE = 2
-"""Edit distance up to which candidates come from shared deletion variants."""
+EDITS = (2,)
+"""Edit distances up to which candidates come from shared segments, rising."""
 
-BLOCK_WORDS = 20_000
-SCAN_ROWS = 2_000
-"""Pool entries compared at a time; entries of similar length share a matrix."""
+BLOCK_WORDS = 2_048
+BLOCK_ENTRIES = 4_096
+"""Words and entries of a pair of blocks."""
+
+COMPARED = 256
+"""Entries compared at a time, best bound first."""
+
+BUCKETS = 64
+"""Classes of characters, by code point, that are counted for the bound."""
 
 
 def choices(dictionary: DataFrame, min_chars: int = 1, fold_case: bool = False) -> DataFrame:
@@ -61,100 +68,208 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return 100 * (1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))
 
 
-def _without_one(word: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.length(word)),
-        lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))),
-    )
+def _segments(pool: DataFrame, edits: int) -> DataFrame:
+    """``(size, part, piece, match, entry_rank)``: every entry longer than ``edits`` in ``edits + 1`` even segments."""
+    parts = edits + 1
+    cut = pool.where(F.length("match") > edits).withColumn("size", F.length("match"))
+    cut = cut.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(edits))))
+    begin, end = _segment(F.col("size"), F.col("part"), parts)
+    return cut.select("size", "part", F.substring("match", begin + 1, end - begin).alias("piece"), "match", "entry_rank")
+
+
+def _segment(size: Column, part: Column, parts: int) -> tuple[Column, Column]:
+    return tuple(F.floor((part + i) * size / parts).cast("int") for i in (0, 1))
 
 
-def _variants(df: DataFrame, column: str) -> DataFrame:
-    """The word itself and all its forms with one or two characters deleted."""
-    one = df.withColumn("one", F.when(F.length(column) > 0, _without_one(F.col(column))))
-    twice = F.flatten(F.transform("one", lambda v: F.when(F.length(v) > 0, _without_one(v)).otherwise(F.array().cast("array<string>"))))
-    both = one.withColumn("variants", F.array_distinct(F.concat(F.array(column), "one", twice))).drop("one")
-    return both.withColumn("variant", F.explode_outer("variants")).drop("variants")
+def _probes(words: DataFrame, edits: int) -> DataFrame:
+    """``(word, size, part, piece)``: where a segment of an entry within ``edits`` can stand in the word."""
+    length = F.length("word")
+    sized = words.withColumn("size", F.explode(F.sequence(F.greatest(length - edits, F.lit(edits + 1)), F.greatest(length + edits, F.lit(edits + 1)))))
+    sized = sized.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(edits))))
+    begin, end = _segment(F.col("size"), F.col("part"), edits + 1)
+    placed = sized.withColumn("begin", begin).withColumn("n", end - begin).where(F.col("n") <= length)
+    first = F.least(F.greatest(F.col("begin") - edits, F.lit(0)), length - F.col("n"))
+    last = F.greatest(F.least(F.col("begin") + edits, length - F.col("n")), first)
+    at = placed.withColumn("at", F.explode(F.sequence(first, last)))
+    return at.select("word", "size", "part", F.substring("word", F.col("at") + 1, F.col("n")).alias("piece")).distinct()
 
 
-def _near(words: DataFrame, pool: DataFrame) -> DataFrame:
-    """All pool entries within edit distance ``MAX_DISTANCE``: such words share a deletion variant."""
-    hits = salted_join(_variants(spread(pool, "match"), "match"), _variants(words, "word"), ["variant"], "match")
+def _near(words: DataFrame, pool: DataFrame, edits: int) -> DataFrame:
+    """All pool entries longer than ``edits`` within that distance: one of their segments stands in the word unchanged."""
+    hits = salted_join(_segments(pool, edits), _probes(words, edits), ["size", "part", "piece"], "match")
     pairs = hits.select("word", "match", "entry_rank").distinct()
-    close = pairs.where(F.levenshtein("word", "match") <= MAX_DISTANCE)
+    close = pairs.where(F.levenshtein("word", "match", edits) >= 0)
     return close.withColumn("score", edit_similarity(F.col("word"), F.col("match")))
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Words as columns of a zero-padded matrix of code points, and their lengths."""
+    """Words as rows of a zero-padded matrix of code points, and their lengths."""
     sizes = np.array([len(w) for w in words], dtype=np.int64)
-    grid = np.zeros((max(int(sizes.max(initial=0)), 1), len(words)), dtype=np.int32)
-    for column, word in enumerate(words):
-        grid[: len(word), column] = [ord(c) for c in word]
-    return grid, sizes
+    width = max(int(sizes.max(initial=0)), 1)
+    return np.array(words, f"U{width}").view(np.uint32).reshape(len(words), width), sizes
+
+
+def _histograms(grid: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many characters of each word fall in each of ``BUCKETS`` classes."""
+    rows, columns = np.nonzero(np.arange(grid.shape[1]) < sizes[:, None])
+    cells = rows * BUCKETS + grid[rows, columns] % BUCKETS
+    return np.bincount(cells, minlength=len(grid) * BUCKETS).reshape(len(grid), BUCKETS).astype(np.int32)
 
 
 def _distances(word: str, grid: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Edit distance of one word to every column of the grid, all columns at a time."""
-    longest, count = grid.shape
-    above = np.broadcast_to(np.arange(longest + 1, dtype=np.int16)[:, None], (longest + 1, count)).copy()
-    row = np.empty_like(above)
-    for i, char in enumerate(word, 1):
-        differs = (grid != ord(char)).astype(np.int16)
-        row[0] = i
-        for j in range(longest):
-            np.minimum(above[j + 1], row[j], out=row[j + 1])
-            row[j + 1] += 1
-            np.minimum(row[j + 1], above[j] + differs[j], out=row[j + 1])
-        above, row = row, above
-    return above[sizes, np.arange(count)]
+    """Edit distances of one word to all rows of the grid: bits of a machine word, or of a long integer, per column."""
+    if len(word) > 64:
+        return np.array([_long_distance(word, row[:n].tolist()) for row, n in zip(grid, sizes.tolist())], np.int64)
+    ones, size = np.uint64(1), len(word)
+    places: dict[int, int] = {}
+    for i, c in enumerate(word):
+        places[ord(c)] = places.get(ord(c), 0) | 1 << i
+    known = np.array(sorted(places), np.uint32)
+    masks = np.array([*(places[c] for c in known.tolist()), 0], np.uint64)
+    index = np.minimum(np.searchsorted(known, grid), len(known) - 1)
+    index[known[index] != grid] = len(known)
+    equal = masks[index]
+    top = np.uint64(size - 1)
+    plus, minus = np.full(len(grid), (1 << size) - 1, np.uint64), np.zeros(len(grid), np.uint64)
+    now = np.full(len(grid), size, np.int64)
+    out = now.copy()
+    for j in range(int(sizes.max(initial=0))):
+        eq = equal[:, j]
+        across = (((eq & plus) + plus) ^ plus) | eq
+        up, down = minus | ~(across | plus), plus & across
+        now += ((up >> top) & ones).astype(np.int64) - ((down >> top) & ones).astype(np.int64)
+        up, down, lower = up << ones | ones, down << ones, eq | minus
+        plus, minus = down | ~(lower | up), up & lower
+        out = np.where(sizes == j + 1, now, out)
+    return out
+
+
+def _long_distance(word: str, other: list[int]) -> int:
+    places: dict[int, int] = {}
+    for i, c in enumerate(word):
+        places[ord(c)] = places.get(ord(c), 0) | 1 << i
+    whole, top = (1 << len(word)) - 1, 1 << len(word) - 1
+    plus, minus, now = whole, 0, len(word)
+    for c in other:
+        eq = places.get(c, 0)
+        across = (((eq & plus) + plus) ^ plus) | eq
+        up, down = minus | ~(across | plus) & whole, plus & across
+        now += bool(up & top) - bool(down & top)
+        up, down, lower = (up << 1 | 1) & whole, down << 1 & whole, eq | minus
+        plus, minus = down | ~(lower | up) & whole, up & lower
+    return now
+
+
+class Entries:
+    """Entries of a block in dictionary order, and the best of them for one word after another."""
+
+    def __init__(self, entries: list[str]) -> None:
+        self.grid, self.sizes = _codes(entries)
+        self.bags = _histograms(self.grid, self.sizes)
+
+    def best(self, word: str, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the ``k`` most similar entries, first of equals first; below ``least`` they may be left out.
+
+        Characters that one side lacks, counted by class, bound the distance from below. Entries are compared in the
+        order of that bound until none left can reach the ``k``-th score.
+        """
+        longer = np.maximum(self.sizes, len(word))
+        missing = self.bags - _histograms(*_codes([word]))
+        fewest = np.maximum(np.maximum(missing, 0).sum(axis=1), np.maximum(-missing, 0).sum(axis=1))
+        most = np.round(100 * (1 - fewest / longer), TIE_DIGITS)
+        order = np.argsort(-most, kind="stable")
+        order = order[: np.searchsorted(-most[order], -least, "right")]
+        places, scores = np.empty(0, np.int64), np.empty(0)
+        for at in range(0, len(order), COMPARED):
+            chosen = order[at : at + COMPARED]
+            if len(places) == k and most[chosen[0]] < np.round(scores[-1], TIE_DIGITS):
+                break
+            score = 100 * (1 - _distances(word, self.grid[chosen], self.sizes[chosen]) / longer[chosen])
+            places, scores = np.concatenate([places, chosen]), np.concatenate([scores, score])
+            kept = np.lexsort((places, -np.round(scores, TIE_DIGITS)))[:k]
+            places, scores = places[kept], scores[kept]
+        return places, scores
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one ``(words, entries)`` block pair after another."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        pairs = np.stack([batch.column(c).to_numpy() for c in ("words", "entries")], 1)
+        starts = [0, *(np.flatnonzero((np.diff(pairs, axis=0) != 0).any(axis=1)) + 1).tolist(), len(pairs)]
+        for start, end in zip(starts, starts[1:]):
+            if held and tuple(pairs[start]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = tuple(pairs[start])
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _scan(words: DataFrame, pool: DataFrame, k: int) -> DataFrame:
-    """Exact search over the whole pool for the words that need it; each batch emits its own best ``k`` per word."""
-    spark = words.sparkSession
-    schema = "word string, match string, entry_rank bigint, score double"
-    found = spark.createDataFrame([], schema)
-    parts = -(-words.count() // BLOCK_WORDS)
-    for part in range(parts):
-        chosen = words.where(F.pmod(F.xxhash64("word"), F.lit(parts)) == part)
-        block = spark.sparkContext.broadcast([r.word for r in chosen.collect()])
-
-        def scan(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                by_length = batch.take(pc.sort_indices(pc.utf8_length(batch.column("match"))))
-                for start in range(0, by_length.num_rows, SCAN_ROWS):
-                    part = by_length.slice(start, SCAN_ROWS)
-                    matches, ranks = part.column("match"), part.column("entry_rank").to_numpy()
-                    grid, sizes = _codes(matches.to_pylist())
-                    for word in block.value:
-                        score = 100 * (1 - _distances(word, grid, sizes) / np.maximum(sizes, len(word)))
-                        best = np.lexsort((ranks, -np.round(score, TIE_DIGITS)))[:k]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([word] * len(best)), matches.take(pa.array(best)), pa.array(ranks[best]), pa.array(score[best])],
-                            ["word", "match", "entry_rank", "score"],
-                        )
-
-        found = found.unionByName(spread(pool.select("match", "entry_rank"), "match").mapInArrow(scan, schema))
-    return found
+    """Exact search over the whole pool for ``(word, worst)``, ``worst`` being a score that ``k`` entries reach, or null.
+
+    Blocks of words meet blocks of entries, any pair of blocks in any task; each gives its own best ``k`` per word.
+    """
+    kind = pool.schema["entry_rank"].dataType.simpleString()
+    blocks = lambda df, rows: df.agg(F.greatest(F.ceil(F.count("*") / rows), F.lit(1)).cast("int")).scalar()
+    n_words, n_entries = blocks(words, BLOCK_WORDS), blocks(pool, BLOCK_ENTRIES)
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    asked = words.select(
+        F.pmod(F.xxhash64("word"), n_words).cast("int").alias("words"), every(n_entries).alias("entries"), "word", "worst",
+        F.lit(None).cast("string").alias("match"), F.lit(None).cast(kind).alias("entry_rank"),
+    )
+    offered = pool.select(
+        every(n_words).alias("words"), F.pmod(F.xxhash64("match"), n_entries).cast("int").alias("entries"), F.lit(None).cast("string").alias("word"),
+        F.lit(None).cast("double").alias("worst"), "match", "entry_rank",
+    )
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in _tiles(batches):
+            is_word = pc.is_valid(tile["word"])
+            asked, offered = tile.filter(is_word), tile.filter(pc.invert(is_word)).combine_chunks()
+            if not offered.num_rows:
+                continue
+            block = Entries(offered["match"].to_pylist())
+            for word, worst in zip(asked["word"].to_pylist(), asked["worst"].to_pylist()):
+                places, scores = block.best(word, k, -1.0 if worst is None else worst)
+                if len(places):
+                    taken = offered.select(["match", "entry_rank"]).take(pa.array(places)).combine_chunks()
+                    columns = [pa.array([word] * len(places)), taken["match"].chunk(0), taken["entry_rank"].chunk(0), pa.array(scores)]
+                    yield pa.RecordBatch.from_arrays(columns, ["word", "match", "entry_rank", "score"])
+
+    rows = spread(asked.unionByName(offered), "words", "entries").sortWithinPartitions("words", "entries", "entry_rank")
+    return rows.mapInArrow(scan, f"word string, match string, entry_rank {kind}, score double")
 
 
 def dict_fuzzy_topk(words: DataFrame, pool: DataFrame, k: int) -> DataFrame:
     """``(word, match, score, rank)``: the ``k`` most similar entries, exact; equal scores in dictionary order.
 
-    Entries within two edits come from a join on deletion variants. Any other entry differs from a word of length L
-    by d >= 3 edits and is at most L + d long, so its similarity is at most 100 * L / (L + 3). A word whose k-th
-    score beats that bound is finished; only the others are compared with the whole pool.
+    Entries within ``EDITS`` edits come from joins on segments, one after the other for the words that need more. Any
+    other entry differs from a word of length L by d > ``EDITS`` edits and is at most L + d long, so its similarity is
+    at most 100 * L / (L + d). A word whose k-th score beats that bound is finished. Only the others are compared with
+    the pool, and there only with entries whose characters allow the k-th score.
     """
     order = [F.round("score", TIE_DIGITS).desc(), F.col("entry_rank").asc()]
-    near = top_k(_near(words.select("word"), pool), k, "word", order).persist()
-    bound = 100 * F.length("word") / (F.length("word") + MAX_DISTANCE + 1)
-    finished = near.groupBy("word").agg(F.count("*").alias("n"), F.min("score").alias("worst"))
-    finished = finished.where((F.col("n") >= k) & (F.col("worst") > bound + 1e-6)).select("word")
-    rest = words.select("word").where(F.col("word") != "").distinct().join(finished, "word", "left_anti").persist()
-    scanned = top_k(_scan(rest, pool, k), k, "word", order)
-    done = near.join(finished, "word", "left_semi")
     columns = ["word", "match", "score", "rank"]
-    return done.select(*columns).unionByName(scanned.select(*columns))
+    rest = words.select("word").where(F.col("word") != "").distinct().withColumn("worst", F.lit(None).cast("double"))
+    parts = []
+    for edits in EDITS:
+        near = top_k(_near(rest.select("word"), pool, edits), k, "word", order).select(*columns).persist()
+        found = near.groupBy("word").agg(F.count("*").alias("n"), F.min(F.round("score", TIE_DIGITS)).alias("kth"))
+        found = rest.select("word").join(found.where(F.col("n") >= k), "word", "left").withColumnRenamed("kth", "worst")
+        bound = 100 * F.length("word") / (F.length("word") + edits + 1)
+        # Entries of at most ``edits`` characters have no segments, and are near words of up to twice that.
+        finished = (F.length("word") > 2 * edits) & (F.col("worst") > bound + 1e-6)
+        split = found.select("word", "worst", F.coalesce(finished, F.lit(False)).alias("finished"))
+        parts.append(near.join(split.where("finished"), "word", "left_semi"))
+        rest = split.where("not finished").select("word", "worst")
+    parts.append(top_k(_scan(rest, pool, k), k, "word", order).select(*columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def dict_lookup(

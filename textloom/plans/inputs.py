@@ -90,18 +90,18 @@ def assigned_vectors(spark: SparkSession, sf: str, ids: DataFrame, factor: int,
 
 
 def dictionary_entries(spark: SparkSession, sf: str) -> DataFrame:
-    """``(word, meanings, source, entry_rank)``: each use of a word in an English document is one entry.
+    """``(word, meanings, source, entry_rank)``: each use of a word in a document is one entry.
 
     Meanings are up to three brands of parts whose name starts with the same letter, or the word itself.
     """
-    docs = documents(spark, sf, "lang", "source").where("lang = 'en'")
+    docs = documents(spark, sf, "source")
     uses = docs.select("doc_id", "source", F.posexplode_outer(T.tokenize_ws(F.col("text"))).alias("pos", "word"))
     uses = uses.where("word is not null").withColumn("letter", F.substring("word", 1, 1))
     letters = table(spark, sf, "part", F.substring("p_name", 1, 1).alias("letter"), "p_brand")
     brands = letters.groupBy("letter").agg(F.slice(F.array_sort(F.collect_set("p_brand")), 1, 3).alias("brands"))
     # One row per initial of a part name: bounded by the letters of the product names.
     joined = uses.join(F.broadcast(brands), "letter", "left")
-    rank = F.col("doc_id") * F.lit(2**24) + F.col("pos")
+    rank = F.struct("doc_id", "pos")
     return joined.select("word", F.coalesce("brands", F.array("word")).alias("meanings"), "source", rank.alias("entry_rank"))
 
 
@@ -146,13 +146,12 @@ def base_vocab(spark: SparkSession, sf: str, size: int = 30000) -> DataFrame:
 
 
 def trained_vocab(spark: SparkSession, sf: str, size: int = 30000) -> DataFrame:
-    """``(token)``: words used at least twice in the documents that are not in English."""
-    docs = documents(spark, sf, "lang").where("lang <> 'en'")
-    words = bert_words(docs, "doc_id").where("freq >= 2")
+    """``(token)``: words used at least twice in the documents."""
+    words = bert_words(documents(spark, sf), "doc_id").where("freq >= 2")
     return words.orderBy(F.desc("freq"), "word").limit(size).select(F.col("word").alias("token"))
 
 
-def extended_vocab(spark: SparkSession, sf: str, n: int = 2000) -> DataFrame:
+def extended_vocab(spark: SparkSession, sf: str, n: int = 5000) -> DataFrame:
     """``(token, token_id, added)``."""
     base = base_vocab(spark, sf)
     return vocabulary.extend_vocab(base, vocabulary.select_new_tokens(trained_vocab(spark, sf), base, n)).persist()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators import lexical, lookup, vector
+from textloom.operators.index import StoredIndex
 from textloom.operators.prompts import semantic_rules
 from textloom.plans import inputs as I
 from textloom.plans import sql as S
@@ -20,11 +21,15 @@ def _postings_sql(name: str, table: str, id_col: str, text: str) -> str:
       SELECT {id_col}, len(ts) AS dl, unnest(ts) AS token FROM (SELECT {id_col}, {S.tok_ws(text)} AS ts FROM {table})) GROUP BY ALL)"""
 
 
-def _bm25_sql(docs: str, doc_id: str, doc_text: str, queries: str, query_id: str, query_text: str, k: int) -> str:
+def _idf_sql(docs: str, doc_id: str, doc_text: str) -> str:
     return f"""{_postings_sql('post', docs, doc_id, doc_text)},
 corpus AS (SELECT (SELECT count(*) FROM {docs}) AS n, (SELECT sum(tf) FROM post) / (SELECT count(*) FROM {docs}) AS avg_len),
 raw_idf AS (SELECT token, count(*) AS df, ln(n - count(*) + 0.5) - ln(count(*) + 0.5) AS idf FROM post, corpus GROUP BY token, n),
-idf AS (SELECT token, df, CASE WHEN idf < 0 THEN 0.25 * (SELECT avg(idf) FROM raw_idf) ELSE idf END AS idf FROM raw_idf),
+idf AS (SELECT token, df, CASE WHEN idf < 0 THEN 0.25 * (SELECT avg(idf) FROM raw_idf) ELSE idf END AS idf FROM raw_idf)"""
+
+
+def _bm25_sql(docs: str, doc_id: str, doc_text: str, queries: str, query_id: str, query_text: str, k: int) -> str:
+    return f"""{_idf_sql(docs, doc_id, doc_text)},
 asked AS (SELECT {query_id} AS query_id, token, count(*) AS qtf FROM (
   SELECT {query_id}, unnest({S.tok_ws(query_text)}) AS token FROM {queries}) GROUP BY ALL),
 scored AS (SELECT query_id, pair_id, sum(qtf * idf * tf * 2.5 / (tf + CAST(1.5 AS DOUBLE) * (CAST(0.25 AS DOUBLE) + CAST(0.75 AS DOUBLE) * dl / avg_len))) AS score
@@ -33,14 +38,22 @@ bm25 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER
   WHERE rank <= {k})"""
 
 
+def stored_index(spark: SparkSession, counted: DataFrame) -> StoredIndex:
+    index = StoredIndex(spark, scratch_path(spark, "index"))
+    index.append(counted)
+    return index
+
+
 @query(
     "bm25_topk",
     f"""WITH {_bm25_sql('documents', 'doc_id', 'text', 'benchmark', 'item_id', 'text', 5)}
     SELECT query_id, pair_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM bm25""",
 )
 def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
-    tokens = T.tokenize_ws(F.col("text"))
-    best = lexical.bm25_topk(I.passages(spark, sf), I.corpus(spark, sf), tokens, tokens)
+    """Ranking of the documents from an index stored once."""
+    tokens, docs = T.tokenize_ws(F.col("text")), I.corpus(spark, sf)
+    stored = stored_index(spark, lexical.counted(docs, "pair_id", tokens))
+    best = lexical.bm25_topk(I.passages(spark, sf), docs, tokens, tokens, forward=stored.documents(), totals=stored.totals())
     return best.select("query_id", "pair_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -52,17 +65,15 @@ def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
 def bm25_topk_tgt(spark: SparkSession, sf: str) -> DataFrame:
     """Ranking on the target side, from an index stored once and read for that language only."""
     pairs = I.parallel_pairs(spark, sf)
-    path = scratch_path(spark, "index")
-    lexical.write_index(lexical.parallel_postings(pairs, "za", "eng"), path)
-    index = spark.read.parquet(path).where("lang = 'eng'").drop("lang")
+    stored = stored_index(spark, lexical.parallel_counted(pairs, "za", "eng"))
     tokens = lexical.TOKENIZERS["eng"](F.col("text"))
-    best = lexical.bm25_topk(I.passages(spark, sf), pairs, tokens, tokens, k=3, index=index)
+    best = lexical.bm25_topk(I.passages(spark, sf), pairs, tokens, tokens, k=3, forward=stored.documents("eng"), totals=stored.totals("eng"))
     return best.select("query_id", "pair_id", F.round("score", 6).alias("score"), "rank")
 
 
 @query(
     "bm25_stats",
-    f"""WITH {_bm25_sql('documents', 'doc_id', 'text', 'benchmark', 'item_id', 'text', 5)}
+    f"""WITH {_idf_sql('documents', 'doc_id', 'text')}
     SELECT token, df, round(idf, 6) AS idf, CAST(n AS DOUBLE) AS n_docs, round(avg_len, 6) AS avg_len FROM idf, corpus""",
 )
 def bm25_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,7 +101,7 @@ def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
 def lookup_word(spark: SparkSession, sf: str) -> DataFrame:
     """Every passage word, asked with blanks and capitals."""
     pairs = I.parallel_pairs(spark, sf)
-    index = lexical.postings(pairs, "pair_id", T.tokenize_ws(F.col("src")))
+    index = stored_index(spark, lexical.parallel_counted(pairs, "za", "eng")).postings("za")
     asked = I.passage_words(spark, sf).select(F.concat(F.lit(" "), F.translate("word", "abcdefgh", "ABCDEFGH"), F.lit("\t")).alias("word"))
     found = lexical.lookup_word(asked, index, pairs)
     return found.select(T.strip(F.lower("word")).alias("word"), "pair_id", "tf", "src")
@@ -98,17 +109,19 @@ def lookup_word(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "lookup_word_pair",
-    f"""WITH {_INDEX}, asked AS (SELECT DISTINCT ts[1] AS src_word, ts[2] AS tgt_word FROM (
-      SELECT {S.tok_ws('text')} AS ts FROM documents) WHERE len(ts) > 1)
+    f"""WITH {_INDEX}, asked AS (SELECT DISTINCT ts[i] AS src_word, ts[i + 1] AS tgt_word FROM (
+      SELECT ts, unnest(range(1, len(ts))) AS i FROM (SELECT {S.tok_ws('text')} AS ts FROM documents)))
     SELECT src_word, tgt_word, z.pair_id, CAST(z.tf AS INT) AS tf FROM asked JOIN za z ON z.token = src_word
     JOIN eng e ON e.token = tgt_word AND e.pair_id = z.pair_id""",
 )
 def lookup_word_pair(spark: SparkSession, sf: str) -> DataFrame:
-    """The first two words of every document as word pair."""
-    index = lexical.parallel_postings(I.parallel_pairs(spark, sf), "za", "eng")
-    first = I.documents(spark, sf).select(F.slice(T.tokenize_ws(F.col("text")), 1, 2).alias("t"))
-    asked = first.where(F.size("t") > 1).select(F.get("t", 0).alias("src_word"), F.get("t", 1).alias("tgt_word"))
-    return lexical.lookup_word_pair(asked, index, "za", "eng")
+    """All neighbouring words of every document as word pairs."""
+    stored = stored_index(spark, lexical.parallel_counted(I.parallel_pairs(spark, sf), "za", "eng"))
+    both = [stored.postings(lang).withColumn("lang", F.lit(lang)) for lang in ("za", "eng")]
+    words = I.documents(spark, sf).select(T.tokenize_ws(F.col("text")).alias("t"))
+    following = F.arrays_zip(F.col("t").alias("src_word"), F.slice("t", 2, F.size("t")).alias("tgt_word"))
+    asked = words.where(F.size("t") > 1).select(F.inline(following)).where("tgt_word is not null").distinct()
+    return lexical.lookup_word_pair(asked, both[0].unionByName(both[1]), "za", "eng")
 
 
 def keyword_queries(items: DataFrame) -> DataFrame:

@@ -41,31 +41,33 @@ def scan_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ragged_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """``(doc_id, value)``: every shape a corpus line can have, chosen by the document number."""
+    """``(doc_id, value)``: each document in one of the shapes of a corpus line, by its number, and blank lines."""
     d = I.documents(spark, sf, "lang", "source", "n_chars")
+    one_line = F.translate("text", "\n", " ")
     shape = F.col("doc_id") % 8
     json_string = F.to_json(F.array("text"))
     value = (
         F.when(shape == 0, F.to_json(F.struct("text", F.col("source").alias("title"))))
         .when(shape == 1, F.to_json(F.struct(F.col("source").alias("title"), F.col("text").alias("body"))))
-        .when(shape == 2, F.to_json(F.struct("lang", "n_chars", "source")))
-        .when((shape == 3) & (F.col("doc_id") % 16 == 11), F.concat(F.lit("{"), "lang", F.lit("}")))
-        .when(shape == 3, F.translate("text", "\n", " "))
+        .when(shape == 2, F.to_json(F.struct("lang", "n_chars", F.col("text").alias("note"))))
+        .when((shape == 3) & (F.col("doc_id") % 16 == 11), F.concat(F.lit("{"), one_line, F.lit("}")))
+        .when(shape == 3, one_line)
         .when(shape == 4, F.substring(json_string, F.lit(2), F.length(json_string) - 2))
-        .when(shape == 5, F.col("n_chars").cast("string"))
-        .when(shape == 6, F.to_json(F.struct(F.array("lang", "source").alias("abstract"))))
-        .otherwise("  ")
+        .when(shape == 5, json_string)
+        .when(shape == 6, F.to_json(F.struct(F.array("lang", "text").alias("abstract"))))
+        .otherwise(F.to_json(F.struct(F.lit("").alias("title"), F.col("text").alias("document"))))
     )
-    return d.select("doc_id", value.alias("value"))
+    blank = d.where(shape == 7).select("doc_id", F.lit("  ").alias("value"))
+    return d.select("doc_id", value.alias("value")).unionByName(blank)
 
 
 @query(
     "extract_text",
     f"""SELECT doc_id, {S.strip('t')} AS text FROM (SELECT doc_id, CASE
       WHEN doc_id % 8 = 0 THEN text || ' ' || source WHEN doc_id % 8 = 1 THEN text || ' ' || source
-      WHEN doc_id % 8 = 2 THEN lang || ' ' || source WHEN doc_id % 16 = 11 THEN '{{' || lang || '}}'
+      WHEN doc_id % 8 = 2 THEN lang || ' ' || text WHEN doc_id % 16 = 11 THEN '{{' || replace(text, chr(10), ' ') || '}}'
       WHEN doc_id % 8 = 3 THEN replace(text, chr(10), ' ') WHEN doc_id % 8 = 4 THEN text
-      WHEN doc_id % 8 = 6 THEN lang || ' ' || source END AS t FROM documents)
+      WHEN doc_id % 8 = 6 THEN lang || ' ' || text WHEN doc_id % 8 = 7 THEN text END AS t FROM documents)
     WHERE t IS NOT NULL AND {S.strip('t')} <> ''""",
 )
 def extract_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,10 +120,10 @@ def load_parallel(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "load_dictionary",
-    f"WITH {S.DICTIONARY} SELECT word, {_sql_bars('meanings')} AS meanings, source, entry_rank FROM dict",
+    f"WITH {S.DICTIONARY} SELECT word, {_sql_bars('meanings')} AS meanings, source, entry_rank.doc_id AS first_doc, CAST(entry_rank.pos AS INTEGER) AS first_pos FROM dict",
 )
 def load_dictionary(spark: SparkSession, sf: str) -> DataFrame:
-    return I.dictionary(spark, sf).select("word", bars("meanings").alias("meanings"), "source", "entry_rank")
+    return I.dictionary(spark, sf).select("word", bars("meanings").alias("meanings"), "source", F.col("entry_rank.doc_id").alias("first_doc"), F.col("entry_rank.pos").alias("first_pos"))
 
 
 @query(
@@ -330,7 +332,7 @@ def fold_apostrophes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _UNSPACED = rf"regexp_replace(regexp_replace(regexp_replace(lower(text), '[{S.C.CJK_MARKS}]', '', 'g'), '\p{{Nd}}+', '', 'g'), '[{S.WS}]+', '', 'g')"
-_SEGMENT = f"""WITH RECURSIVE lex AS (SELECT DISTINCT w FROM (SELECT unnest({S.tok_ws('text')}) AS w FROM documents WHERE lang = 'en')),
+_SEGMENT = f"""WITH RECURSIVE lex AS (SELECT DISTINCT w FROM (SELECT unnest({S.tok_ws('text')}) AS w FROM documents)),
 texts AS (SELECT item_id, {_UNSPACED} AS t FROM benchmark),
 spans AS (SELECT item_id, s, max(e) AS e FROM (
   SELECT item_id, t, s, unnest(range(s, least(length(t), s + (SELECT max(length(w)) FROM lex) - 1) + 1)) AS e FROM (
@@ -361,8 +363,8 @@ def segment_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _segmented(spark: SparkSession, sf: str, search: bool) -> DataFrame:
-    """Passages without blanks, cut with the words of the English documents."""
-    lexicon = I.documents(spark, sf, "lang").where("lang = 'en'").select(F.explode_outer(T.tokenize_ws(F.col("text"))).alias("token"))
+    """Passages without blanks, cut with the words of the documents."""
+    lexicon = I.documents(spark, sf).select(F.explode_outer(T.tokenize_ws(F.col("text"))).alias("token"))
     joined = F.regexp_replace("text", f"[{S.WS}]+", "")
     texts = I.table(spark, sf, "benchmark", "item_id", joined.alias("text"))
     cut = encoding.segment(texts, "item_id", F.col("text"), lexicon.where("token is not null").distinct(), search)

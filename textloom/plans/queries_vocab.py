@@ -144,12 +144,12 @@ def is_domain_term(spark: SparkSession, sf: str) -> DataFrame:
     return document_words(spark, sf).select(F.col("word").alias("token"), vocabulary.is_domain_term(F.col("word")).alias("domain"))
 
 
-_CHOSEN = f"{S.BASE_VOCAB}, {S.TRAINED}, {S.selected(2000)}"
+_CHOSEN = f"{S.BASE_VOCAB}, {S.TRAINED}, {S.selected(5000)}"
 
 
 @query("select_new_tokens", f"WITH {_CHOSEN} SELECT token, CAST(tier AS INT) AS tier, pos FROM chosen")
 def select_new_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return vocabulary.select_new_tokens(I.trained_vocab(spark, sf), I.base_vocab(spark, sf), 2000)
+    return vocabulary.select_new_tokens(I.trained_vocab(spark, sf), I.base_vocab(spark, sf), 5000)
 
 
 @query("select_few_tokens", f"WITH {S.BASE_VOCAB}, {S.TRAINED}, {S.selected(5)} SELECT token, CAST(tier AS INT) AS tier, pos FROM chosen")

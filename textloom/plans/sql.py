@@ -100,9 +100,9 @@ def best_rules(alpha: str, k: int, name: str = "best") -> str:
 
 ENTRIES = f"""brands AS (SELECT left(p_name, 1) AS letter, list_slice(list_sort(list_distinct(list(p_brand))), 1, 3) AS brands
   FROM part GROUP BY 1),
-uses AS (SELECT doc_id, source, toks[pos] AS word, doc_id * 16777216 + pos - 1 AS entry_rank FROM (
+uses AS (SELECT doc_id, source, toks[pos] AS word, struct_pack(doc_id := doc_id, pos := pos - 1) AS entry_rank FROM (
   SELECT doc_id, source, toks, unnest(range(1, len(toks) + 1)) AS pos FROM (
-    SELECT doc_id, source, {tok_ws('text')} AS toks FROM documents WHERE lang = 'en'))),
+    SELECT doc_id, source, {tok_ws('text')} AS toks FROM documents))),
 entries AS (SELECT word, coalesce(brands, [word]) AS meanings, source, entry_rank
   FROM uses LEFT JOIN brands ON left(word, 1) = letter)"""
 DICTIONARY = f"""{ENTRIES},
@@ -128,7 +128,7 @@ kept AS (SELECT piece AS token FROM pieces GROUP BY piece ORDER BY sum(freq) DES
 base AS (
   SELECT unnest([{listed(C.SPECIALS_LIKELIHOOD)}]) AS token, CAST(unnest([0, 1, 2, 3, 4]) AS BIGINT) AS token_id
   UNION ALL SELECT token, 4 + row_number() OVER (ORDER BY token) FROM kept)"""
-TRAINED = f"""{word_counts('trained_words', 'documents', 'doc_id', "lang <> 'en'")},
+TRAINED = f"""{word_counts('trained_words', 'documents', 'doc_id')},
 trained AS (SELECT word AS token FROM trained_words WHERE freq >= 2 ORDER BY freq DESC, word LIMIT 30000)"""
 DOMAIN = "(" + " OR ".join(
     [rf"regexp_matches(lower(token), {quoted('^(?:' + p + ')')})" for p in C.DOMAIN_PATTERNS]
