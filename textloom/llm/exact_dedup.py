@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.support import SPACES, byte_list, in_batches, keyed_texts, written
+from textloom.llm.support import SPACES, byte_list, filed, in_batches, named_rows, spread_join, written
 
 CHUNK = 1 << 16
 PRIMES = (2147483647, 2147483629)
@@ -55,22 +55,23 @@ def same(a: bytes, b: bytes) -> bool:
 
 
 def _fingerprints(docs: DataFrame, primes: tuple[int, int], with_text: bool) -> DataFrame:
-    fields = [("doc_id", pa.int64()), ("chars", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("n_bytes", pa.int64()), ("text_sha256", pa.string())]
+    fields = [("row", pa.string()), ("doc_id", pa.int64()), ("chars", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("n_bytes", pa.int64()), ("text_sha256", pa.string())]
     schema = pa.schema(fields + [("body", pa.binary())] * with_text)
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for doc_id, data in zip(batch["doc_id"].to_pylist(), byte_list(batch["text"])):
+        for name, doc_id, data in zip(batch["row"].to_pylist(), batch["doc_id"].to_pylist(), byte_list(batch["text"])):
             body = data.translate(None, SPACES)
             chars = len(data) - np.count_nonzero((np.frombuffer(data, np.uint8) & 0xC0) == 0x80)
             prints = [fingerprint(body, b, p) for b, p in zip(BASES, primes)]
-            row = (doc_id, int(chars), *prints, len(body), hashlib.sha256(body).hexdigest())
+            row = (name, doc_id, int(chars), *prints, len(body), hashlib.sha256(body).hexdigest())
             yield (*row, body) if with_text else row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from in_batches((r for b in batches for r in rows(b)), schema, lambda r: len(r[-1]))
 
-    spec = "doc_id bigint, chars bigint, fp1 bigint, fp2 bigint, n_bytes bigint, text_sha256 string" + ", body binary" * with_text
-    return keyed_texts(docs).mapInArrow(run, spec)
+    spec = "row string, doc_id bigint, chars bigint, fp1 bigint, fp2 bigint, n_bytes bigint, text_sha256 string" + ", body binary" * with_text
+    named = named_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return named.select("row", "doc_id", "text").mapInArrow(run, spec)
 
 
 def _compared(pairs: DataFrame) -> DataFrame:
@@ -88,18 +89,12 @@ def _compared(pairs: DataFrame) -> DataFrame:
     return pairs.select(*KEY, "text_sha256", "body", "pivot").mapInArrow(run, "fp1 bigint, fp2 bigint, n_bytes bigint, text_sha256 string, equal boolean")
 
 
-def exact_groups(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
-    """``(doc_id, keep_id, group_size, kept, text_sha256)`` per row of ``docs``.
-
-    Texts are equal when identical without ``[\\x20\\x09-\\x0D]``; null counts as empty. The row with the most code
-    points stays, then the smallest doc_id, null ids last. Repeated rows count in ``group_size`` and share ``kept``;
-    a null ``keep_id`` keeps the rows with a null id. Other columns are left out. Texts with equal fingerprints are
-    compared with one of them chunk by chunk; those that differ form groups of their own in further rounds. Only
-    texts whose fingerprint occurs twice are shuffled.
-    """
+def _classified(docs: DataFrame, primes: tuple[int, int]) -> DataFrame:
+    """``(row, doc_id, chars, text_sha256, *KEY, class)``: rows of equal texts share ``KEY`` and ``class``."""
+    docs = filed(docs)
     prints = written(_fingerprints(docs, primes, False), "prints")
     twice = prints.groupBy(*KEY).count().where("count > 1").select(*KEY)
-    rest = written(_fingerprints(docs, primes, True).join(twice, KEY, "left_semi"), "twice")
+    rest = written(_fingerprints(docs, primes, True).drop("row").join(twice, KEY, "left_semi"), "twice")
     classes = None
     number = 0
     while True:
@@ -115,11 +110,37 @@ def exact_groups(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame
         rest = written(rest.join(differ, [*KEY, "text_sha256"], "left_semi"), "differ")
         number += 1
     if number:
-        prints = prints.join(classes, [*KEY, "text_sha256"], "left").withColumn("class", F.coalesce("class", F.lit(0)))
-    else:
-        prints = prints.withColumn("class", F.lit(0))
+        return prints.join(classes, [*KEY, "text_sha256"], "left").withColumn("class", F.coalesce("class", F.lit(0)))
+    return prints.withColumn("class", F.lit(0))
+
+
+def _stays() -> list[Column]:
+    """Order of preference of the rows of a group."""
+    return [F.col("chars"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus")]
+
+
+def exact_groups(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
+    """``(doc_id, keep_id, group_size, kept, text_sha256)`` per row of ``docs``.
+
+    Texts are equal when identical without ``[\\x20\\x09-\\x0D]``; null counts as empty. The row with the most code
+    points stays, then the smallest doc_id, null ids last. Repeated rows count in ``group_size`` and share ``kept``;
+    a null ``keep_id`` keeps the rows with a null id. Other columns are left out; an empty table gives no rows. Texts
+    with equal fingerprints are compared with one of them chunk by chunk; those that differ form groups of their own
+    in further rounds. Only texts whose fingerprint occurs twice are shuffled; a text is held whole by one task.
+    """
+    prints = _classified(docs, primes)
     keys = [*KEY, "class"]
-    best = F.max(F.struct("chars", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus")))
-    groups = prints.groupBy(*keys).agg(best.alias("best"), F.count("*").alias("group_size"))
+    groups = prints.groupBy(*keys).agg(F.max(F.struct(*_stays())).alias("best"), F.count("*").alias("group_size"))
     groups = groups.select(*keys, (-F.col("best.minus")).alias("keep_id"), "group_size")
     return prints.join(groups, keys).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def spare_rows(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
+    """``(row)``: names (see ``named_rows``) of the rows whose text another row, which stays, has as well.
+
+    Of equal texts the one row that ``exact_groups`` prefers stays, of rows alike in that the last by name. ``docs``
+    must be a table of files, whose rows have lasting names.
+    """
+    prints = _classified(docs, primes).select("row", "doc_id", "chars", F.struct(*KEY, "class").alias("group"))
+    stays = prints.groupBy("group").agg(F.max(F.struct(*_stays(), "row")).alias("best"), F.count("*").alias("n"))
+    return spread_join(prints, stays.where("n > 1"), "group", "row").where("row <> best.row").select("row")

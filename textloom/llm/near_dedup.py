@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.support import byte_list, in_batches, keyed_texts, written
+from textloom.llm.support import byte_list, filed, in_batches, named_rows, spread_join, written
 from textloom.session import cut_lineage
 
 SKETCH = 64
@@ -65,23 +65,24 @@ def shingle_hashes(data: bytes, width: int) -> np.ndarray:
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, n, node, sketch)``: a node is a set, named by 128 bits of its content."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.string()), ("sketch", pa.list_(pa.int64()))])
+    """``(row, doc_id, n, node, sketch)``: a node is a set, named by 128 bits of its content."""
+    schema = pa.schema([("row", pa.string()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.string()), ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for doc_id, data in zip(batch["doc_id"].to_pylist(), byte_list(batch["text"])):
+                for row, doc_id, data in zip(batch["row"].to_pylist(), batch["doc_id"].to_pylist(), byte_list(batch["text"])):
                     s = shingle_hashes(data, width)
-                    yield doc_id, len(s), xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None, s[:SKETCH].tolist()
+                    yield row, doc_id, len(s), xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None, s[:SKETCH].tolist()
 
         yield from in_batches(rows(), schema, most_rows=4000)
 
-    return keyed_texts(docs).mapInArrow(run, "doc_id bigint, n bigint, node string, sketch array<bigint>")
+    named = named_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return named.select("row", "doc_id", "text").mapInArrow(run, "row string, doc_id bigint, n bigint, node string, sketch array<bigint>")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """``(node, members)`` with whole sets."""
+    """``(node, members)`` with the whole sets of ``(text)``, one row of each node."""
     schema = pa.schema([("node", pa.string()), ("members", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +94,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 
         yield from in_batches(rows(), schema, lambda r: r[1].nbytes)
 
-    return keyed_texts(docs).mapInArrow(run, "node string, members array<bigint>")
+    return docs.mapInArrow(run, "node string, members array<bigint>")
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -106,11 +107,16 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return met.where(shared >= estimate_least(threshold) * F.size(union)).select("a", "b")
 
 
+def _of_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``text`` of the named rows."""
+    return named_rows(docs, F.col("text").cast("string").alias("text")).join(rows, "row", "left_semi").select("text")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs of sets with ``100 * |both| >= percent * |either|``; only sets of candidates are built again."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    rows = owners.join(wanted, "node", "left_semi").select("doc_id")
-    sets = written(_sets(keyed_texts(docs).join(rows, "doc_id", "left_semi"), width).dropDuplicates(["node"]), "sets")
+    rows = owners.join(wanted, "node", "left_semi").select("row")
+    sets = written(_sets(_of_rows(docs, rows), width), "sets")
     side = lambda x: sets.select(F.col("node").alias(x), F.col("members").alias(f"m_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("m_a", "m_b"))
@@ -222,13 +228,17 @@ def _cross_candidates(lists: DataFrame, labels: DataFrame, threshold: float) ->
         out += [(value, low, high, int(block[i]), node[i], str(root[i]), None) for i in np.flatnonzero(inside).tolist()]
         return pd.DataFrame(out, columns=[*TILE, "block", "node", "root", "other"])
 
-    return tiles.groupBy(*TILE).applyInPandas(run, "value bigint, low int, high int, block int, node string, root string, other string")
+    # Dealt by tile: by value alone, all tiles of a frequent value would be one task.
+    return tiles.repartition(*TILE).groupBy(*TILE).applyInPandas(run, "value bigint, low int, high int, block int, node string, root string, other string")
 
 
 def _tile_links(tiles: DataFrame, docs: DataFrame, owners: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between components within each tile, on whole sets, which a tile holds once rather than per pair."""
-    rows = owners.join(tiles.select("node").distinct(), "node", "left_semi").select("doc_id")
-    sets = written(_sets(keyed_texts(docs).join(rows, "doc_id", "left_semi"), width).dropDuplicates(["node"]), "tile-sets")
+    """Links between components within each tile, on whole sets, which a tile holds once rather than per pair.
+
+    Every two sets of components that differ so far are compared, and a link is reported if it joins two of them.
+    """
+    rows = owners.join(tiles.select("node").distinct(), "node", "left_semi").select("row")
+    sets = written(_sets(_of_rows(docs, rows), width), "tile-sets")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         members = frame["members"].tolist()
@@ -238,16 +248,20 @@ def _tile_links(tiles: DataFrame, docs: DataFrame, owners: DataFrame, width: int
         block, node = frame["block"].to_numpy(), frame["node"].tolist()
         root = np.unique(frame["root"].tolist(), return_inverse=True)[1]
         right = block == frame["high"].iloc[0]
+        group = root.copy()
         out = []
         for i in np.flatnonzero(block == frame["low"].iloc[0]).tolist():
             own = np.zeros(len(values), bool)
             own[codes[ends[i] - n[i] : ends[i]]] = True
             common = np.add.reduceat(own[codes], ends - n, dtype=np.int64)
-            linked = right & (root != root[i]) & (100 * common >= percent * (n + n[i] - common))
-            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in np.flatnonzero(linked).tolist()]
+            linked = right & (group != group[i]) & (100 * common >= percent * (n + n[i] - common))
+            # One link for each group that joins this one: a tile gives fewer links than it has members.
+            for j in np.flatnonzero(linked)[np.unique(group[linked], return_index=True)[1]].tolist():
+                out.append((min(node[i], node[j]), max(node[i], node[j])))
+                group[group == group[j]] = group[i]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return tiles.join(sets, "node").groupBy(*TILE).applyInPandas(run, "a string, b string").distinct()
+    return tiles.join(sets, "node").repartition(*TILE).groupBy(*TILE).applyInPandas(run, "a string, b string").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -255,18 +269,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Texts are linked when 100 times the common shingles reach ``percent`` times those of either; ``component_id`` is
     the least doc_id reachable. Texts without words, or null, have no shingles and stand alone. Repeated rows share
-    their set and its group. Rows with a null id join the group of an equal set only, and never name a group that has
-    other ids. Other columns are left out.
+    their set and its group. Rows with a null id belong to their group but never name one that has other ids. Other columns are left out; an empty table gives no rows. A text of any length is held whole by one task.
 
     Equal sets are one node. Every list of a retained hash gives candidates: short lists all pairs, long ones each
     member with the list's hub, and then, in blocks, pairs that are still apart. The union sketch filters candidates
     and whole sets confirm them.
     """
+    described, labels = _labelled(docs, width, percent)
+    named = written(labels.join(described.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node"), "named")
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    by_node = spread_join(named.select("node", "root"), least, "root", "node").select("node", "component_id")
+    rows = spread_join(described.drop("sketch"), by_node, "node", "row", "left")
+    rows = rows.withColumn("component_id", F.coalesce("component_id", F.when(F.col("n") == 0, F.col("doc_id"))))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def spare_rows(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``(row)``: names (see ``named_rows``) of the rows that one row of their group makes superfluous.
+
+    Of each group of near duplicates the row with the least doc_id stays, null ids last, then by name. Rows without
+    words are in no group. ``docs`` must be a table of files, whose rows have lasting names.
+    """
+    described, labels = _labelled(docs, width, percent)
+    members = written(spread_join(described.select("row", "doc_id", "node").where("node is not null"), labels, "node", "row"), "members")
+    stays = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    return spread_join(members.select("row", "root"), stays, "root", "row").where("row <> first.row").select("row")
+
+
+def _labelled(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``(row, doc_id, n, node, sketch)`` of every row, and ``(node, root)`` of every set."""
     threshold = percent / 100
+    docs = filed(docs)
     described = written(_described(docs, width), "described")
     filled = described.where("n > 0")
-    nodes = written(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
-    owners = nodes.select("node", "doc_id")
+    nodes = written(filled.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+    owners = nodes.select("node", "row")
     listed = nodes.select("node", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
     frequent = listed.groupBy("value").agg(F.count("*").alias("df"), F.min_by("node", F.xxhash64("node", "value")).alias("hub")).where("df > 1")
     lists = written(listed.join(frequent, "value"), "lists")
@@ -281,17 +318,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     candidates = written(_estimated(pairs.union(hubs).distinct(), nodes, threshold), "candidates")
     links = written(_verified(candidates, docs, owners, width, percent), "links")
     labels = components(nodes, links)
-    long_lists = lists.where(F.col("df") > SMALL_LIST).join(nodes.select("node", "sketch"), "node")
-    if not lists.where(F.col("df") > SMALL_LIST).isEmpty():
-        cross = written(_cross_candidates(long_lists, labels, threshold), "cross")
-        if not cross.isEmpty():
-            links = links.union(written(_tile_links(cross.where("other is null").drop("other"), docs, owners, width, percent), "tile-links"))
-            apart = cross.where("other is not null").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-            if not apart.isEmpty():
-                links = links.union(written(_verified(apart, docs, owners, width, percent), "long-links"))
-            labels = components(nodes, links)
-    named = labels.join(owners, "node")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_node = named.join(least, "root").select("node", "component_id")
-    rows = described.join(by_node, "node", "left").withColumn("component_id", F.coalesce("component_id", F.when(F.col("n") == 0, F.col("doc_id"))))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    long_lists = lists.where(F.col("df") > SMALL_LIST)
+    if long_lists.isEmpty():
+        return described, labels
+    labels = written(labels, "labels")
+    cross = written(_cross_candidates(long_lists.join(nodes.select("node", "sketch"), "node"), labels, threshold), "cross")
+    if cross.isEmpty():
+        return described, labels
+    links = written(_tile_links(cross.where("other is null").drop("other"), docs, owners, width, percent), "tile-links")
+    apart = cross.where("other is not null").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    if not apart.isEmpty():
+        links = links.union(written(_verified(apart, docs, owners, width, percent), "long-links"))
+    # The new links join whole components, so only their roots are walked again.
+    side = lambda x: labels.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    between = links.join(side("a"), "a").join(side("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b")
+    wider = components(labels.select(F.col("root").alias("node")).distinct(), between).toDF("root", "wider")
+    return described, spread_join(labels, wider, "root", "node").select("node", F.col("wider").alias("root"))

@@ -50,18 +50,30 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def filed(table: DataFrame) -> DataFrame:
+    """``table`` itself if its rows lie in files, else written to the shared folder."""
+    try:
+        table.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return written(table, "rows")
+    return table
+
+
 def named_rows(table: DataFrame, *columns: Column) -> DataFrame:
-    """``columns`` of ``table`` with a name of each row in column ``row``, the same in every run over it.
+    """``columns`` of ``table`` and a name of each row in ``row``: its file and place, the same in every run.
 
-    Rows of files are named by file and place; a table that has no files is written first, and so has them.
+    A table that has no files is written first; pass one through ``filed`` if its names are to last.
     """
-    try:
-        place = table.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"), *columns)
-    except AnalysisException:
-        return named_rows(written(table.select(*columns), "rows"), *[F.col(n) for n in table.select(*columns).columns])
+    place = filed(table).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"), *columns)
     return place.withColumn("row", F.concat_ws("-", F.md5("file"), "place")).drop("file", "place")
 
 
+def without_rows(table: DataFrame, spare: DataFrame) -> DataFrame:
+    """``table`` (of files) without the rows named in ``spare``; few names are sent to the table, many meet it by name."""
+    packed = named_rows(table, F.struct(*[F.col(f"`{c}`") for c in table.columns]).alias("whole"))
+    return packed.join(written(spare, "spare"), "row", "left_anti").select("whole.*")
+
+
 SALTS = 1024
 """Partitions that the rows of one hot key are dealt over."""
 
