@@ -5,33 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm import exact_dedup, near_dedup, packing, quality, secret_scan
-from textloom.llm.support import written
-
-
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is kept; of rows with that id and equal text, one."""
-    ids = kept.where("kept").select("doc_id").distinct()
-    same_id = docs["doc_id"].eqNullSafe(ids["doc_id"])
-    return docs.join(ids, same_id, "left_semi").dropDuplicates(["doc_id", "text"])
+from textloom.llm.support import filed, without_rows, written
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality classifier accepts, with the columns of ``docs``; each row is judged by its own text."""
     return quality.accepted(docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, exact_dedup.exact_groups(docs))
+    """One row of each group of equal texts: the longest, then the least doc_id, null ids last, then one of the rest.
+
+    Rows are told apart by where they lie, so null and repeated ids neither save a copy nor lose another text. Null
+    and empty texts are equal. An empty table stays empty.
+    """
+    docs = filed(docs)
+    return without_rows(docs, exact_dedup.spare_rows(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, near_dedup.near_duplicates(docs))
+    """One row of each group of near duplicates: the least doc_id, null ids last, then one of the rest.
+
+    Rows are told apart by where they lie. Texts without words, null ones too, are in no group and stay.
+    """
+    docs = filed(docs)
+    return without_rows(docs, near_dedup.spare_rows(docs))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, with the secrets in its text replaced; null texts stay null."""
     return secret_scan.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 4096 tokens; null texts count as empty."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
