@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.session import small_side, spread
-
-UNK = "[UNK]"
+from textloom.operators import matching
+from textloom.operators.matching import UNK
+from textloom.session import salted_join, small_side, spread
 
 
 def _longest_matches(units: DataFrame, key: str, vocab: DataFrame, continued: bool) -> DataFrame:
@@ -50,8 +50,13 @@ def _walk(key: str, on_gap: str, continued: bool) -> Column:
 
 
 def encode_words(words: DataFrame, vocab: DataFrame, max_chars: int | None = None) -> DataFrame:
-    """``(word, tokens)`` for distinct words; a word that cannot be covered, or is too long, becomes ``[UNK]``."""
+    """``(word, tokens)`` for distinct words; a word that cannot be covered, or is too long, becomes ``[UNK]``.
+
+    A vocabulary of a measured size goes to the tasks; with a larger one, substrings are joined with it.
+    """
     distinct = spread(words.select("word").where(F.col("word") != "").distinct(), "word")
+    if (held := matching.sent(vocab)) is not None:
+        return matching.encode_lists(distinct.withColumn("words", F.array(_word(F.col("word"), False))), "word", held, max_chars)
     short = distinct if max_chars is None else distinct.where(F.length("word") <= max_chars)
     found = distinct.join(_longest_matches(short, "word", vocab, continued=True), "word", "left")
     walked = found.withColumn("pieces", F.when(F.col("ends").isNotNull(), _walk("word", "fail", continued=True)))
@@ -60,6 +65,16 @@ def encode_words(words: DataFrame, vocab: DataFrame, max_chars: int | None = Non
     return walked.select("word", F.when(unknown, F.array(F.lit(UNK))).otherwise(tokens).alias("tokens"))
 
 
+def _word(word: Column, hit: bool) -> Column:
+    return F.struct(word.alias("word"), F.lit(hit).alias("hit"))
+
+
+def _pre_tokens(text: Column, hit: Column | None = None) -> Column:
+    """``array<struct<word, hit>>``: the pre-tokens of a text, or the text itself as a hit."""
+    words = F.transform(T.pretokenize(text, single_marks=True), lambda w: _word(w, False))
+    return words if hit is None else F.when(hit, F.array(_word(text, True))).otherwise(words)
+
+
 def _split_added(chunks: DataFrame, added: DataFrame) -> DataFrame:
     """``(chunk, pos, piece, hit)``: added tokens cut out of each chunk, leftmost and longest first."""
     found = chunks.join(_longest_matches(chunks, "chunk", added, continued=False), "chunk", "left")
@@ -91,6 +106,15 @@ def _split_added(chunks: DataFrame, added: DataFrame) -> DataFrame:
 def encode_chunks(chunks: DataFrame, vocab: DataFrame, added: DataFrame | None = None, max_chars: int | None = None) -> DataFrame:
     """``(chunk, tokens)`` of distinct white-space chunks; added tokens match first, also inside words."""
     distinct = spread(chunks.select("chunk").where(F.col("chunk") != "").distinct(), "chunk")
+    held = matching.sent(vocab)
+    held_added = matching.sent(added) if added is not None and held is not None else None
+    if held is not None and (added is None or held_added is not None):
+        if added is None:
+            listed = distinct.select("chunk", _pre_tokens(F.col("chunk")).alias("words"))
+        else:
+            pieces = matching.cut(distinct, "chunk", held_added, glued=True)
+            listed = pieces.select("chunk", F.flatten(F.transform("pieces", lambda p: _pre_tokens(p["piece"], p["hit"]))).alias("words"))
+        return matching.encode_lists(listed.where(F.size("words") > 0), "chunk", held, max_chars)
     if added is None:
         pieces = distinct.select("chunk", F.lit(0).alias("pos"), F.col("chunk").alias("piece"), F.lit(False).alias("hit"))
     else:
@@ -120,16 +144,26 @@ def chunk_uses(docs: DataFrame, text: Column, id_col: str = "doc_id") -> DataFra
 
 def encode_docs(uses: DataFrame, encoded: DataFrame) -> DataFrame:
     """``(doc_id, tokens)``: the encodings of distinct chunks put back in place."""
-    placed = uses.join(encoded, "chunk")
+    placed = salted_join(uses, encoded, ["chunk"], "doc_id")
     ordered = F.array_sort(F.collect_list(F.struct("pos", "tokens")))
     return placed.groupBy("doc_id").agg(F.flatten(F.transform(ordered, lambda p: p["tokens"])).alias("tokens"))
 
 
-def token_lengths(uses: DataFrame, encoded: DataFrame) -> DataFrame:
-    """``(doc_id, n_tokens)``; chunk uses are counted per document before the join, and no token list is built."""
-    counted = uses.groupBy("doc_id", "chunk").agg(F.count("*").alias("n"))
-    sizes = encoded.select("chunk", F.size("tokens").alias("size"))
-    return counted.join(sizes, "chunk").groupBy("doc_id").agg(F.sum(F.col("n") * F.col("size")).alias("n_tokens"))
+def chunk_counts(docs: DataFrame, text: Column, id_col: str = "doc_id") -> DataFrame:
+    """``(doc_id, chunk, n)`` of the lowered text, counted inside the row."""
+    ordered = docs.select(F.col(id_col).alias("doc_id"), F.sort_array(T.split_blank(F.lower(text), any_whitespace=True)).alias("ordered"))
+    counted = ordered.select("doc_id", T.count_runs(F.col("ordered")).alias("runs"))
+    return counted.select("doc_id", F.inline_outer("runs").alias("chunk", "n")).where(F.col("chunk").isNotNull())
+
+
+def token_lengths(counts: DataFrame, sizes: DataFrame, *names: str) -> DataFrame:
+    """``(doc_id, *names)``: sums of the sizes ``names`` of each document's chunks.
+
+    ``counts`` is ``(doc_id, chunk, n)`` and ``sizes`` has a row per distinct chunk. Sizes of a measured amount go to
+    the counts; else both meet by chunk, frequent chunks spread. No token list is built.
+    """
+    met = salted_join(counts, sizes, ["chunk"], "doc_id")
+    return met.groupBy("doc_id").agg(*[F.sum(F.col("n") * F.col(name)).alias(name) for name in names])
 
 
 def encode_ids(doc_tokens: DataFrame, vocab: DataFrame, cls: str = "[CLS]", sep: str = "[SEP]") -> DataFrame:
@@ -157,6 +191,11 @@ def compare_tokenizers(before: DataFrame, after: DataFrame) -> DataFrame:
     joined = before.select("doc_id", F.col("n_tokens").alias("base_tokens")).join(
         after.select("doc_id", F.col("n_tokens").alias("extended_tokens")), "doc_id"
     )
+    return compare_lengths(joined)
+
+
+def compare_lengths(joined: DataFrame) -> DataFrame:
+    """``compare_tokenizers`` of ``(..., base_tokens, extended_tokens)``."""
     saved = F.col("base_tokens") - F.col("extended_tokens")
     percent = F.when(F.col("base_tokens") > 0, saved / F.col("base_tokens") * 100).otherwise(0.0)
     verdict = F.when(saved > 0, "improved").when(saved == 0, "same").otherwise("worse")
@@ -205,9 +244,12 @@ def segment(texts: DataFrame, id_col: str, text: Column, lexicon: DataFrame, sea
         F.col(id_col), F.posexplode_outer(T.split_blank(T.clean_unspaced(text), any_whitespace=True)).alias("pos", "block")
     ).where(F.col("block").isNotNull())
     distinct = spread(blocks.select("block").distinct(), "block")
-    found = distinct.join(_longest_matches(distinct, "block", lexicon, continued=False), "block", "left")
-    single = F.transform(T.characters(F.col("block")), lambda c: F.struct(c.alias("piece"), F.lit(False).alias("hit")))
-    cut = F.when(F.col("ends").isNull(), single).otherwise(_walk("block", "char", continued=False))
+    if (held := matching.sent(lexicon)) is not None:
+        found, cut = matching.cut(distinct, "block", held, glued=False), F.col("pieces")
+    else:
+        found = distinct.join(_longest_matches(distinct, "block", lexicon, continued=False), "block", "left")
+        single = F.transform(T.characters(F.col("block")), lambda c: F.struct(c.alias("piece"), F.lit(False).alias("hit")))
+        cut = F.when(F.col("ends").isNull(), single).otherwise(_walk("block", "char", continued=False))
     rows = found.select("block", F.posexplode(cut).alias("n", "p")).select("block", "n", F.col("p.piece").alias("word"))
     if search:
         rows = _add_search_pieces(rows, lexicon)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from textloom.functions import constants as C
 from textloom.functions import text as T
@@ -14,14 +17,27 @@ from textloom.session import cut_lineage
 VOCAB_SCHEMA = "token string, token_id bigint"
 
 
+_POSITIONS = 2**32
+_NO_ID = -(2**63) - 1
+
+
 def word_freq(docs: DataFrame, words: Column, id_col: str = "doc_id") -> DataFrame:
-    """``(word, freq, first_seen)`` with ``first_seen`` as document and position.
+    """``(word, freq, first_seen)`` with ``first_seen`` as document and position, a null document before all others.
 
-    One aggregate with map-side combine is all that sees the corpus.
+    One aggregate with map-side combine is all that sees the corpus. Whole-number ids make one decimal number with
+    the position, which a hash aggregate can keep; it has room for every 64-bit id.
     """
-    used = docs.select(id_col, F.posexplode_outer(words).alias("pos", "word")).where(F.col("word").isNotNull())
-    first = F.struct(F.col(id_col).alias("doc"), "pos")
-    return used.groupBy("word").agg(F.count("*").alias("freq"), F.min(first).alias("first_seen"))
+    used = docs.select(F.col(id_col).alias("doc"), F.posexplode_outer(words).alias("pos", "word")).where(F.col("word").isNotNull())
+    kind = used.schema["doc"].dataType
+    if not isinstance(kind, IntegralType):
+        return used.groupBy("word").agg(F.count("*").alias("freq"), F.min(F.struct("doc", "pos")).alias("first_seen"))
+    number = lambda x: F.lit(Decimal(x)).cast("decimal(20,0)")
+    place = F.coalesce(F.col("doc").cast("decimal(20,0)"), number(_NO_ID)) * F.lit(_POSITIONS).cast("decimal(10,0)") + F.col("pos")
+    counted = used.groupBy("word").agg(F.count("*").alias("freq"), F.min(place.cast("decimal(38,0)")).alias("place"))
+    pos = F.pmod(F.col("place"), F.lit(_POSITIONS).cast("decimal(38,0)"))
+    doc = ((F.col("place") - pos) / F.lit(_POSITIONS).cast("decimal(10,0)")).cast("decimal(20,0)")
+    known = F.when(doc != number(_NO_ID), doc.cast(kind))
+    return counted.select("word", "freq", F.struct(known.alias("doc"), pos.cast("int").alias("pos")).alias("first_seen"))
 
 
 def initial_units(word: Column) -> Column:

@@ -202,13 +202,26 @@ def encode_extended(spark: SparkSession, sf: str) -> DataFrame:
     return chunks.select("chunk", bars("tokens").alias("tokens"))
 
 
+def _sizes(encoded: DataFrame, name: str) -> DataFrame:
+    return encoded.select("chunk", F.size("tokens").cast("long").alias(name))
+
+
+def _both_sizes(spark: SparkSession, sf: str, counts: DataFrame) -> DataFrame:
+    """``(chunk, base_tokens, extended_tokens)`` of every distinct chunk."""
+    chunks = counts.select("chunk").distinct().persist()
+    base, added = I.base_vocab(spark, sf), I.extended_vocab(spark, sf).where("added")
+    before = _sizes(encoding.encode_chunks(chunks, base), "base_tokens")
+    return before.join(_sizes(encoding.encode_chunks(chunks, base, added), "extended_tokens"), "chunk")
+
+
+def _counts(spark: SparkSession, sf: str) -> DataFrame:
+    return encoding.chunk_counts(I.documents(spark, sf), F.col("text"))
+
+
 def compared(spark: SparkSession, sf: str) -> DataFrame:
     """Every document under the base and the extended vocabulary."""
-    uses, base = _uses(spark, sf), I.base_vocab(spark, sf)
-    added = I.extended_vocab(spark, sf).where("added")
-    before = encoding.token_lengths(uses, encoding.encode_chunks(uses, base))
-    after = encoding.token_lengths(uses, encoding.encode_chunks(uses, base, added))
-    return encoding.compare_tokenizers(before, after)
+    counts = _counts(spark, sf)
+    return encoding.compare_lengths(encoding.token_lengths(counts, _both_sizes(spark, sf, counts), "base_tokens", "extended_tokens"))
 
 
 _COMPARED = f"""{_CHUNK_TOKENS},
@@ -259,13 +272,7 @@ def token_length_stats(spark: SparkSession, sf: str) -> DataFrame:
 )
 def term_gains(spark: SparkSession, sf: str) -> DataFrame:
     """Every distinct chunk of the documents as a term."""
-    uses, base = _uses(spark, sf), I.base_vocab(spark, sf)
-    added = I.extended_vocab(spark, sf).where("added")
-    sized = [
-        encoding.encode_chunks(uses, base, extra).select(F.col("chunk").alias("doc_id"), F.size("tokens").cast("long").alias("n_tokens"))
-        for extra in (None, added)
-    ]
-    both = encoding.compare_tokenizers(*sized).withColumnRenamed("doc_id", "term")
+    both = encoding.compare_lengths(_both_sizes(spark, sf, _counts(spark, sf)).withColumnRenamed("chunk", "term"))
     return encoding.term_gains(both).withColumn("saved_percent", F.round("saved_percent", 6))
 
 
@@ -275,8 +282,9 @@ def term_gains(spark: SparkSession, sf: str) -> DataFrame:
       round(len(ids) / len({S.split_any('text')}), 6) AS tokens_per_word FROM ided JOIN documents USING (doc_id)""",
 )
 def fertility(spark: SparkSession, sf: str) -> DataFrame:
-    uses = _uses(spark, sf)
-    lengths = encoding.token_lengths(uses, encoding.encode_chunks(uses, I.base_vocab(spark, sf)))
+    counts = _counts(spark, sf)
+    sizes = _sizes(encoding.encode_chunks(counts, I.base_vocab(spark, sf)), "n_tokens")
+    lengths = encoding.token_lengths(counts, sizes, "n_tokens")
     report = encoding.fertility(I.documents(spark, sf), lengths, F.col("text"))
     return report.withColumn("tokens_per_word", F.round("tokens_per_word", 6))
 
