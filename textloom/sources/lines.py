@@ -2,85 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import constants as C
 from textloom.functions.text import strip
+from textloom.sources.tables import in_file_order
 
-# A prefix of a line can be valid JSON while the line is not, so the whole line must have the shape of its kind.
-# Escapes are removed before the string shape is tested, which keeps the pattern free of nested repetition.
-_ESCAPE = r"\\."
-_STRING_LINE = r'^"[^"\\]*"$'
-_SCALAR_LINE = r"^(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity)$"
-
+_JSON_START = r'^[\[{"0-9-]'
+_JSON_WORDS = ["true", "false", "null", "NaN", "Infinity", "-Infinity"]
 
-def _item_text(value: Column) -> Column:
-    """A list item as text, with the spellings of null and booleans that joined lists use."""
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text)).otherwise(F.coalesce(text, F.lit("None")))
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, line, value)``: the lines of text files, numbered in each file from 1.
 
-def _entry_texts(line: Column) -> Column:
-    """``array<struct<key, string, list>>`` of a JSON object in document order; one visit per value."""
-
-    def texts(entry: Column) -> Column:
-        kind, value = F.schema_of_variant(entry["value"]), entry["value"]
-        items = F.transform(F.try_variant_get(value, "$", "array<variant>"), _item_text)
-        return F.struct(
-            entry["key"].alias("key"),
-            F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).alias("string"),
-            F.when(kind.startswith("ARRAY"), items).alias("list"),
-        )
+    A file may be read by many tasks; numbers come from the line counts of its blocks, and no line is moved.
+    """
+    rows = in_file_order(spark.read.text(path).withColumn("file", F.col("_metadata.file_path")), "line", by_file=True)
+    return rows.select("file", (F.col("line") + 1).alias("line"), "value")
 
-    return F.transform(F.map_entries(F.from_json(line, "map<string,variant>")), texts)
 
+def _spelled(value: object) -> str | None:
+    """A known field as text: a non-empty string, or a non-empty list with its items as Python prints them."""
+    if not value:
+        return None
+    if isinstance(value, list):
+        return " ".join(map(str, value))
+    return value if isinstance(value, str) else None
 
-def _named_text(name: Column) -> Column:
-    """Text of one known field: a non-empty string as it is, a non-empty list joined by spaces."""
 
-    def text(entry: Column) -> Column:
-        joined = F.when(F.size(entry["list"]) > 0, F.array_join(entry["list"], " "))
-        return F.when(entry["string"] != "", entry["string"]).otherwise(joined)
+def line_text(line: str) -> tuple[str, str | None]:
+    """``(kind, text)`` of a stripped line that may be JSON.
 
-    return F.get(F.transform(F.filter("_entries", lambda e: e["key"] == name), text), 0)
+    Of repeated keys the last counts, in the place of the first. ``object``: the known fields that have text, in their
+    fixed order, else all strings that are not blank; ``string``: itself; ``other`` JSON has no text; a line that is
+    no JSON is ``text``, or ``bad_object`` if it has an object's brackets. What no reader could hold, such as too deep
+    nesting, is ``unreadable`` and has no text.
+    """
+    try:
+        value = json.loads(line)
+    except json.JSONDecodeError:
+        return "bad_object" if line[0] == "{" and line[-1] == "}" else "text", line
+    except (RecursionError, ValueError):
+        return "unreadable", None
+    if isinstance(value, str):
+        kind, text = "string", value
+    elif isinstance(value, dict):
+        named = [t for t in map(_spelled, map(value.get, C.CORPUS_FIELDS)) if t is not None]
+        kind, text = "object", " ".join(named)
+        if not text.strip():
+            text = " ".join(v for v in value.values() if isinstance(v, str) and v.strip())
+    else:
+        kind, text = "other", ""
+    # Halves of surrogate pairs are no text in UTF-8.
+    return kind, text.strip().encode("utf-8", "replace").decode("utf-8") or None
+
+
+def _line_texts() -> Column:
+    @F.pandas_udf("kind string, text string")
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(None, None) if x is None else line_text(x) for x in batch], columns=["kind", "text"])
+
+    return read
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Adds ``kind`` (blank, object, string, other, text, bad_object) and the extracted ``text`` or null.
+    """Adds ``kind`` (blank, object, string, other, text, bad_object, unreadable) and the extracted ``text`` or null.
 
-    Each step is read more than once by the next, so the optimizer keeps the steps apart and works them out once.
+    Lines that cannot be JSON by their first character stay where they are; the others are read in Arrow batches.
     """
-    shaped = lines.withColumn("_line", strip(F.col(column))).withColumn(
-        "_shape",
-        F.when(F.col("_line") == "", "blank")
-        .when(F.col("_line").startswith("{") & F.col("_line").endswith("}"), "object")
-        .when(F.col("_line").startswith("[") & F.col("_line").endswith("]"), "array")
-        .when(F.col("_line").startswith('"') & F.regexp_replace("_line", _ESCAPE, "").rlike(_STRING_LINE), "string")
-        .when(F.col("_line").rlike(_SCALAR_LINE), "scalar")
-        .otherwise("text"),
-    )
-    structured = F.col("_shape").isin("object", "array", "string")
-    shaped = shaped.withColumn("_json", F.when(structured, F.try_parse_json(F.col("_line"))))
-    kind = (
-        F.when(F.col("_shape").isin("blank", "text"), F.col("_shape"))
-        .when(F.col("_shape") == "scalar", "other")
-        .when(F.col("_json").isNull(), F.when(F.col("_shape") == "object", "bad_object").otherwise("text"))
-        .when(F.col("_shape") == "array", "other")
-        .otherwise(F.col("_shape"))
-    )
-    typed = shaped.withColumn("kind", kind)
-    typed = typed.withColumn("_entries", F.when(F.col("kind") == "object", _entry_texts(F.col("_line"))))
-    named = F.array_join(F.transform(F.array(*[F.lit(name) for name in C.CORPUS_FIELDS]), _named_text), " ")
-    strings = F.transform(F.filter("_entries", lambda e: strip(e["string"]) != ""), lambda e: e["string"])
-    typed = typed.withColumn("_named", strip(named)).withColumn("_strings", F.array_join(strings, " "))
-    text = (
-        F.when(F.col("kind") == "object", F.when(F.col("_named") != "", F.col("_named")).otherwise(strip(F.col("_strings"))))
-        .when(F.col("kind") == "string", strip(F.try_variant_get("_json", "$", "string")))
-        .when(F.col("kind").isin("text", "bad_object"), F.col("_line"))
-    )
-    # A filter on generated columns stays above the generator, so it cannot pull copies of these steps into the scan.
-    return typed.select(*lines.columns, F.inline(F.array(F.struct("kind", F.nullif(text, F.lit("")).alias("text")))))
+    shaped = lines.withColumn("_line", strip(F.col(column)))
+    open_json = F.col("_line").rlike(_JSON_START) | F.col("_line").isin(_JSON_WORDS)
+    read = shaped.withColumn("_read", _line_texts()(F.when(open_json, F.col("_line"))))
+    kind = F.when(open_json, F.col("_read.kind")).when(F.col("_line") == "", "blank").when(F.col("_line").isNotNull(), "text")
+    text = F.when(open_json, F.col("_read.text")).otherwise(F.nullif(F.col("_line"), F.lit("")))
+    return read.select(*lines.columns, kind.alias("kind"), text.alias("text"))
 
 
 def extract_text(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -94,6 +95,7 @@ def extract_text_errors(lines: DataFrame, column: str = "value") -> DataFrame:
         F.when(F.col("kind") == "blank", "blank line")
         .when(F.col("kind") == "other", "JSON value without text")
         .when(F.col("kind") == "bad_object", "broken JSON object kept as text")
+        .when(F.col("kind") == "unreadable", "JSON that cannot be read")
         .otherwise("no text in JSON")
     )
     parsed = parse_lines(lines, column)

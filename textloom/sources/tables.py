@@ -34,8 +34,8 @@ def read_json_array(spark: SparkSession, path: str, schema: str | ty.StructType)
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def in_file_order(rows: DataFrame, name: str) -> DataFrame:
-    """Adds ``name``: the position of each row of a file scan from 0, files in order of their paths.
+def in_file_order(rows: DataFrame, name: str, by_file: bool = False) -> DataFrame:
+    """Adds ``name``: the position of each row of a file scan from 0, in its file or over files in order of their paths.
 
     Rows of one block of a file are read one after another, so a position is the number of rows in earlier blocks plus
     the place in the block. Only one row per block is gathered; the rows themselves do not move.
@@ -43,7 +43,8 @@ def in_file_order(rows: DataFrame, name: str) -> DataFrame:
     placed = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
     placed = placed.withColumn("_seen", F.monotonically_increasing_id())
     blocks = placed.groupBy("_path", "_block").agg(F.count("*").alias("_rows"), F.min("_seen").alias("_first"))
-    before = F.sum("_rows").over(Window.orderBy("_path", "_block")) - F.col("_rows")
+    order = Window.partitionBy("_path").orderBy("_block") if by_file else Window.orderBy("_path", "_block")
+    before = F.sum("_rows").over(order) - F.col("_rows")
     starts = blocks.select("_path", "_block", "_first", before.alias("_before"))
     position = (F.col("_before") + F.col("_seen") - F.col("_first")).alias(name)
     return placed.join(starts, ["_path", "_block"]).select(position, *rows.columns)
