@@ -221,10 +221,10 @@ def pack_sizes(sizes: list[int], capacity: int) -> list[list[int]]:
     return LocalSearch(sizes, best_fit(sizes, capacity), capacity).run()
 
 
-def _group_packer(capacity: int, number: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _group_packer(capacity: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "_at"], ascending=[False, True])
-        at, sizes = frame["_at"].tolist(), frame["length"].tolist()
+        frame = frame.sort_values(["length", "at"], ascending=[False, True])
+        at, sizes = frame["at"].tolist(), frame["length"].tolist()
         out = []
         bins = pack_sizes(sizes, capacity)
         fills = [sum(sizes[i] for i in b) for b in bins]
@@ -232,9 +232,9 @@ def _group_packer(capacity: int, number: int) -> Callable[[pd.DataFrame], pd.Dat
         for n, b in enumerate(bins):
             offset = 0
             for i in b:
-                out.append((at[i], sizes[i], f"{number}-{at[b[0]]}", offset, fills[n], n == least))
+                out.append((at[i], sizes[i], at[b[0]], offset, fills[n], n == least))
                 offset += sizes[i]
-        return pd.DataFrame(out, columns=["_at", "length", "bin", "offset", "fill", "least"])
+        return pd.DataFrame(out, columns=["at", "length", "bin", "offset", "fill", "least"])
 
     return run
 
@@ -247,17 +247,19 @@ def pack(pieces: DataFrame, capacity: int = 4096, group: int = GROUP) -> DataFra
     of these pieces meet again in fewer groups, until one group is left. Where that would leave more than ``SHRINK`` of
     a round's pieces, only the emptiest such bin of each group goes on, or none. An empty table gives an empty result.
     """
-    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    numbered = written(pieces.select(*names, F.monotonically_increasing_id().alias("_at")), "pieces")
-    done = numbered.where(F.col("length") >= capacity).select("_at", F.concat_ws("-", F.lit("full"), "_at").alias("bin"), F.lit(0).cast("long").alias("offset"))
-    rest = numbered.where(F.col("length") < capacity).select("_at", "length")
+    names = [F.col(f"`{c}`") for c in pieces.columns if c not in ("sequence_id", "offset")]
+    rows = pieces.select(F.struct(*names).alias("piece"), F.col("length").cast("long").alias("length"), F.monotonically_increasing_id().alias("at"))
+    numbered = written(rows, "pieces")
+    # A sequence is numbered by the place of its first piece, which is in no other.
+    done = numbered.where(F.col("length") >= capacity).select("at", F.col("at").alias("bin"), F.lit(0).cast("long").alias("offset"))
+    rest = numbered.where(F.col("length") < capacity).select("at", "length")
     parts, number = [done], 0
     count = rest.count()
     while count:
         groups = -(-count // group)
-        dealt = rest.withColumn("_group", F.pmod(F.xxhash64("_at", F.lit(number)), F.lit(groups)))
+        dealt = rest.withColumn("_group", F.pmod(F.xxhash64("at", F.lit(number)), F.lit(groups)))
         packed = written(
-            dealt.groupBy("_group").applyInPandas(_group_packer(capacity, number), "_at bigint, length bigint, bin string, offset bigint, fill bigint, least boolean"), "packed"
+            dealt.groupBy("_group").applyInPandas(_group_packer(capacity), "at bigint, length bigint, bin bigint, offset bigint, fill bigint, least boolean"), "packed"
         )
         again, most, count = F.lit(False), SHRINK * count, 0
         if groups > 1:
@@ -268,12 +270,12 @@ def pack(pieces: DataFrame, capacity: int = 4096, group: int = GROUP) -> DataFra
                 if left <= most:
                     again, count = chosen, left
                     break
-        parts.append(packed.where(~F.coalesce(again, F.lit(False))).select("_at", "bin", "offset"))
-        rest, number = packed.where(again).select("_at", "length"), number + 1
+        parts.append(packed.where(~F.coalesce(again, F.lit(False))).select("at", "bin", "offset"))
+        rest, number = packed.where(again).select("at", "length"), number + 1
     placed = parts[0]
     for part in parts[1:]:
         placed = placed.unionByName(part)
-    return numbered.join(placed, "_at").select(*names, F.xxhash64("bin").alias("sequence_id"), "offset")
+    return numbered.join(placed, "at").select("piece.*", F.col("bin").alias("sequence_id"), "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
