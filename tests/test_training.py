@@ -47,9 +47,10 @@ def drawn(seed, letters, count, longest, most):
 
 
 @pytest.mark.parametrize("score", ["frequency", "likelihood"])
-@pytest.mark.parametrize("tracked", [training.TRACKED, 5])
-def test_rounds_equal_one_merge_at_a_time(spark, monkeypatch, score, tracked):
+@pytest.mark.parametrize(("tracked", "rare"), [(training.TRACKED, training.RARE), (training.TRACKED, 3), (training.TRACKED, 0), (5, training.RARE)])
+def test_rounds_equal_one_merge_at_a_time(spark, monkeypatch, score, tracked, rare):
     monkeypatch.setattr(training, "TRACKED", tracked)
+    monkeypatch.setattr(training, "RARE", rare)
     for seed, (letters, count, longest, most) in enumerate([("ab", 12, 9, 3), ("abcdefgh", 60, 8, 4), ("aé日#\U0001f600", 30, 7, 1), ("abcdefghijklmnopqrstuvwxyz", 80, 10, 50)]):
         words = drawn(seed, letters, count, longest, most)
         least = 2 if score == "frequency" else 1
@@ -70,9 +71,12 @@ def test_no_words_and_no_pairs(spark):
 
 def test_block_merges_runs_from_the_left():
     block = training.Block(np.array([0, 0, 0, 1, 0, 0, 1, 0], np.int32), np.array([4, 6, 8]), np.array([2, 3, 5]), np.array([10, 11, 12]))
-    assert block.merge([(0, 0, 2)], 3) == [{"unit": 0, "n": 5}]
+    assert [(r["lhs"], r["rhs"], r["n"]) for r in block.merge([(0, 0, 2)], 3)] == [(0, -1, 5)]
     assert block.units.tolist() == [2, 0, 1, 2, 1, 0] and block.ends.tolist() == [3, 4, 6]
     block.drop_whole_words()
     assert block.ranks.tolist() == [10, 12]
-    stats = block.stats(np.array([True, False, False]))
-    assert sorted((s["lhs"], s["rhs"], s["n"], s["rank"], s["pos"]) for s in stats) == [(0, 1, 2, 10, 1), (1, 0, 5, 12, 0), (2, 0, 2, 10, 0)]
+    stats = block.stats(np.array([1, 1, 2]), np.array([True, False, False]), np.empty(0, np.int64))
+    assert sorted((s["lhs"], s["rhs"], s["n"], s["rank"], s["pos"]) for s in stats) == [(0, 1, 2, 10, 2), (1, 0, 5, 12, 0), (2, 0, 2, 10, 0)]
+    assert block.words_with(np.array([1 << 32])) == [{"rank": 12, "freq": 5, "units": [1, 0]}]
+    block.update(np.array([9, 10, 11]), [[7], [2, 2, 2, 1], [7]])
+    assert block.units.tolist() == [2, 2, 2, 1, 1, 0] and block.ends.tolist() == [4, 6]

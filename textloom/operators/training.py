@@ -3,12 +3,16 @@
 Words are kept as blocks of unit numbers. A round is one narrow pass over the blocks: it applies a run of merges and
 reports, for every pair with a touched unit, its count and first place. The driver keeps the best-ranked pairs, a
 number of rows bounded by ``TRACKED``, and takes from them the longest run whose order no merge of the run can change.
+
+Where the best pairs are rare, a pass instead looks up the words that hold them, a bounded number, and the driver
+merges in those by itself: such a merge changes only words, counts and places that it has. The changed words go back
+to their blocks with the next pass.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -22,15 +26,26 @@ from textloom.session import cut_lineage, spread
 TRACKED = 400_000
 """Pairs that the driver ranks; pairs ranked below them are counted again when those are used up."""
 
+RARE = 2_000
+"""Uses up to which the words of a pair are looked up."""
+
+LOOKED_UP = 100_000
+"""Uses of all the pairs that a pass looks up; the driver holds a few times as many words at most."""
+
 BLOCK_UNITS = 1 << 18
 """Units after which a block is closed; a word is never cut."""
 
+Pair = tuple[int, int]
+
 _STATS = pa.list_(pa.struct([("lhs", pa.int32()), ("rhs", pa.int32()), ("n", pa.int64()), ("rank", pa.int64()), ("pos", pa.int32())]))
-_MASS = pa.list_(pa.struct([("unit", pa.int32()), ("n", pa.int64())]))
-_ARROW = pa.schema([("units", pa.binary()), ("ends", pa.binary()), ("freqs", pa.binary()), ("ranks", pa.binary()), ("mass", _MASS), ("stats", _STATS)])
+_FOUND = pa.list_(pa.struct([("rank", pa.int64()), ("freq", pa.int64()), ("units", pa.list_(pa.int32()))]))
+_ARROW = pa.schema([("units", pa.binary()), ("ends", pa.binary()), ("freqs", pa.binary()), ("ranks", pa.binary()), ("stats", _STATS), ("found", _FOUND)])
 _BLOCK = ["units", "ends", "freqs", "ranks"]
-_SCHEMA = """units binary, ends binary, freqs binary, ranks binary, mass array<struct<unit:int,n:bigint>>,
-    stats array<struct<lhs:int,rhs:int,n:bigint,rank:bigint,pos:int>>"""
+_SCHEMA = """units binary, ends binary, freqs binary, ranks binary, stats array<struct<lhs:int,rhs:int,n:bigint,rank:bigint,pos:int>>,
+    found array<struct<rank:bigint,freq:bigint,units:array<int>>>"""
+
+_USES = -1
+"""In place of a second unit: the row counts the uses, or the replaced uses, of the first."""
 
 
 class Block:
@@ -48,12 +63,29 @@ class Block:
         inside[self.ends[:-1] - 1] = False
         return inside
 
-    def masses(self) -> list[dict]:
+    def uses(self) -> list[dict]:
         """Weighted uses of every unit."""
-        found, place = np.unique(self.units, return_inverse=True)
-        totals = np.zeros(len(found), np.int64)
-        np.add.at(totals, place, self.weights())
-        return [{"unit": u, "n": n} for u, n in zip(found.tolist(), totals.tolist())]
+        return _summed(self.units, self.weights())
+
+    def keys(self, at: np.ndarray) -> np.ndarray:
+        return self.units[at].astype(np.int64) << 32 | self.units[at + 1]
+
+    def update(self, ranks: np.ndarray, units: list[list[int]]) -> None:
+        """Puts other units in place of those of the words of (ascending) ``ranks`` that are in this block."""
+        place = np.searchsorted(ranks, self.ranks)
+        changed = place < len(ranks)
+        changed[changed] = ranks[place[changed]] == self.ranks[changed]
+        if not changed.any():
+            return
+        sizes = np.diff(self.ends, prepend=0)
+        fresh = [units[i] for i in place[changed].tolist()]
+        kept = self.units[~np.repeat(changed, sizes)]
+        sizes[changed] = [len(x) for x in fresh]
+        new = np.repeat(changed, sizes)
+        self.units = np.empty(len(new), self.units.dtype)
+        self.units[~new] = kept
+        self.units[new] = [u for x in fresh for u in x]
+        self.ends = np.cumsum(sizes)
 
     def merge(self, merges: list[tuple[int, int, int]], known: int) -> list[dict]:
         """Replaces pairs of disjoint units from left to right; returns the weighted number of replacements by left unit."""
@@ -68,15 +100,13 @@ class Block:
         since = np.arange(len(at)) - np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
         at = at[(since % 2 == 0) | (partner[self.units[at]] != self.units[at])]
         left = self.units[at]
-        found, place = np.unique(left, return_inverse=True)
-        totals = np.zeros(len(found), np.int64)
-        np.add.at(totals, place, self.weights()[at])
+        replaced = _summed(left, self.weights()[at])
         keep = np.ones(len(self.units), bool)
         keep[at + 1] = False
         units = self.units.copy()
         units[at] = made[left]
         self.units, self.ends = units[keep], self.ends - np.searchsorted(at, self.ends)
-        return [{"unit": u, "n": n} for u, n in zip(found.tolist(), totals.tolist())]
+        return replaced
 
     def drop_whole_words(self) -> None:
         """Words of one unit have no pairs and never get one."""
@@ -86,37 +116,67 @@ class Block:
             self.units = self.units[np.repeat(kept, sizes)]
             self.ends, self.freqs, self.ranks = np.cumsum(sizes[kept]), self.freqs[kept], self.ranks[kept]
 
-    def stats(self, touched: np.ndarray | None) -> list[dict]:
-        """Count and first place of the pairs with a touched unit, or of all."""
+    def stats(self, sizes: np.ndarray, touched: np.ndarray | None, also: np.ndarray) -> list[dict]:
+        """Count and first place of the pairs with a touched unit and of the pairs ``also`` (ascending keys); None: of all.
+
+        Places are counted in characters, which merges do not change.
+        """
         use = self.inner()
         if touched is not None:
-            use &= touched[self.units[:-1]] | touched[self.units[1:]]
+            either = touched[self.units[:-1]] | touched[self.units[1:]]
+            if len(also):
+                either |= _among(self.keys(np.arange(len(use))), also)
+            use &= either
         at = np.flatnonzero(use)
         if not len(at):
             return []
-        key = self.units[at].astype(np.int64) << 32 | self.units[at + 1]
-        found, first, place = np.unique(key, return_index=True, return_inverse=True)
+        found, first, place = np.unique(self.keys(at), return_index=True, return_inverse=True)
         totals = np.zeros(len(found), np.int64)
         np.add.at(totals, place, self.weights()[at])
         first = at[first]
         word = np.searchsorted(self.ends, first, "right")
+        before = np.cumsum(sizes[self.units]) - sizes[self.units]
         begin = np.where(word > 0, self.ends[word - 1], 0)
-        columns = (found >> 32, found & 0xFFFFFFFF, totals, self.ranks[word], first - begin)
+        columns = (found >> 32, found & 0xFFFFFFFF, totals, self.ranks[word], before[first] - before[begin])
         return [dict(zip(("lhs", "rhs", "n", "rank", "pos"), row)) for row in zip(*(c.tolist() for c in columns))]
 
-    def row(self, mass: list[dict], stats: list[dict]) -> pa.RecordBatch:
+    def words_with(self, pairs: np.ndarray) -> list[dict]:
+        """The words that hold one of the pairs (ascending keys)."""
+        if not len(pairs):
+            return []
+        at = np.flatnonzero(self.inner())
+        hits = np.unique(np.searchsorted(self.ends, at[_among(self.keys(at), pairs)], "right"))
+        return [
+            {"rank": int(self.ranks[w]), "freq": int(self.freqs[w]), "units": self.units[self.ends[w - 1] if w else 0 : self.ends[w]].tolist()}
+            for w in hits.tolist()
+        ]
+
+    def row(self, stats: list[dict], found: list[dict]) -> pa.RecordBatch:
         blobs = [self.units.astype("<i4"), self.ends.astype("<i8"), self.freqs.astype("<i8"), self.ranks.astype("<i8")]
-        return pa.record_batch([pa.array([x], f.type) for x, f in zip([*(b.tobytes() for b in blobs), mass, stats], _ARROW)], schema=_ARROW)
+        return pa.record_batch([pa.array([x], f.type) for x, f in zip([*(b.tobytes() for b in blobs), stats, found], _ARROW)], schema=_ARROW)
+
+
+def _summed(units: np.ndarray, weights: np.ndarray) -> list[dict]:
+    found, place = np.unique(units, return_inverse=True)
+    totals = np.zeros(len(found), np.int64)
+    np.add.at(totals, place, weights)
+    return [{"lhs": u, "rhs": _USES, "n": n, "rank": 0, "pos": 0} for u, n in zip(found.tolist(), totals.tolist())]
+
+
+def _among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+    place = np.minimum(np.searchsorted(some, keys), len(some) - 1)
+    return some[place] == keys
 
 
 def _blocks(numbers: dict[str, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of ``(word_rank, freq, units)`` with the statistics of all their pairs."""
+    """Blocks of ``(word_rank, freq, units)`` with the uses of all units and the statistics of all pairs."""
+    letters = np.ones(len(numbers), np.int64)
 
     def closed(units: list[int], ends: list[int], freqs: list[int], ranks: list[int]) -> pa.RecordBatch:
         block = Block(np.array(units, np.int32), np.array(ends, np.int64), np.array(freqs, np.int64), np.array(ranks, np.int64))
-        mass = block.masses()
+        uses = block.uses()
         block.drop_whole_words()
-        return block.row(mass, block.stats(None))
+        return block.row(uses + block.stats(letters, None, np.empty(0, np.int64)), [])
 
     held: tuple[list, list, list, list] = ([], [], [], [])
     for batch in batches:
@@ -134,18 +194,96 @@ def _blocks(numbers: dict[str, int], batches: Iterator[pa.RecordBatch]) -> Itera
         yield closed(*held)
 
 
-def _step(merges: list[tuple[int, int, int]], known: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks after the merges, with the statistics of the touched pairs; of all pairs if there are no merges."""
-    touched = None
-    if merges:
-        touched = np.zeros(known, bool)
-        touched[np.array(merges).ravel()] = True
-    for batch in batches:
-        for units, ends, freqs, ranks in zip(*(c.to_pylist() for c in batch.columns)):
-            block = Block(np.frombuffer(units, "<i4"), *(np.frombuffer(x, "<i8") for x in (ends, freqs, ranks)))
-            mass = block.merge(merges, known) if merges and len(block.units) else []
-            block.drop_whole_words()
-            yield block.row(mass, block.stats(touched))
+class Step:
+    """What a pass over the blocks does: changed words, then merges; what it reports: pairs and words."""
+
+    def __init__(self, sizes: list[int], merges: list[tuple[int, int, int]], changed: dict[int, list[int]], also: list[Pair], wanted: list[Pair], whole: bool) -> None:
+        self.sizes, self.merges, self.whole = np.array(sizes, np.int64), merges, whole
+        self.ranks = np.array(sorted(changed), np.int64)
+        self.units = [changed[r] for r in self.ranks.tolist()]
+        self.also, self.wanted = (np.array(sorted(a << 32 | b for a, b in pairs), np.int64) for pairs in (also, wanted))
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        touched = None
+        if not self.whole:
+            touched = np.zeros(len(self.sizes), bool)
+            touched[[u for row in self.merges for u in row]] = True
+        for batch in batches:
+            for units, ends, freqs, ranks in zip(*(c.to_pylist() for c in batch.columns)):
+                block = Block(np.frombuffer(units, "<i4"), *(np.frombuffer(x, "<i8") for x in (ends, freqs, ranks)))
+                block.update(self.ranks, self.units)
+                replaced = block.merge(self.merges, len(self.sizes)) if self.merges and len(block.units) else []
+                block.drop_whole_words()
+                yield block.row(replaced + block.stats(self.sizes, touched, self.also), block.words_with(self.wanted))
+
+
+class Words:
+    """Words at the driver, with the pairs of which it holds all words (``covered``)."""
+
+    def __init__(self, sizes: list[int]) -> None:
+        self.sizes = sizes
+        self.words: dict[int, tuple[int, list[int]]] = {}
+        self.holding: dict[Pair, set[int]] = defaultdict(set)
+        self.covered: set[Pair] = set()
+        self.changed: set[int] = set()
+
+    def add(self, rank: int, freq: int, units: list[int]) -> None:
+        if rank not in self.words:
+            self.words[rank] = (freq, units)
+            for pair in zip(units, units[1:]):
+                self.holding[pair].add(rank)
+
+    def first(self, pair: Pair) -> tuple[int, int]:
+        """First place of a covered pair."""
+        rank = min(self.holding[pair])
+        pos = 0
+        for u, v in zip(self.words[rank][1], self.words[rank][1][1:]):
+            if (u, v) == pair:
+                return rank, pos
+            pos += self.sizes[u]
+        raise KeyError(pair)
+
+    def merge(self, a: int, b: int, new: int) -> tuple[dict[Pair, int], int, set[tuple[Pair, int]]]:
+        """Changes of pair counts, weighted replacements, and ``(pair, rank)`` of the words in which a pair became rarer.
+
+        ``new`` is a fresh unit, so its pairs are in no other words.
+        """
+        change: dict[Pair, int] = defaultdict(int)
+        left: set[tuple[Pair, int]] = set()
+        replaced = 0
+        for rank in list(self.holding[a, b]):
+            freq, units = self.words[rank]
+            out: list[int] = []
+            i = 0
+            while i < len(units):
+                if units[i] == a and i + 1 < len(units) and units[i + 1] == b:
+                    out.append(new)
+                    replaced += freq
+                    i += 2
+                else:
+                    out.append(units[i])
+                    i += 1
+            before, after = Counter(zip(units, units[1:])), Counter(zip(out, out[1:]))
+            for pair, n in before.items():
+                change[pair] += (after[pair] - n) * freq
+                if after[pair] < n:
+                    left.add((pair, rank))
+                if not after[pair]:
+                    self.holding[pair].discard(rank)
+            for pair, n in after.items():
+                if pair not in before:
+                    change[pair] += n * freq
+                    self.holding[pair].add(rank)
+                    self.covered.add(pair)
+            self.words[rank] = (freq, out)
+            self.changed.add(rank)
+        return {pair: n for pair, n in change.items() if n}, replaced, left
+
+    def take_changed(self) -> dict[int, list[int]]:
+        """The units of the words changed since the last call."""
+        out = {rank: self.words[rank][1] for rank in self.changed}
+        self.changed = set()
+        return out
 
 
 class Frontier:
@@ -153,7 +291,9 @@ class Frontier:
 
     def __init__(self, likelihood: bool, least: int, uses: dict[int, int]) -> None:
         self.likelihood, self.least, self.uses = likelihood, least, uses
-        self.pairs: dict[tuple[int, int], tuple] = {}
+        #: key and count of each pair; the place in the key of a stale pair is one that the first place cannot precede
+        self.pairs: dict[Pair, tuple] = {}
+        self.stale: set[Pair] = set()
         self.touching: dict[int, set] = defaultdict(set)
         self.heap: list[tuple] = []
         self.cut: tuple | None = None
@@ -163,6 +303,7 @@ class Frontier:
         return -score, rank, pos
 
     def put(self, a: int, b: int, n: int, rank: int, pos: int) -> None:
+        self.stale.discard((a, b))
         key = self.rank(a, b, n, rank, pos)
         if n >= self.least and (self.cut is None or key < self.cut):
             self.pairs[a, b] = (key, n)
@@ -173,9 +314,15 @@ class Frontier:
     def drop_touching(self, units: set[int]) -> None:
         for unit in units:
             for a, b in self.touching.pop(unit, ()):
+                self.stale.discard((a, b))
                 if self.pairs.pop((a, b), None) is not None:
                     self.touching[b if a == unit else a].discard((a, b))
 
+    def drop(self, a: int, b: int) -> None:
+        if self.pairs.pop((a, b), None) is not None:
+            self.touching[a].discard((a, b))
+            self.touching[b].discard((a, b))
+
     def top(self) -> tuple | None:
         """The best pair, ``(key, a, b)``, taken from the heap."""
         while self.heap:
@@ -184,6 +331,48 @@ class Frontier:
                 return key, a, b
         return None
 
+    def best(self, count: int) -> list[Pair]:
+        """The ``count`` best pairs, which stay in the heap."""
+        taken = []
+        while len(taken) < count and (top := self.top()) is not None:
+            taken.append(top)
+        for top in taken:
+            heapq.heappush(self.heap, top)
+        return [(a, b) for _, a, b in taken]
+
+    def certain_top(self) -> Pair | None:
+        """The best pair, unless its place is not known and another has the same score."""
+        best = self.best(2)
+        if not best or (best[0] in self.stale and len(best) > 1 and self.pairs[best[0]][0][0] == self.pairs[best[1]][0][0]):
+            return None
+        return best[0]
+
+    def shift(self, words: Words, a: int, b: int, new: int) -> None:
+        """Merges a pair in the words that hold it, all of them at the driver, and ranks what that changes."""
+        change, replaced, left = words.merge(a, b, new)
+        for unit, n in ((a, -replaced), (b, -replaced), (new, replaced)):
+            self.uses[unit] = self.uses.get(unit, 0) + n
+        moved = set(change)
+        if self.likelihood:
+            moved |= self.touching[a] | self.touching[b]
+        for pair in moved:
+            key, n = self.pairs.pop(pair, (None, 0))
+            if key is None and new not in pair:
+                continue  # ranked too low to be kept, and now lower
+            n += change.get(pair, 0)
+            stale = pair in self.stale
+            if key is not None:
+                for unit in pair:
+                    self.touching[unit].discard(pair)
+            if n <= 0:
+                self.stale.discard(pair)
+            elif pair in words.covered:
+                self.put(*pair, n, *words.first(pair))
+            else:
+                self.put(*pair, n, *key[1:])
+                if pair in self.pairs and (stale or (pair, key[1]) in left):
+                    self.stale.add(pair)
+
     def run(self, limit: int, token_of: Callable[[int, int], str], numbers: dict[str, int]) -> list[tuple[int, int, str]]:
         """The longest known run of best pairs, in order, whose merges one after another give the same as at once.
 
@@ -242,7 +431,7 @@ def _totals(state: DataFrame) -> DataFrame:
 
 def _ranked(frontier: Frontier, state: DataFrame) -> None:
     """Fills the frontier with the best ``TRACKED`` pairs of all; ``state`` holds the statistics of every pair."""
-    pairs = _totals(state).where(F.col("n") >= frontier.least)
+    pairs = _totals(state).where((F.col("n") >= frontier.least) & (F.col("rhs") != _USES))
     score = F.col("n").cast("double")
     if frontier.likelihood:
         # One row per unit: bounded by the characters and the size of the vocabulary.
@@ -252,7 +441,7 @@ def _ranked(frontier: Frontier, state: DataFrame) -> None:
         score = F.col("n").cast("double") / (F.col("lhs_uses").cast("double") * F.col("rhs_uses"))
     best = pairs.orderBy(score.desc(), "rank", "pos").select("lhs", "rhs", "n", "rank", "pos").limit(TRACKED + 1).toArrow()
     rows = [*zip(*(c.to_pylist() for c in best.columns))]
-    frontier.pairs, frontier.touching, frontier.heap, frontier.cut = {}, defaultdict(set), [], None
+    frontier.pairs, frontier.touching, frontier.heap, frontier.stale, frontier.cut = {}, defaultdict(set), [], set(), None
     if len(rows) > TRACKED:
         # Pairs outside rank no better, whatever the order of equal doubles is.
         frontier.cut = min(frontier.rank(*rows[-1]), frontier.rank(*rows[-2]))
@@ -268,60 +457,132 @@ def merges(
     Ranks are by score, then by first place (word rank, position). ``token_of(lhs, rhs)`` names the token of a pair.
     The blocks are kept in the shared folder after every ``checkpoint_every`` rounds of at most ``batch`` merges.
     """
-    numbers = {unit: i for i, unit in enumerate(letters)}
-    names = list(letters)
-    spread_words = spread(ordered.select("word_rank", "freq", "units"), "word_rank").sortWithinPartitions("word_rank")
-    state = cut_lineage(spread_words.mapInArrow(partial(_blocks, numbers), _SCHEMA))
-    uses = state.select(F.explode("mass").alias("m")).groupBy("m.unit").agg(F.sum("m.n").alias("n")).collect()
-    frontier = Frontier(likelihood, least, {r.unit: r.n for r in uses})
-    _ranked(frontier, state)
-    made, rounds, older = 0, 0, None
-    name = lambda a, b: token_of(names[a], names[b])
-    while made < size:
-        chosen = frontier.run(min(batch, size - made), name, numbers)
+    return _Training(ordered, letters, token_of, Frontier(likelihood, least, {}), batch, checkpoint_every).tokens(size)
+
+
+class _Training:
+    """The blocks, the frontier and the words at the driver through the passes."""
+
+    def __init__(self, ordered: DataFrame, letters: list[str], token_of: Callable[[str, str], str], frontier: Frontier, batch: int, checkpoint_every: int) -> None:
+        self.numbers = {unit: i for i, unit in enumerate(letters)}
+        self.names, self.sizes = list(letters), [1] * len(letters)
+        self.token_of, self.frontier, self.batch, self.checkpoint_every = token_of, frontier, batch, checkpoint_every
+        words = spread(ordered.select("word_rank", "freq", "units"), "word_rank").sortWithinPartitions("word_rank")
+        self.state = cut_lineage(words.mapInArrow(partial(_blocks, self.numbers), _SCHEMA))
+        self.older: DataFrame | None = None
+        self.passes = 0
+        for row in _totals(self.state).where(F.col("rhs") == _USES).collect():
+            frontier.uses[row.lhs] = row.n
+        _ranked(frontier, self.state)
+        self.words = Words(self.sizes)
+
+    def _name(self, a: int, b: int) -> str:
+        return self.token_of(self.names[a], self.names[b])
+
+    def _number(self, a: int, b: int, token: str) -> int:
+        if token not in self.numbers:
+            self.numbers[token] = len(self.names)
+            self.names.append(token)
+            self.sizes.append(self.sizes[a] + self.sizes[b])
+        return self.numbers[token]
+
+    def _pass(self, merges: list[tuple[int, int, int]], also: list[Pair], wanted: list[Pair], whole: bool = False) -> None:
+        """One pass over the blocks; the state before it stays until the next, so that a lost part is made again."""
+        step = Step(self.sizes, merges, self.words.take_changed(), also, wanted, whole)
+        following = self.state.select(*_BLOCK).mapInArrow(step, _SCHEMA).persist()
+        self.passes += 1
+        if self.passes % self.checkpoint_every == 0:
+            kept = cut_lineage(following)
+            following.unpersist()
+            following = kept
+        if self.older is not None:
+            self.older.unpersist()
+        self.older, self.state = self.state, following
+
+    def _here(self) -> str | None:
+        """A merge in words that the driver holds, if the best pair allows it."""
+        best = self.frontier.certain_top()
+        if best is None or best not in self.words.covered or self._name(*best) in self.numbers:
+            return None
+        token = self._name(*best)
+        self.frontier.shift(self.words, *best, self._number(*best, token))
+        return token
+
+    def _look_up(self) -> bool:
+        """Brings the words of the best rare pairs to the driver; False if the best pair is not rare or its words are there."""
+        if len(self.words.words) > 4 * LOOKED_UP:
+            self._refresh([])
+            self.words = Words(self.sizes)
+        best = self.frontier.best(self.batch)
+        if not best or best[0] in self.words.covered or self.frontier.pairs[best[0]][1] > RARE:
+            return False
+        wanted, total = [], 0
+        for pair in best:
+            n = self.frontier.pairs[pair][1]
+            if n <= RARE and pair not in self.words.covered and total < LOOKED_UP:
+                wanted.append(pair)
+                total += n
+        self._refresh(wanted)
+        for row in self.state.select(F.explode("found").alias("w")).select("w.*").collect():
+            self.words.add(row.rank, row.freq, list(row.units))
+        self.words.covered.update(wanted)
+        return True
+
+    def _refresh(self, wanted: list[Pair]) -> None:
+        """A pass that brings changed words back and finds the first places that the driver does not know."""
+        stale = list(self.frontier.stale)
+        self._pass([], stale, wanted)
+        if stale:
+            for row in _totals(self.state).where(F.col("rhs") != _USES).collect():
+                self.frontier.drop(row.lhs, row.rhs)
+                self.frontier.put(row.lhs, row.rhs, row.n, row.rank, row.pos)
+
+    def _round(self, limit: int) -> list[str] | None:
+        """A run of merges in all blocks; None if no pair is left."""
+        frontier = self.frontier
+        if frontier.stale or self.words.changed:
+            self._refresh([])
+        self.words = Words(self.sizes)
+        chosen = frontier.run(min(self.batch, limit), self._name, self.numbers)
         if not chosen and frontier.cut is None:
-            break
-        for _, _, token in chosen:
-            if token not in numbers:
-                numbers[token] = len(names)
-                names.append(token)
-        numbered = [(a, b, numbers[token]) for a, b, token in chosen]
-        following = state.select(*_BLOCK).mapInArrow(partial(_step, numbered, len(names)), _SCHEMA).persist()
+            return None
+        merges = [(a, b, self._number(a, b, token)) for a, b, token in chosen]
+        self._pass(merges, [], [])
+        rows = _totals(self.state).collect() if merges else []
+        replaced = {r.lhs: r.n for r in rows if r.rhs == _USES}
+        for a, b, new in merges:
+            n = replaced.get(a, 0)
+            for unit, sign in ((a, -1), (b, -1), (new, 1)):
+                frontier.uses[unit] = frontier.uses.get(unit, 0) + sign * n
         if not chosen or len(frontier.pairs) > 2 * TRACKED:
-            # The ranked pairs are used up, or too many: rank all pairs again.
-            _apply_masses(frontier, following, numbered)
-            whole = following.select(*_BLOCK).mapInArrow(partial(_step, [], len(names)), _SCHEMA)
-            _ranked(frontier, whole)
+            self._pass([], [], [], whole=True)
+            _ranked(frontier, self.state)
             if not chosen and not frontier.pairs:
-                break
+                return None
         else:
-            _apply_masses(frontier, following, numbered)
-            units = {u for row in numbered for u in row}
-            frontier.drop_touching(units)
-            for row in _totals(following).collect():
-                frontier.put(*row)
-        made += len(chosen)
-        yield from (token for _, _, token in chosen)
-        if older is not None:
-            older.unpersist()
-        older, state, rounds = state, following, rounds + 1
-        if rounds % checkpoint_every == 0:
-            state = cut_lineage(following)
-            older.unpersist()
-            older = following
-    for kept in (older, state):
-        if kept is not None:
-            kept.unpersist()
-
-
-def _apply_masses(frontier: Frontier, state: DataFrame, numbered: list[tuple[int, int, int]]) -> None:
-    """Uses of the merged units after the round, from the weighted replacements."""
-    if not numbered:
-        return
-    rows = state.select(F.explode("mass").alias("m")).groupBy("m.unit").agg(F.sum("m.n").alias("n")).collect()
-    replaced = {r.unit: r.n for r in rows}
-    for a, b, new in numbered:
-        n = replaced.get(a, 0)
-        frontier.uses[a] -= n
-        frontier.uses[b] -= n
-        frontier.uses[new] = frontier.uses.get(new, 0) + n
+            frontier.drop_touching({u for row in merges for u in row})
+            for row in rows:
+                if row.rhs != _USES:
+                    frontier.put(*row)
+        return [token for _, _, token in chosen]
+
+    def tokens(self, size: int) -> Iterator[str]:
+        made = 0
+        while made < size:
+            # A cut frontier does not see the pairs outside that a merge raises by likelihood.
+            local = not (self.frontier.likelihood and self.frontier.cut is not None)
+            token = self._here() if local else None
+            if token is None and local and self._look_up():
+                token = self._here()
+            if token is not None:
+                made += 1
+                yield token
+                continue
+            done = self._round(size - made)
+            if done is None:
+                break
+            made += len(done)
+            yield from done
+        for kept in (self.older, self.state):
+            if kept is not None:
+                kept.unpersist()
