@@ -31,9 +31,13 @@ _HASH_BITS = 18
 
 
 def _replace(seq: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """One round: the most frequent pairs, found by hashed counts and confirmed pair by pair, become nonterminals."""
-    key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-    bucket = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
+    """One round, in place: the most frequent pairs, found by hashed counts and confirmed pair by pair, become nonterminals."""
+    key = seq[:-1].astype(np.uint64)
+    key <<= np.uint64(32)
+    key |= seq[1:]
+    mixed = key * np.uint64(0x9E3779B97F4A7C15)
+    mixed >>= np.uint64(64 - _HASH_BITS)
+    bucket = mixed.view(np.int64)
     counts = np.bincount(bucket, minlength=1 << _HASH_BITS)
     top = np.argpartition(counts, -PAIRS)[-PAIRS:]
     top = top[counts[top] >= LEAST]
@@ -42,11 +46,13 @@ def _replace(seq: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
         return seq, none
     index = np.full(1 << _HASH_BITS, -1, np.int32)
     index[top[np.argsort(-counts[top], kind="stable")]] = np.arange(len(top), dtype=np.int32)
-    at = np.flatnonzero(index[bucket] >= 0)
-    slot = index[bucket[at]]
+    slots = index[bucket]
+    at = np.flatnonzero(slots >= 0)
+    slot = slots[at]
     pair = np.zeros(len(top), np.uint64)
     pair[slot[::-1]] = key[at][::-1]
-    at, slot = (x[key[at] == pair[slot]] for x in (at, slot))
+    same = key[at] == pair[slot]
+    at, slot = at[same], slot[same]
     # Overlapping hits: every other one of a run, from the left.
     begins = np.concatenate([[True], np.diff(at) != 1])
     first = np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
@@ -54,13 +60,12 @@ def _replace(seq: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     at, slot = at[free], slot[free]
     used = np.bincount(slot, minlength=len(top)) >= LEAST // 2
     at, slot = at[used[slot]], slot[used[slot]]
-    number = np.cumsum(used) - 1
-    out = seq.copy()
-    out[at] = base + number[slot]
+    number = (base + np.cumsum(used) - 1).astype(np.uint32)
+    seq[at] = number[slot]
     keep = np.ones(len(seq), bool)
     keep[at + 1] = False
     rules = np.stack([pair[used] >> np.uint64(32), pair[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-    return out[keep], rules
+    return seq[keep], rules
 
 
 def repair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
