@@ -29,8 +29,9 @@ TRACKED = 400_000
 RARE = 2_000
 """Uses up to which the words of a pair are looked up."""
 
+PAIRS = 8_192
 LOOKED_UP = 100_000
-"""Uses of all the pairs that a pass looks up; the driver holds a few times as many words at most."""
+"""Pairs, and uses of them all, that a pass looks up; the driver holds a few times as many words at most."""
 
 BLOCK_UNITS = 1 << 18
 """Units after which a block is closed; a word is never cut."""
@@ -513,7 +514,7 @@ class _Training:
         if len(self.words.words) > 4 * LOOKED_UP:
             self._refresh([])
             self.words = Words(self.sizes)
-        best = self.frontier.best(self.batch)
+        best = self.frontier.best(PAIRS)
         if not best or best[0] in self.words.covered or self.frontier.pairs[best[0]][1] > RARE:
             return False
         wanted, total = [], 0

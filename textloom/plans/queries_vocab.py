@@ -55,18 +55,18 @@ def pair_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("train_wordpiece")
 def train_wordpiece(spark: SparkSession, sf: str) -> DataFrame:
-    """Likelihood training on all documents: alphabet plus 15 merges."""
+    """Likelihood training on all documents: alphabet plus 500 merges."""
     words = document_words(spark, sf).persist()
-    size = len(C.SPECIALS_LIKELIHOOD) + vocabulary.alphabet(words).count() + 15
+    size = len(C.SPECIALS_LIKELIHOOD) + vocabulary.alphabet(words).count() + 500
     return vocabulary.train_wordpiece(words, size)
 
 
 @query("train_wordpiece_freq")
 def train_wordpiece_freq(spark: SparkSession, sf: str) -> DataFrame:
-    """Frequency training on all documents, 400 entries."""
+    """Frequency training on all documents, 30,000 entries."""
     text = T.pretokenize(T.normalize_text(F.col("text")))
     words = vocabulary.word_freq(I.documents(spark, sf), text)
-    return vocabulary.train_wordpiece_freq(words, 400)
+    return vocabulary.train_wordpiece_freq(words.persist(), 30000)
 
 
 _PASSAGE_WORDS = f"""{S.BASE_VOCAB}, {_DOC_WORDS}, ask AS (SELECT word FROM w)"""
