@@ -129,21 +129,32 @@ class Shard:
         offsets = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
         return (np.concatenate(made) if made else np.empty(0, np.uint32)), offsets
 
-    def ids(self, n: int) -> np.ndarray:
-        start, length = int(self.starts[n]), int(self.table[n, 2])
-        if not length:
-            return np.empty(0, np.uint32)
-        low = int(np.searchsorted(self.ends, start, "right"))
-        high = int(np.searchsorted(self.ends, start + length, "left")) + 1
+    def _expanded(self, low: int, high: int) -> np.ndarray:
+        """Ids of the symbols from ``low`` to ``high``."""
         symbols = self.seq[low:high].astype(np.int64)
         sizes = np.diff(self.ends[low:high], prepend=self.ends[low - 1] if low else 0)
-        before = int(self.ends[low - 1]) if low else 0
         place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         each = np.repeat(symbols, sizes)
         rule = each >= self.first
         out = each.astype(np.uint32)
         out[rule] = self.flat[self.offsets[each[rule] - self.first] + place[rule]]
-        return out[start - before : start - before + length]
+        return out
+
+    def ids(self, n: int) -> np.ndarray:
+        """Ids of document ``n``, from the symbols that cover it."""
+        start, length = int(self.starts[n]), int(self.table[n, 2])
+        if not length:
+            return np.empty(0, np.uint32)
+        low = int(np.searchsorted(self.ends, start, "right"))
+        high = int(np.searchsorted(self.ends, start + length, "left")) + 1
+        before = int(self.ends[low - 1]) if low else 0
+        return self._expanded(low, high)[start - before : start - before + length]
+
+    def documents(self) -> Iterator[np.ndarray]:
+        """Ids of one document after another, expanded together."""
+        whole = self._expanded(0, len(self.seq))
+        for start, length in zip(self.starts.tolist(), self.table[:, 2].tolist()):
+            yield whole[start : start + length]
 
 
 def write(docs: DataFrame, tokenizer_path: str, target: str, end_id: int = 2) -> None:
@@ -193,8 +204,8 @@ def read(spark: SparkSession, target: str) -> DataFrame:
             for batch in batches:
                 for first, payload in zip(batch["first"].to_pylist(), batch["payload"].to_pylist()):
                     shard = Shard(payload)
-                    for n, (known, doc_id, length) in enumerate(shard.table.tolist()):
-                        yield doc_id if known else None, first + int(shard.starts[n]), length, shard.ids(n).astype("<u4").tobytes()
+                    for (known, doc_id, length), start, ids in zip(shard.table.tolist(), shard.starts.tolist(), shard.documents()):
+                        yield doc_id if known else None, first + start, length, ids.astype("<u4").tobytes()
 
         yield from in_batches(rows(), schema, lambda r: len(r[3]))
 
