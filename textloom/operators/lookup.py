@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.lexical import TIE_DIGITS, top_k
-from textloom.session import salted_join, spread
+from textloom.operators.tiles import grid, tiles
+from textloom.session import salted_join
 
 FULL_SCORE = 100.0
 EDITS = (2,)
@@ -191,47 +192,20 @@ class Entries:
         return places, scores
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows of one ``(words, entries)`` block pair after another."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        pairs = np.stack([batch.column(c).to_numpy() for c in ("words", "entries")], 1)
-        starts = [0, *(np.flatnonzero((np.diff(pairs, axis=0) != 0).any(axis=1)) + 1).tolist(), len(pairs)]
-        for start, end in zip(starts, starts[1:]):
-            if held and tuple(pairs[start]) != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(start, end - start))
-            last = tuple(pairs[start])
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _scan(words: DataFrame, pool: DataFrame, k: int) -> DataFrame:
     """Exact search over the whole pool for ``(word, worst)``, ``worst`` being a score that ``k`` entries reach, or null.
 
-    Blocks of words meet blocks of entries, any pair of blocks in any task; each gives its own best ``k`` per word.
+    Blocks of words meet blocks of entries; each pair of blocks gives its own best ``k`` per word.
     """
     kind = pool.schema["entry_rank"].dataType.simpleString()
     blocks = lambda df, rows: df.agg(F.greatest(F.ceil(F.count("*") / rows), F.lit(1)).cast("int")).scalar()
-    n_words, n_entries = blocks(words, BLOCK_WORDS), blocks(pool, BLOCK_ENTRIES)
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    asked = words.select(
-        F.pmod(F.xxhash64("word"), n_words).cast("int").alias("words"), every(n_entries).alias("entries"), "word", "worst",
-        F.lit(None).cast("string").alias("match"), F.lit(None).cast(kind).alias("entry_rank"),
-    )
-    offered = pool.select(
-        every(n_words).alias("words"), F.pmod(F.xxhash64("match"), n_entries).cast("int").alias("entries"), F.lit(None).cast("string").alias("word"),
-        F.lit(None).cast("double").alias("worst"), "match", "entry_rank",
-    )
+    none = lambda name, of: F.lit(None).cast(of).alias(name)
+    asked = words.select("word", "worst", none("match", "string"), none("entry_rank", kind))
+    offered = pool.select(none("word", "string"), none("worst", "double"), "match", "entry_rank")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in _tiles(batches):
-            is_word = pc.is_valid(tile["word"])
-            asked, offered = tile.filter(is_word), tile.filter(pc.invert(is_word)).combine_chunks()
+        for tile in tiles(batches):
+            asked, offered = tile.filter(tile["asked"]), tile.filter(pc.invert(tile["asked"])).combine_chunks()
             if not offered.num_rows:
                 continue
             block = Entries(offered["match"].to_pylist())
@@ -242,7 +216,8 @@ def _scan(words: DataFrame, pool: DataFrame, k: int) -> DataFrame:
                     columns = [pa.array([word] * len(places)), taken["match"].chunk(0), taken["entry_rank"].chunk(0), pa.array(scores)]
                     yield pa.RecordBatch.from_arrays(columns, ["word", "match", "entry_rank", "score"])
 
-    rows = spread(asked.unionByName(offered), "words", "entries").sortWithinPartitions("words", "entries", "entry_rank")
+    counts = (blocks(words, BLOCK_WORDS), blocks(pool, BLOCK_ENTRIES))
+    rows = grid(asked, offered, ("word", "match"), counts, ["entry_rank"])
     return rows.mapInArrow(scan, f"word string, match string, entry_rank {kind}, score double")
 
 

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import split_blank, word_set
 from textloom.operators.lexical import TIE_DIGITS, top_k
+from textloom.operators.tiles import grid, tiles
 from textloom.session import salted_join, small_side
 
-BLOCK_BYTES = 64 * 1024 * 1024
-"""Size of one broadcast block of vectors; a larger side is processed block after block."""
+BLOCK_BYTES = 8 * 1024 * 1024
+BLOCK_ROWS = 2_048
+"""Largest block of vectors; two blocks and their scores are what a task holds."""
+
+LEAST_BYTES = 64 * 1024
+"""Blocks are not made smaller than this to have more of them."""
 
 
 def unit_vectors(df: DataFrame, id_col: str, vec_col: str = "embedding") -> DataFrame:
@@ -30,48 +37,32 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
-def _blocks(side: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The side as (ids, matrix) blocks of bounded size, each read by its own filtered job."""
-    rows, width = side.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(0))).first()
-    parts = max(1, -(-rows * width * 8 // BLOCK_BYTES))
-    for part in range(parts if rows else 0):
-        chosen = side if parts == 1 else side.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
-        table = chosen.select("id", "vec").toArrow()
-        if table.num_rows:
-            flat = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            yield table["id"].to_numpy(), flat.reshape(table.num_rows, width)
-
-
-def _smaller_first(queries: DataFrame, items: DataFrame) -> bool:
-    return queries.count() <= items.count()
-
-
-def _matches(queries: DataFrame, items: DataFrame, pick) -> DataFrame:
-    """Run ``pick(scores, row_ids, column_ids)`` on score matrices of streamed rows against broadcast blocks."""
-    queries_small = _smaller_first(queries, items)
-    small, big = (queries, items) if queries_small else (items, queries)
-    spark = big.sparkSession
-    schema = "query_id bigint, item_id bigint, score double"
-    found = spark.createDataFrame([], schema)
-    for ids, matrix in _blocks(small):
-        block = spark.sparkContext.broadcast((ids, matrix))
-
-        def score(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            small_ids, small_matrix = block.value
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                vecs = batch.column("vec").flatten().to_numpy(zero_copy_only=False)
-                big_ids = batch.column("id").to_numpy()
-                scores = small_matrix @ vecs.reshape(len(big_ids), -1).T
-                if queries_small:
-                    q, i, s = pick(scores, small_ids, big_ids)
-                else:
-                    q, i, s = pick(scores.T, big_ids, small_ids)
+def _block_count(side: DataFrame) -> Column:
+    """Blocks of bounded rows and bytes; a smaller side is still cut, so that several tasks have work."""
+    size = F.count("*") * F.coalesce(F.max(F.size("vec")), F.lit(0)) * 8
+    tasks = side.sparkSession.sparkContext.defaultParallelism
+    wanted = F.least(F.ceil(size / LEAST_BYTES), F.lit(ceil(sqrt(2 * tasks))))
+    return side.agg(F.greatest(F.ceil(size / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_ROWS), wanted, F.lit(1)).cast("int")).scalar()
+
+
+def _matches(queries: DataFrame, items: DataFrame, pick: Callable) -> DataFrame:
+    """Run ``pick(scores, query_ids, item_ids)`` on the score matrix of every block of queries and block of items."""
+
+    def matrix(side: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        flat = side["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return side["id"].to_numpy(), flat.reshape(side.num_rows, -1)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in tiles(batches):
+            asked, offered = tile.filter(tile["asked"]), tile.filter(pc.invert(tile["asked"]))
+            if asked.num_rows and offered.num_rows:
+                (query_ids, left), (item_ids, right) = matrix(asked), matrix(offered)
+                q, i, s = pick(left @ right.T, query_ids, item_ids)
                 yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(i), pa.array(s)], ["query_id", "item_id", "score"])
 
-        found = found.unionByName(big.select("id", "vec").mapInArrow(score, schema))
-    return found
+    sides = [side.select("id", "vec").where("vec is not null") for side in (queries, items)]
+    counts = tuple(_block_count(side) for side in sides)
+    return grid(*sides, ("id", "id"), counts, ["id"]).mapInArrow(score, "query_id bigint, item_id bigint, score double")
 
 
 def cosine_scores(queries: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
@@ -87,8 +78,8 @@ def cosine_scores(queries: DataFrame, items: DataFrame, min_score: float) -> Dat
 def cosine_topk(queries: DataFrame, items: DataFrame, k: int, high_id_first: bool = False) -> DataFrame:
     """``(query_id, item_id, score, rank)``: the ``k`` nearest items, exact.
 
-    Each batch of rows emits only its own best ``k`` per query, ties at the edge included, so the final ranking moves
-    a few rows per query and batch.
+    Each block of items gives only its own best ``k`` per query, so the final ranking moves a few rows per query and
+    block.
     """
     if k <= 0:
         return _matches(queries.limit(0), items, lambda s, q, i: (q, i, s)).withColumn("rank", F.lit(0))
