@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from textloom.llm import packing, tokens
+from textloom.llm import packing, token_files, tokens
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 
@@ -36,3 +36,13 @@ def test_sequences_are_numbered_without_clashes(spark):
         for offset, length in sorted(r.p):
             assert offset == at
             at += length
+
+
+def test_documents_of_a_shard_equal_random_access():
+    draw = np.random.default_rng(4)
+    phrase = draw.integers(0, 50, 40)
+    docs = [(i, np.concatenate([phrase[: draw.integers(0, 41)] for _ in range(draw.integers(0, 30))] or [np.empty(0, int)]).astype(np.uint32)) for i in range(200)]
+    shard = token_files.Shard(token_files.pack_shard([(i, x) for i, x in docs]))
+    assert len(shard.rules)
+    for n, (whole, (_, want)) in enumerate(zip(shard.documents(), docs)):
+        assert whole.tolist() == shard.ids(n).tolist() == want.tolist()
