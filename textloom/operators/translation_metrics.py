@@ -1,13 +1,17 @@
 """Corpus BLEU, chrF and chrF++.
 
-Clipped n-gram matches are counted inside each row: repeated n-grams are numbered, so the size of a set intersection
-is the clipped count. Nothing is exploded and the only shuffle carries one row of sums per task and group.
+Clipped n-gram matches are counted inside each row, for many rows at a time: the n-grams of a row are numbered, those
+of order n from those of order n - 1. Nothing is exploded and the only shuffle carries one row of sums per task and
+group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +22,9 @@ from textloom.functions import text as T
 _SPLIT_MARKS = r"([\{-~\[-` -&\(-\+:-@/])"
 _ASCII_MARKS = r"!-/:-@\[-`{-~"
 
+TOKENS_AT_ONCE = 1 << 19
+"""Tokens after which a run of rows is closed; a row is never cut."""
+
 
 def tokenize_13a(text: Column) -> Column:
     """Standard punctuation splitting of lowered text."""
@@ -42,9 +49,14 @@ def _split_marks(text: Column) -> Column:
     return T.split_blank(out, any_whitespace=True)
 
 
+def unspaced(text: Column) -> Column:
+    """Lowered text without blanks."""
+    return F.regexp_replace(F.lower(text), rf"[{C.WHITESPACE}]+", "")
+
+
 def tokenize_chars(text: Column) -> Column:
     """Characters of lowered text without blanks."""
-    return T.characters(F.regexp_replace(F.lower(text), rf"[{C.WHITESPACE}]+", ""))
+    return T.characters(unspaced(text))
 
 
 def chrf_words(text: Column) -> Column:
@@ -65,19 +77,66 @@ def chrf_words(text: Column) -> Column:
     return F.flatten(F.transform(words, split))
 
 
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all rows as numbers, and how many each row has; a text stands for its characters."""
+    if pa.types.is_list(column.type):
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        return column.flatten().dictionary_encode().indices.to_numpy().astype(np.int64), sizes.astype(np.int64)
+    text = "".join(column.to_pylist())
+    return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64), pc.utf8_length(column).to_numpy().astype(np.int64)
+
+
+def _matches(pred: pa.Array, ref: pa.Array, orders: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(m, p, r)`` of every row, for each order from 1: clipped matches and n-grams per side.
+
+    An n-gram can only match if the one without its last token does, so the others are dropped on the way.
+    """
+    tokens, sizes = _numbers(pa.concat_arrays([pred, ref]))
+    rows = len(pred)
+    first_ref = int(sizes[:rows].sum())
+    row = np.repeat(np.arange(2 * rows) % rows, sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(tokens))
+    kinds = int(tokens.max(initial=0)) + 1
+    at, grams = np.arange(len(tokens)), row
+    for n in range(1, orders + 1):
+        held = left[at] >= n
+        at = at[held]
+        keys, grams = np.unique(grams[held] * kinds + tokens[at + n - 1], return_inverse=True)
+        of_pred = at < first_ref
+        both = np.minimum(*(np.bincount(grams[side], minlength=len(keys)) for side in (of_pred, ~of_pred)))
+        of_row = np.zeros(len(keys), np.int64)
+        of_row[grams] = row[at]
+        counts = np.maximum(sizes - n + 1, 0)
+        yield np.bincount(of_row, weights=both, minlength=rows).astype(np.int64), counts[:rows], counts[rows:]
+        shared = both[grams] > 0
+        at, grams = at[shared], grams[shared]
+
+
 def _with_matches(rows: DataFrame, grams: list[tuple[str, str, int]]) -> DataFrame:
-    """Adds ``m_i`` (clipped matches), ``p_i`` and ``r_i`` (n-grams per side) for each (pred, ref, order).
+    """Adds ``m_i`` (clipped matches), ``p_i`` and ``r_i`` (n-grams per side) for each (pred, ref, highest order).
 
-    Three projections keep each array materialized, so no expression is evaluated twice.
+    The columns hold tokens, or texts whose characters are the tokens; orders count on from one pair of columns to the
+    next. The columns of tokens are left out.
     """
-    keep = [c for c in rows.columns]
-    sides = [(f"{side}{i}", F.sort_array(T.word_ngrams(F.col(col), n))) for i, (p, r, n) in enumerate(grams) for side, col in (("p", p), ("r", r))]
-    ordered = rows.select(*keep, *[expr.alias(f"o_{name}") for name, expr in sides])
-    counted = ordered.select(*keep, *[F.size(f"o_{n}").alias(f"{n[0]}_{n[1:]}") for n, _ in sides], *[T.count_runs(F.col(f"o_{n}")).alias(f"c_{n}") for n, _ in sides])
-    sizes = [f"{n[0]}_{n[1:]}" for n, _ in sides]
-    numbered = counted.select(*keep, *sizes, *[T.number_repeats(F.col(f"c_{n}")).alias(f"n_{n}") for n, _ in sides])
-    matches = [F.size(F.array_intersect(f"n_p{i}", f"n_r{i}")).alias(f"m_{i}") for i in range(len(grams))]
-    return numbered.select(*keep, *sizes, *matches)
+    tokens = {c for p, r, _ in grams for c in (p, r)}
+    keep = [f for f in rows.schema.fields if f.name not in tokens]
+    names = [f"{kind}_{i}" for i in range(sum(n for _, _, n in grams)) for kind in "mpr"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.ones(batch.num_rows, np.int64)
+            for c in tokens:
+                of_list = pa.types.is_list(batch[c].type)
+                length = pc.list_value_length(batch[c]) if of_list else pc.utf8_length(batch[c])
+                sizes += pc.fill_null(length, 0).to_numpy(zero_copy_only=False)
+            ends = np.flatnonzero(np.diff(np.cumsum(sizes) // TOKENS_AT_ONCE, append=-1)) + 1
+            for start, end in zip([0, *ends.tolist()], ends.tolist()):
+                part = batch.slice(start, end - start)
+                found = [x for p, r, n in grams for counts in _matches(part[p], part[r], n) for x in counts]
+                yield pa.RecordBatch.from_arrays([*(part[f.name] for f in keep), *map(pa.array, found)], [*(f.name for f in keep), *names])
+
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in keep]
+    return rows.select(*[f.name for f in keep], *sorted(tokens)).mapInArrow(run, ", ".join(kept + [f"{n} bigint" for n in names]))
 
 
 def _sums(counted: DataFrame, orders: int, by_level: str | None, extra: list[Column]) -> DataFrame:
@@ -125,29 +184,29 @@ def _prepared(rows: DataFrame, tokenize: Callable[[Column], Column], names: tupl
 
 
 def corpus_bleu(rows: DataFrame, tokenize: Callable[[Column], Column] = tokenize_13a) -> DataFrame:
-    """One row ``(score)``; ``rows`` is ``(pred, gold)``."""
+    """One row ``(score)``; ``rows`` is ``(pred, gold)``. ``tokenize`` gives tokens, or a text of which the characters count."""
     tokens = _prepared(rows, tokenize, ("pt", "rt")).select("pt", "rt")
-    counted = _with_matches(tokens, [("pt", "rt", n) for n in range(1, 5)])
+    counted = _with_matches(tokens, [("pt", "rt", 4)])
     sums = _sums(counted, 4, None, [F.sum("p_0").alias("pred_len"), F.sum("r_0").alias("ref_len")])
     return sums.select(F.bround(bleu_score(), 4).alias("score"))
 
 
 def char_bleu(rows: DataFrame) -> DataFrame:
     """BLEU on characters."""
-    return corpus_bleu(rows, tokenize_chars)
+    return corpus_bleu(rows, unspaced)
 
 
 def _chrf_counts(rows: DataFrame, word_order: int, keep: list[str] | None = None) -> DataFrame:
-    tokens = _prepared(rows, tokenize_chars, ("pc", "rc"))
-    grams = [("pc", "rc", n) for n in range(1, 7)]
+    tokens = _prepared(rows, unspaced, ("pc", "rc"))
+    grams = [("pc", "rc", 6)]
     columns = [*(keep or []), "pc", "rc"]
     if word_order:
         tokens = _prepared(tokens, chrf_words, ("pw", "rw"))
-        grams += [("pw", "rw", n) for n in range(1, word_order + 1)]
+        grams += [("pw", "rw", word_order)]
         columns += ["pw", "rw"]
     counted = _with_matches(tokens.select(*columns), grams)
     # Predicted n-grams only count in rows whose gold text has n-grams of that order.
-    for i in range(len(grams)):
+    for i in range(6 + word_order):
         counted = counted.withColumn(f"p_{i}", F.when(F.col(f"r_{i}") > 0, F.col(f"p_{i}")).otherwise(0))
     return counted
 
@@ -160,11 +219,9 @@ def chrf(rows: DataFrame, word_order: int = 0) -> DataFrame:
 
 def metrics_by_level(rows: DataFrame, level: str = "source", levels: list[str] | None = None, tokenize: Callable[[Column], Column] = tokenize_13a) -> DataFrame:
     """``(level, bleu, chrfpp, chrf)`` for all rows (level ``overall``) and each level, from one pass over the rows."""
-    tokens = _prepared(_prepared(_prepared(rows, tokenize, ("pt", "rt")), tokenize_chars, ("pc", "rc")), chrf_words, ("pw", "rw"))
+    tokens = _prepared(_prepared(_prepared(rows, tokenize, ("pt", "rt")), unspaced, ("pc", "rc")), chrf_words, ("pw", "rw"))
     tokens = tokens.select(F.col(level).alias("level"), "pt", "rt", "pc", "rc", "pw", "rw")
-    grams = [("pt", "rt", n) for n in range(1, 5)]
-    grams += [("pc", "rc", n) for n in range(1, 7)] + [("pw", "rw", n) for n in (1, 2)]
-    counted = _with_matches(tokens, grams)
+    counted = _with_matches(tokens, [("pt", "rt", 4), ("pc", "rc", 6), ("pw", "rw", 2)])
     for i in range(4, 12):
         counted = counted.withColumn(f"p_{i}", F.when(F.col(f"r_{i}") > 0, F.col(f"p_{i}")).otherwise(0))
     sums = _sums(counted, 12, "level", [F.sum("p_0").alias("pred_len"), F.sum("r_0").alias("ref_len")])
