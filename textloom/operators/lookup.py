@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.lexical import TIE_DIGITS, top_k
 from textloom.operators.tiles import grid, tiles
-from textloom.session import salted_join
+from textloom.session import fits_broadcast, salted_join
 
 FULL_SCORE = 100.0
 EDITS = (2,)
@@ -42,25 +42,54 @@ def dict_exact(words: DataFrame, dictionary: DataFrame, max_meanings: int | None
     return found if max_meanings is None else found.withColumn("meanings", F.slice("meanings", 1, max_meanings))
 
 
+def _affixes(words: DataFrame, *cuts: Column) -> DataFrame:
+    """``(word, n, match)``: every affix of every word."""
+    sized = words.withColumn("n", F.explode(F.sequence(F.lit(1), F.length("word"))))
+    return sized.withColumn("match", cuts[0] if len(cuts) == 1 else F.explode(F.array(*cuts)))
+
+
 def _longest(words: DataFrame, pool: DataFrame, cut: Column, skip: Column | None) -> DataFrame:
-    """Longest affix of each word that is a pool entry, by equi-join on all its affixes."""
-    affixes = words.withColumn("n", F.explode(F.sequence(F.lit(1), F.length("word")))).withColumn("match", cut)
+    """Longest affix of each word that is a pool entry, by equi-join on all its affixes.
+
+    Affixes of a measured size go to the pool, which is then read once.
+    """
+    affixes = _affixes(words, cut)
     if skip is not None:
         affixes = affixes.where(F.coalesce(F.col("match") != skip, F.lit(True)))
-    hits = salted_join(affixes.select("word", "n", "match"), pool.select("match"), ["match"], "word")
+    asked = affixes.select("match").distinct()
+    if fits_broadcast(asked):
+        # Not more entries than there are affixes.
+        entries = pool.select("match").join(F.broadcast(asked), "match", "left_semi").distinct()
+        hits = affixes.join(F.broadcast(entries), "match")
+    else:
+        hits = salted_join(affixes.select("word", "n", "match"), pool.select("match"), ["match"], "word")
     return hits.groupBy("word").agg(F.max("n").alias("n"))
 
 
+def affix_entries(words: DataFrame, pool: DataFrame) -> DataFrame:
+    """``(match)``: the pool entries that start or end a word; as a pool they serve both ``dict_prefix`` and ``dict_suffix``."""
+    asked = _affixes(words.select("word"), *_cuts()).select("match").distinct()
+    entries = pool.select("match")
+    return entries.join(F.broadcast(asked) if fits_broadcast(asked) else asked, "match", "left_semi").distinct()
+
+
+def _cuts() -> tuple[Column, Column]:
+    """The first and the last ``n`` characters of a word."""
+    head = F.substring(F.col("word"), F.lit(1), F.col("n"))
+    return head, F.substring(F.col("word"), F.length("word") - F.col("n") + 1, F.col("n"))
+
+
 def dict_prefix(words: DataFrame, pool: DataFrame) -> DataFrame:
     """``(word, match, score)``: the longest pool entry that starts the word."""
-    best = _longest(words.select("word"), pool, F.substring(F.col("word"), F.lit(1), F.col("n")), None)
-    return best.select("word", F.substring(F.col("word"), F.lit(1), F.col("n")).alias("match"), F.lit(FULL_SCORE).alias("score"))
+    head, _ = _cuts()
+    best = _longest(words.select("word"), pool, head, None)
+    return best.select("word", head.alias("match"), F.lit(FULL_SCORE).alias("score"))
 
 
 def dict_suffix(words: DataFrame, pool: DataFrame, prefixes: DataFrame) -> DataFrame:
     """As ``dict_prefix`` at the end of the word; the entry already found as prefix is passed over."""
     known = words.select("word").join(prefixes.select("word", F.col("match").alias("prefix")), "word", "left")
-    tail = F.substring(F.col("word"), F.length("word") - F.col("n") + 1, F.col("n"))
+    _, tail = _cuts()
     best = _longest(known, pool, tail, F.col("prefix"))
     return best.select("word", tail.alias("match"), F.lit(FULL_SCORE).alias("score"))
 
@@ -260,8 +289,9 @@ def dict_lookup(
     exact = asked.join(dictionary.select("word"), "word", "left_semi")
     missing = asked.join(dictionary.select("word"), "word", "left_anti").persist()
     pool = choices(dictionary, min_chars)
-    prefix = dict_prefix(missing, pool).persist()
-    suffix = dict_suffix(missing, pool, prefix).persist()
+    near = affix_entries(missing, pool).persist()
+    prefix = dict_prefix(missing, near).persist()
+    suffix = dict_suffix(missing, near, prefix).persist()
     listed = prefix.withColumn("n", F.lit(1)).unionByName(suffix.withColumn("n", F.lit(2)))
     full = listed.groupBy("word").agg(F.count("*").alias("hits")).where(F.col("hits") >= per_word)
     fuzzy = dict_fuzzy_topk(missing.join(full, "word", "left_anti"), pool, per_word)

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DataType, IntegralType
 
 from textloom.functions import constants as C
 from textloom.functions import text as T
@@ -31,13 +31,22 @@ def word_freq(docs: DataFrame, words: Column, id_col: str = "doc_id") -> DataFra
     kind = used.schema["doc"].dataType
     if not isinstance(kind, IntegralType):
         return used.groupBy("word").agg(F.count("*").alias("freq"), F.min(F.struct("doc", "pos")).alias("first_seen"))
-    number = lambda x: F.lit(Decimal(x)).cast("decimal(20,0)")
-    place = F.coalesce(F.col("doc").cast("decimal(20,0)"), number(_NO_ID)) * F.lit(_POSITIONS).cast("decimal(10,0)") + F.col("pos")
-    counted = used.groupBy("word").agg(F.count("*").alias("freq"), F.min(place.cast("decimal(38,0)")).alias("place"))
-    pos = F.pmod(F.col("place"), F.lit(_POSITIONS).cast("decimal(38,0)"))
-    doc = ((F.col("place") - pos) / F.lit(_POSITIONS).cast("decimal(10,0)")).cast("decimal(20,0)")
-    known = F.when(doc != number(_NO_ID), doc.cast(kind))
-    return counted.select("word", "freq", F.struct(known.alias("doc"), pos.cast("int").alias("pos")).alias("first_seen"))
+    counted = used.groupBy("word").agg(F.count("*").alias("freq"), F.min(place_number(F.col("doc"), F.col("pos"))).alias("place"))
+    doc, pos = number_place(F.col("place"), kind)
+    return counted.select("word", "freq", F.struct(doc.alias("doc"), pos.alias("pos")).alias("first_seen"))
+
+
+def place_number(doc: Column, pos: Column) -> Column:
+    """One decimal number for a document (a whole number, or null, which comes first) and a position in it, in their order."""
+    place = F.coalesce(doc.cast("decimal(20,0)"), F.lit(Decimal(_NO_ID)).cast("decimal(20,0)")) * F.lit(_POSITIONS).cast("decimal(10,0)") + pos
+    return place.cast("decimal(38,0)")
+
+
+def number_place(place: Column, kind: DataType) -> tuple[Column, Column]:
+    """Document, of type ``kind``, and position of a ``place_number``."""
+    pos = F.pmod(place, F.lit(_POSITIONS).cast("decimal(38,0)"))
+    doc = ((place - pos) / F.lit(_POSITIONS).cast("decimal(10,0)")).cast("decimal(20,0)")
+    return F.when(doc != F.lit(Decimal(_NO_ID)).cast("decimal(20,0)"), doc.cast(kind)), pos.cast("int")
 
 
 def initial_units(word: Column) -> Column:

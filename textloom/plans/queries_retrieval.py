@@ -268,7 +268,8 @@ def rule_text(spark: SparkSession, sf: str) -> DataFrame:
     FROM words LEFT JOIN dict USING (word)""",
 )
 def dict_exact(spark: SparkSession, sf: str) -> DataFrame:
-    found = lookup.dict_exact(I.passage_words(spark, sf), I.dictionary(spark, sf), 2)
+    words = I.passage_words(spark, sf)
+    found = lookup.dict_exact(words, I.dictionary(spark, sf, only=words), 2)
     return found.select("word", bars("meanings").alias("meanings"), "source")
 
 
@@ -303,7 +304,8 @@ def dict_prefix(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("dict_suffix", f"WITH {MISSING_SQL}, asked_words AS (SELECT word FROM words), {AFFIX_SQL} SELECT word, match, CAST(100 AS DOUBLE) AS score FROM suffix")
 def dict_suffix(spark: SparkSession, sf: str) -> DataFrame:
-    words, pool = I.passage_words(spark, sf), lookup.choices(I.dictionary(spark, sf), 3)
+    words = I.passage_words(spark, sf)
+    pool = lookup.affix_entries(words, lookup.choices(I.dictionary(spark, sf), 3)).persist()
     return lookup.dict_suffix(words, pool, lookup.dict_prefix(words, pool))
 
 
