@@ -113,8 +113,8 @@ def encode_chunks(chunks: DataFrame, vocab: DataFrame, added: DataFrame | None =
             listed = distinct.select("chunk", _pre_tokens(F.col("chunk")).alias("words"))
         else:
             pieces = matching.cut(distinct, "chunk", held_added, glued=True)
-            listed = pieces.select("chunk", F.flatten(F.transform("pieces", lambda p: _pre_tokens(p["piece"], p["hit"]))).alias("words"))
-        return matching.encode_lists(listed.where(F.size("words") > 0), "chunk", held, max_chars)
+            listed = _words_of_pieces(pieces, "chunk")
+        return matching.encode_lists(listed, "chunk", held, max_chars).where(F.size("tokens") > 0)
     if added is None:
         pieces = distinct.select("chunk", F.lit(0).alias("pos"), F.col("chunk").alias("piece"), F.lit(False).alias("hit"))
     else:
@@ -149,6 +149,60 @@ def encode_docs(uses: DataFrame, encoded: DataFrame) -> DataFrame:
     return placed.groupBy("doc_id").agg(F.flatten(F.transform(ordered, lambda p: p["tokens"])).alias("tokens"))
 
 
+def encode_texts(docs: DataFrame, text: Column, vocab: DataFrame, id_col: str = "doc_id", max_chars: int | None = None) -> DataFrame:
+    """``(doc_id, tokens)`` of the lowered texts that have words, as ``encode_docs`` of their chunks.
+
+    With a vocabulary of a measured size a text is encoded where it lies. Texts that share an id make one row, chunk by
+    chunk; only those are taken apart and put together again.
+    """
+    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+
+    def together(rows: DataFrame) -> DataFrame:
+        uses = chunk_uses(rows, F.col("text"))
+        return encode_docs(uses, encode_chunks(uses, vocab, max_chars=max_chars))
+
+    if (held := matching.sent(vocab)) is None:
+        return together(keyed)
+
+    def alone(rows: DataFrame) -> DataFrame:
+        listed = rows.select("doc_id", _pre_tokens(F.lower("text")).alias("words"))
+        return matching.encode_lists(listed, "doc_id", held, max_chars).where(F.size("tokens") > 0)
+
+    repeated = keyed.groupBy(F.col("doc_id").alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again")
+    if repeated.isEmpty():
+        return alone(keyed)
+    met = F.col("doc_id").eqNullSafe(F.col("again"))
+    shared = small_side(repeated)
+    return alone(keyed.join(shared, met, "left_anti")).unionByName(together(keyed.join(shared, met, "left_semi")))
+
+
+def text_lengths(
+    docs: DataFrame, text: Column, vocab: DataFrame, added: DataFrame | None = None, id_col: str = "doc_id", max_chars: int | None = None
+) -> DataFrame:
+    """``(doc_id, n_tokens)``: the tokens of each id's lowered texts; added tokens match first, also inside words.
+
+    With vocabularies of a measured size the tokens are counted where the texts lie, else by distinct chunks.
+    """
+    held = matching.sent(vocab)
+    held_added = matching.sent(added) if added is not None and held is not None else None
+    if held is None or (added is not None and held_added is None):
+        counts = chunk_counts(docs, text, id_col)
+        sizes = encode_chunks(counts, vocab, added, max_chars).select("chunk", F.size("tokens").cast("long").alias("n_tokens"))
+        return token_lengths(counts, sizes, "n_tokens")
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.lower(text).alias("text"))
+    if added is None:
+        listed = keyed.select("doc_id", _pre_tokens(F.col("text")).alias("words"))
+    else:
+        chunks = keyed.select("doc_id", T.split_blank(F.col("text"), any_whitespace=True).alias("chunks"))
+        listed = _words_of_pieces(matching.cut_lists(chunks, "doc_id", held_added, glued=True), "doc_id")
+    counted = matching.count_lists(listed, "doc_id", held, max_chars).where("n > 0")
+    return counted.groupBy("doc_id").agg(F.sum("n").alias("n_tokens"))
+
+
+def _words_of_pieces(pieces: DataFrame, key: str) -> DataFrame:
+    return pieces.select(key, F.flatten(F.transform("pieces", lambda p: _pre_tokens(p["piece"], p["hit"]))).alias("words"))
+
+
 def chunk_counts(docs: DataFrame, text: Column, id_col: str = "doc_id") -> DataFrame:
     """``(doc_id, chunk, n)`` of the lowered text, counted inside the row."""
     ordered = docs.select(F.col(id_col).alias("doc_id"), F.sort_array(T.split_blank(F.lower(text), any_whitespace=True)).alias("ordered"))
@@ -167,7 +221,12 @@ def token_lengths(counts: DataFrame, sizes: DataFrame, *names: str) -> DataFrame
 
 
 def encode_ids(doc_tokens: DataFrame, vocab: DataFrame, cls: str = "[CLS]", sep: str = "[SEP]") -> DataFrame:
-    """``(doc_id, ids)`` wrapped in the special tokens; unknown tokens get the id of ``[UNK]``."""
+    """``(doc_id, ids)`` wrapped in the special tokens; unknown tokens get the id of ``[UNK]``.
+
+    ``doc_tokens`` has an id once. A vocabulary of a measured size goes to the rows.
+    """
+    if (held := matching.sent_ids(vocab)) is not None:
+        return matching.id_lists(doc_tokens, "doc_id", held, cls, sep)
     wrapped = F.concat(F.array(F.lit(cls)), F.col("tokens"), F.array(F.lit(sep)))
     rows = doc_tokens.select("doc_id", F.posexplode(wrapped).alias("pos", "token"))
     ids = small_side(vocab.groupBy("token").agg(F.min("token_id").alias("token_id")))
@@ -178,7 +237,12 @@ def encode_ids(doc_tokens: DataFrame, vocab: DataFrame, cls: str = "[CLS]", sep:
 
 
 def decode_ids(doc_ids: DataFrame, vocab: DataFrame, skip: list[str]) -> DataFrame:
-    """``(doc_id, text)``: tokens joined by spaces, continuation pieces attached, special tokens left out."""
+    """``(doc_id, text)``: tokens joined by spaces, continuation pieces attached, special tokens left out.
+
+    ``doc_ids`` has an id once. A vocabulary of a measured size goes to the rows.
+    """
+    if (held := matching.sent_ids(vocab)) is not None:
+        return matching.text_lists(doc_ids, "doc_id", held, skip)
     rows = doc_ids.select("doc_id", F.posexplode("ids").alias("pos", "token_id"))
     joined = rows.join(small_side(vocab.select("token", "token_id")), "token_id").where(~F.col("token").isin(skip))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "token")))

@@ -7,8 +7,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 LEXICON_ROWS = 500_000
 LEXICON_BYTES = 32 * 1024 * 1024
@@ -17,6 +19,9 @@ LEXICON_BYTES = 32 * 1024 * 1024
 REMEMBERED = 500_000
 """Encoded words that a worker remembers; when full, it starts anew."""
 
+USES_AT_ONCE = 1 << 18
+"""Words, chunks or tokens after which a run of rows is closed; a row is never cut."""
+
 UNK = "[UNK]"
 CONTINUED = "##"
 
@@ -136,6 +141,43 @@ def cut(units: DataFrame, key: str, tokens: Broadcast, glued: bool) -> DataFrame
     return units.select(key).mapInArrow(run, f"`{key}` string, pieces array<struct<piece:string,hit:boolean>>")
 
 
+def _runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray]]:
+    """Rows in runs of bounded size: the run, the items of its lists in ``column``, and how many each row has."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = (np.flatnonzero(np.diff(np.cumsum(sizes) // USES_AT_ONCE, append=-1)) + 1).tolist()
+        for start, end in zip([0, *ends], ends):
+            run = batch.slice(start, end - start)
+            yield run, run[column].flatten(), sizes[start:end]
+
+
+def _placed(codes: np.ndarray, pieces: list[list], sizes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Where the pieces of the items ``codes`` stand among all ``pieces``, and where the rows of ``sizes`` items end."""
+    counts = np.array([len(p) for p in pieces], np.int64)
+    taken = counts[codes]
+    ends = np.cumsum(taken)
+    begins = (np.cumsum(counts) - counts)[codes]
+    places = np.arange(int(taken.sum())) + np.repeat(begins - (ends - taken), taken)
+    return places, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+
+
+def _encoded(words: pa.StructArray, encode: Callable[[str], list[str]], max_chars: int | None) -> tuple[np.ndarray, list[list[str]]]:
+    """The distinct words of ``(word, hit)`` in vocabulary pieces, and the number of each word among them."""
+    coded = words.field("word").dictionary_encode()
+    keys = coded.indices.to_numpy().astype(np.int64) * 2 + words.field("hit").to_numpy(zero_copy_only=False)
+    used = np.zeros(2 * len(coded.dictionary), bool)
+    used[keys] = True
+    texts = coded.dictionary.to_pylist()
+    pieces = []
+    for key in np.flatnonzero(used).tolist():
+        word = texts[key >> 1]
+        if key & 1:
+            pieces.append([word])
+        else:
+            pieces.append([UNK] if max_chars is not None and len(word) > max_chars else encode(word))
+    return (np.cumsum(used) - 1)[keys], pieces
+
+
 def encode_lists(units: DataFrame, key: str, tokens: Broadcast, max_chars: int | None = None) -> DataFrame:
     """``(key, tokens)`` of ``(key, words)``: the words of each row, ``array<struct<word, hit>>``, in vocabulary pieces.
 
@@ -144,20 +186,97 @@ def encode_lists(units: DataFrame, key: str, tokens: Broadcast, max_chars: int |
     kind = units.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode: Callable[[str], list[str]] = built(tokens, WordPieces).encode
-        for batch in batches:
-            words = batch["words"].flatten()
-            out, ends = [], [0]
-            for word, hit in zip(words.field("word").to_pylist(), words.field("hit").to_pylist()):
-                if hit:
-                    out.append(word)
-                elif max_chars is not None and len(word) > max_chars:
-                    out.append(UNK)
-                else:
-                    out += encode(word)
-                ends.append(len(out))
-            sizes = np.array([0 if n is None else n for n in batch["words"].value_lengths().to_pylist()], np.int64)
-            offsets = np.array(ends)[np.concatenate([[0], np.cumsum(sizes)])]
-            yield pa.RecordBatch.from_arrays([batch[key], _lists(offsets.tolist(), pa.array(out, pa.string()))], [key, "tokens"])
+        encode = built(tokens, WordPieces).encode
+        for rows, words, sizes in _runs(batches, "words"):
+            codes, pieces = _encoded(words, encode, max_chars)
+            places, offsets = _placed(codes, pieces, sizes)
+            values = pa.array([t for p in pieces for t in p], pa.string()).take(pa.array(places))
+            yield pa.RecordBatch.from_arrays([rows[key], _lists(offsets, values)], [key, "tokens"])
 
     return units.select(key, "words").mapInArrow(run, f"`{key}` {kind}, tokens array<string>")
+
+
+def count_lists(units: DataFrame, key: str, tokens: Broadcast, max_chars: int | None = None) -> DataFrame:
+    """``(key, n)``: how many tokens ``encode_lists`` gives for each row."""
+    kind = units.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = built(tokens, WordPieces).encode
+        for rows, words, sizes in _runs(batches, "words"):
+            codes, pieces = _encoded(words, encode, max_chars)
+            ends = np.concatenate([[0], np.cumsum(np.array([len(p) for p in pieces], np.int64)[codes])])
+            counts = np.diff(ends[np.concatenate([[0], np.cumsum(sizes)])])
+            yield pa.RecordBatch.from_arrays([rows[key], pa.array(counts, pa.int64())], [key, "n"])
+
+    return units.select(key, "words").mapInArrow(run, f"`{key}` {kind}, n bigint")
+
+
+def cut_lists(units: DataFrame, key: str, tokens: Broadcast, glued: bool) -> DataFrame:
+    """``(key, pieces)`` of ``(key, chunks)``: what ``cut`` gives for the chunks of each row, one after another."""
+    kind = units.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = built(tokens, Lexicon)
+        for rows, chunks, sizes in _runs(batches, "chunks"):
+            coded = chunks.dictionary_encode()
+            cuts = [lexicon.cut(chunk, glued) for chunk in coded.dictionary.to_pylist()]
+            places, offsets = _placed(coded.indices.to_numpy(), cuts, sizes)
+            flat = [x for c in cuts for x in c]
+            fields = [pa.array([p for p, _ in flat], pa.string()), pa.array([h for _, h in flat], pa.bool_())]
+            values = pa.StructArray.from_arrays([f.take(pa.array(places)) for f in fields], ["piece", "hit"])
+            yield pa.RecordBatch.from_arrays([rows[key], _lists(offsets, values)], [key, "pieces"])
+
+    return units.select(key, "chunks").mapInArrow(run, f"`{key}` {kind}, pieces array<struct<piece:string,hit:boolean>>")
+
+
+def sent_ids(vocab: DataFrame) -> Broadcast | None:
+    """``(token, token_id)`` as pairs for all tasks if measured to be few, as ``sent``, and the ids are whole numbers."""
+    if vocab.schema["token_id"].dataType.simpleString() != "bigint":
+        return None
+    rows = vocab.where("token is not null and token_id is not null").select("token", "token_id").limit(LEXICON_ROWS + 1).toArrow()
+    if rows.num_rows > LEXICON_ROWS or rows.nbytes > LEXICON_BYTES:
+        return None
+    return vocab.sparkSession.sparkContext.broadcast(sorted(zip(rows["token"].to_pylist(), rows["token_id"].to_pylist())))
+
+
+def id_lists(units: DataFrame, key: str, ids: Broadcast, cls: str, sep: str) -> DataFrame:
+    """``(key, ids)`` of ``(key, tokens)``: the least id of each token, else that of ``UNK``, between two special ones."""
+    kind = units.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for token, number in ids.value:
+            known.setdefault(token, number)
+        unknown = known.get(UNK)
+        first, last = known.get(cls, unknown), known.get(sep, unknown)
+        for rows, tokens, sizes in _runs(batches, "tokens"):
+            coded = tokens.dictionary_encode()
+            numbers = pa.array([*(known.get(t, unknown) for t in coded.dictionary.to_pylist()), first, last], pa.int64())
+            ends = np.cumsum(sizes)
+            codes = np.insert(coded.indices.to_numpy().astype(np.int64), ends, len(numbers) - 1)
+            codes = np.insert(codes, ends - sizes + np.arange(len(sizes)), len(numbers) - 2)
+            offsets = np.concatenate([[0], np.cumsum(sizes + 2)]).tolist()
+            yield pa.RecordBatch.from_arrays([rows[key], _lists(offsets, numbers.take(pa.array(codes)))], [key, "ids"])
+
+    return units.select(key, "tokens").mapInArrow(run, f"`{key}` {kind}, ids array<bigint>")
+
+
+def text_lists(units: DataFrame, key: str, ids: Broadcast, skip: list[str]) -> DataFrame:
+    """``(key, text)`` of ``(key, ids)``: the tokens but those to skip, joined, continuations attached; rows without any are left out."""
+    kind = units.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, list[str]] = defaultdict(list)
+        for token, number in ids.value:
+            if token not in skip:
+                known[number].append(token)
+        for rows, numbers, sizes in _runs(batches, "ids"):
+            coded = numbers.dictionary_encode(null_encoding="encode")
+            pieces = [known.get(n, []) for n in coded.dictionary.to_pylist()]
+            places, offsets = _placed(coded.indices.to_numpy(), pieces, sizes)
+            tokens = pa.array([t for p in pieces for t in p], pa.string()).take(pa.array(places))
+            joined = pc.replace_substring(pc.binary_join(_lists(offsets, tokens), " "), " ##", "")
+            filled = pa.array(np.diff(offsets) > 0)
+            yield pa.RecordBatch.from_arrays([rows[key].filter(filled), joined.filter(filled)], [key, "text"])
+
+    return units.select(key, F.col("ids").cast("array<bigint>").alias("ids")).mapInArrow(run, f"`{key}` {kind}, text string")

@@ -84,8 +84,7 @@ def _uses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _encoded_docs(spark: SparkSession, sf: str) -> DataFrame:
-    uses = _uses(spark, sf)
-    return encoding.encode_docs(uses, encoding.encode_chunks(uses, I.base_vocab(spark, sf)))
+    return encoding.encode_texts(I.documents(spark, sf), F.col("text"), I.base_vocab(spark, sf))
 
 
 _ENCODED = f"""{_PASSAGE_WORDS}, {S.walk('ask', 'base')},
@@ -206,22 +205,23 @@ def _sizes(encoded: DataFrame, name: str) -> DataFrame:
     return encoded.select("chunk", F.size("tokens").cast("long").alias(name))
 
 
-def _both_sizes(spark: SparkSession, sf: str, counts: DataFrame) -> DataFrame:
+def _both_sizes(spark: SparkSession, sf: str) -> DataFrame:
     """``(chunk, base_tokens, extended_tokens)`` of every distinct chunk."""
-    chunks = counts.select("chunk").distinct().persist()
+    chunks = _uses(spark, sf).select("chunk").distinct().persist()
     base, added = I.base_vocab(spark, sf), I.extended_vocab(spark, sf).where("added")
     before = _sizes(encoding.encode_chunks(chunks, base), "base_tokens")
     return before.join(_sizes(encoding.encode_chunks(chunks, base, added), "extended_tokens"), "chunk")
 
 
-def _counts(spark: SparkSession, sf: str) -> DataFrame:
-    return encoding.chunk_counts(I.documents(spark, sf), F.col("text"))
-
-
 def compared(spark: SparkSession, sf: str) -> DataFrame:
     """Every document under the base and the extended vocabulary."""
-    counts = _counts(spark, sf)
-    return encoding.compare_lengths(encoding.token_lengths(counts, _both_sizes(spark, sf, counts), "base_tokens", "extended_tokens"))
+    docs, text, base = I.documents(spark, sf), F.col("text"), I.base_vocab(spark, sf)
+    none = F.lit(0).cast("long")
+    before = encoding.text_lengths(docs, text, base).select("doc_id", F.col("n_tokens").alias("base_tokens"), none.alias("extended_tokens"))
+    added = I.extended_vocab(spark, sf).where("added")
+    after = encoding.text_lengths(docs, text, base, added).select("doc_id", none.alias("base_tokens"), F.col("n_tokens").alias("extended_tokens"))
+    sums = [F.sum(name).alias(name) for name in ("base_tokens", "extended_tokens")]
+    return encoding.compare_lengths(before.unionByName(after).groupBy("doc_id").agg(*sums))
 
 
 _COMPARED = f"""{_CHUNK_TOKENS},
@@ -272,7 +272,7 @@ def token_length_stats(spark: SparkSession, sf: str) -> DataFrame:
 )
 def term_gains(spark: SparkSession, sf: str) -> DataFrame:
     """Every distinct chunk of the documents as a term."""
-    both = encoding.compare_lengths(_both_sizes(spark, sf, _counts(spark, sf)).withColumnRenamed("chunk", "term"))
+    both = encoding.compare_lengths(_both_sizes(spark, sf).withColumnRenamed("chunk", "term"))
     return encoding.term_gains(both).withColumn("saved_percent", F.round("saved_percent", 6))
 
 
@@ -282,9 +282,7 @@ def term_gains(spark: SparkSession, sf: str) -> DataFrame:
       round(len(ids) / len({S.split_any('text')}), 6) AS tokens_per_word FROM ided JOIN documents USING (doc_id)""",
 )
 def fertility(spark: SparkSession, sf: str) -> DataFrame:
-    counts = _counts(spark, sf)
-    sizes = _sizes(encoding.encode_chunks(counts, I.base_vocab(spark, sf)), "n_tokens")
-    lengths = encoding.token_lengths(counts, sizes, "n_tokens")
+    lengths = encoding.text_lengths(I.documents(spark, sf), F.col("text"), I.base_vocab(spark, sf))
     report = encoding.fertility(I.documents(spark, sf), lengths, F.col("text"))
     return report.withColumn("tokens_per_word", F.round("tokens_per_word", 6))
 
