@@ -80,3 +80,38 @@ def test_block_merges_runs_from_the_left():
     assert block.words_with(np.array([1 << 32])) == [{"rank": 12, "freq": 5, "units": [1, 0]}]
     block.update(np.array([9, 10, 11]), [[7], [2, 2, 2, 1], [7]])
     assert block.units.tolist() == [2, 2, 2, 1, 1, 0] and block.ends.tolist() == [4, 6]
+
+
+def long_chains():
+    """Words in which the best pairs share units, so that no two of the first merges can be made at once alone."""
+    return drawn(11, "abcde", 150, 14, 900) + [("a" * 30, 7), ("ab" * 20, 5), ("#a##b", 900)]
+
+
+@pytest.mark.parametrize(("chains", "pairs", "most"), [(10_000, 8_192, 20), (40, 8_192, None), (10_000, 2, None)])
+def test_passes_by_frequency_are_few_and_whole(spark, monkeypatch, chains, pairs, most):
+    monkeypatch.setattr(training, "CHAINS", chains, raising=False)
+    monkeypatch.setattr(training, "PAIRS", pairs)
+    monkeypatch.setattr(training, "RARE", 0)
+    words = long_chains()
+    passes = []
+    run = type(table(spark, words)).mapInArrow
+    monkeypatch.setattr(type(table(spark, words)), "mapInArrow", lambda df, *args, **more: passes.append(1) or run(df, *args, **more))
+    got = vocabulary.train_merges(table(spark, words), 105, "frequency", min_frequency=2, batch=50)
+    want = C.SPECIALS_LIKELIHOOD + one_by_one(words, 100, False, 2)
+    assert [r.token for r in got.orderBy("token_id").collect()] == want
+    assert most is None or len(passes) <= most
+
+
+def test_block_chains_and_their_merges():
+    block = training.Block(np.array([0, 1, 2, 0, 1, 1, 0, 1, 2], np.int32), np.array([3, 4, 9]), np.array([2, 1, 5]), np.array([10, 11, 12]))
+    some = np.array([0 << 32 | 1, 1 << 32 | 2])
+    rows = block.chains(np.ones(3, np.int64), some).to_pylist()
+    assert sorted((np.frombuffer(r["chain"], "<i4").tolist(), r["n"], r["rank"], r["pos"]) for r in rows) == [([0, 1, 2], 7, 10, 0)]
+    block.merge_chains(some, [[(0, 1, 3)], [(3, 2, 4)]], 5)
+    assert block.units.tolist() == [4, 0, 1, 1, 4] and block.ends.tolist() == [1, 2, 5]
+
+
+def test_statistics_are_columns():
+    block = training.Block(np.arange(1000, dtype=np.int32), np.array([1000]), np.array([1]), np.array([0]))
+    stats = block.stats(np.ones(1000, np.int64), None, np.empty(0, np.int64))
+    assert stats.nbytes <= 28 * len(stats) and block.row(stats, [])["stats"][0].as_py()[7] == {"lhs": 7, "rhs": 8, "n": 1, "rank": 0, "pos": 7}

@@ -7,6 +7,10 @@ number of rows bounded by ``TRACKED``, and takes from them the longest run whose
 Where the best pairs are rare, a pass instead looks up the words that hold them, a bounded number, and the driver
 merges in those by itself: such a merge changes only words, counts and places that it has. The changed words go back
 to their blocks with the next pass.
+
+By frequency a merge never makes a pair that is more frequent than the pair it came from. So the driver takes the most
+frequent pairs, the candidates, and the distinct chains of units that they link in the words, with their uses: down to
+the frequency of the first pair outside, all that merges change lies in the chains (``_Chained``).
 """
 
 from __future__ import annotations
@@ -33,11 +37,15 @@ PAIRS = 8_192
 LOOKED_UP = 100_000
 """Pairs, and uses of them all, that a pass looks up; the driver holds a few times as many words at most."""
 
+CHAINS = 50_000
+"""Distinct chains that the driver merges in; with more, fewer candidates are taken."""
+
 BLOCK_UNITS = 1 << 18
 """Units after which a block is closed; a word is never cut."""
 
 Pair = tuple[int, int]
 
+_STAT = np.dtype([("lhs", "<i4"), ("rhs", "<i4"), ("n", "<i8"), ("rank", "<i8"), ("pos", "<i4")])
 _STATS = pa.list_(pa.struct([("lhs", pa.int32()), ("rhs", pa.int32()), ("n", pa.int64()), ("rank", pa.int64()), ("pos", pa.int32())]))
 _FOUND = pa.list_(pa.struct([("rank", pa.int64()), ("freq", pa.int64()), ("units", pa.list_(pa.int32()))]))
 _ARROW = pa.schema([("units", pa.binary()), ("ends", pa.binary()), ("freqs", pa.binary()), ("ranks", pa.binary()), ("stats", _STATS), ("found", _FOUND)])
@@ -45,6 +53,11 @@ _BLOCK = ["units", "ends", "freqs", "ranks"]
 _SCHEMA = """units binary, ends binary, freqs binary, ranks binary, stats array<struct<lhs:int,rhs:int,n:bigint,rank:bigint,pos:int>>,
     found array<struct<rank:bigint,freq:bigint,units:array<int>>>"""
 
+_COUNTED = pa.schema([(name, pa.binary()) for name in _BLOCK] + [("counts", pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())])))])
+_COUNTED_SCHEMA = "units binary, ends binary, freqs binary, ranks binary, counts array<struct<pair:bigint,n:bigint>>"
+_CHAIN = pa.schema([("chain", pa.binary()), ("n", pa.int64()), ("rank", pa.int64()), ("pos", pa.int64())])
+_CHAIN_SCHEMA = "chain binary, n bigint, rank bigint, pos bigint"
+
 _USES = -1
 """In place of a second unit: the row counts the uses, or the replaced uses, of the first."""
 
@@ -64,7 +77,7 @@ class Block:
         inside[self.ends[:-1] - 1] = False
         return inside
 
-    def uses(self) -> list[dict]:
+    def uses(self) -> np.ndarray:
         """Weighted uses of every unit."""
         return _summed(self.units, self.weights())
 
@@ -88,14 +101,14 @@ class Block:
         self.units[new] = [u for x in fresh for u in x]
         self.ends = np.cumsum(sizes)
 
-    def merge(self, merges: list[tuple[int, int, int]], known: int) -> list[dict]:
+    def merge(self, merges: list[tuple[int, int, int]], known: int) -> np.ndarray:
         """Replaces pairs of disjoint units from left to right; returns the weighted number of replacements by left unit."""
         partner, made = np.full(known, -1, np.int32), np.zeros(known, np.int32)
         for a, b, new in merges:
             partner[a], made[a] = b, new
         at = np.flatnonzero((partner[self.units[:-1]] == self.units[1:]) & self.inner())
         if not len(at):
-            return []
+            return np.empty(0, _STAT)
         # A unit paired with itself: every other hit of a run, from the left.
         begins = np.diff(at, prepend=-2) != 1
         since = np.arange(len(at)) - np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
@@ -117,7 +130,7 @@ class Block:
             self.units = self.units[np.repeat(kept, sizes)]
             self.ends, self.freqs, self.ranks = np.cumsum(sizes[kept]), self.freqs[kept], self.ranks[kept]
 
-    def stats(self, sizes: np.ndarray, touched: np.ndarray | None, also: np.ndarray) -> list[dict]:
+    def stats(self, sizes: np.ndarray, touched: np.ndarray | None, also: np.ndarray) -> np.ndarray:
         """Count and first place of the pairs with a touched unit and of the pairs ``also`` (ascending keys); None: of all.
 
         Places are counted in characters, which merges do not change.
@@ -130,7 +143,7 @@ class Block:
             use &= either
         at = np.flatnonzero(use)
         if not len(at):
-            return []
+            return np.empty(0, _STAT)
         found, first, place = np.unique(self.keys(at), return_index=True, return_inverse=True)
         totals = np.zeros(len(found), np.int64)
         np.add.at(totals, place, self.weights()[at])
@@ -138,8 +151,56 @@ class Block:
         word = np.searchsorted(self.ends, first, "right")
         before = np.cumsum(sizes[self.units]) - sizes[self.units]
         begin = np.where(word > 0, self.ends[word - 1], 0)
-        columns = (found >> 32, found & 0xFFFFFFFF, totals, self.ranks[word], before[first] - before[begin])
-        return [dict(zip(("lhs", "rhs", "n", "rank", "pos"), row)) for row in zip(*(c.tolist() for c in columns))]
+        return _stats(found >> 32, found & 0xFFFFFFFF, totals, self.ranks[word], before[first] - before[begin])
+
+    def linked(self, pairs: np.ndarray) -> np.ndarray:
+        """``(begins, ends)`` of the longest chains in which each two neighbours are one of ``pairs`` (ascending keys)."""
+        links = np.zeros(len(self.units) + 1, np.int8)
+        at = np.flatnonzero(self.inner())
+        links[at[_among(self.keys(at), pairs)] + 1] = 1
+        steps = np.diff(links, append=0)
+        return np.stack([np.flatnonzero(steps == 1), np.flatnonzero(steps == -1) + 1])
+
+    def chains(self, sizes: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
+        """The distinct chains with their uses and first places; words, and so places, ascend in a block."""
+        begins, ends = self.linked(pairs)
+        word = np.searchsorted(self.ends, begins, "right")
+        before = np.cumsum(sizes[self.units]) - sizes[self.units]
+        pos = before[begins] - before[np.where(word > 0, self.ends[word - 1], 0)]
+        names, rows = [], []
+        lengths = ends - begins
+        for length in np.unique(lengths).tolist():
+            some = np.flatnonzero(lengths == length)
+            rows_of = np.ascontiguousarray(self.units[begins[some][:, None] + np.arange(length)].astype("<i4"))
+            found, first, place = np.unique(rows_of.view(np.dtype((np.void, 4 * length))).ravel(), return_index=True, return_inverse=True)
+            totals = np.zeros(len(found), np.int64)
+            np.add.at(totals, place, self.freqs[word[some]])
+            names += [x.tobytes() for x in found]
+            rows.append(np.stack([totals, self.ranks[word[some[first]]], pos[some[first]]]))
+        columns = np.concatenate(rows, axis=1) if rows else np.empty((3, 0), np.int64)
+        return pa.record_batch([pa.array(names, pa.binary()), *map(pa.array, columns)], schema=_CHAIN)
+
+    def merge_chains(self, pairs: np.ndarray, groups: list[list[tuple[int, int, int]]], known: int) -> None:
+        """Groups of merges one after another, all of them within the chains of ``pairs``."""
+        begins, ends = self.linked(pairs)
+        if not len(begins):
+            return
+        lengths = ends - begins
+        inside = np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        part = Block(self.units[inside], np.cumsum(lengths), np.ones(len(begins), np.int64), np.arange(len(begins)))
+        for group in groups:
+            part.merge(group, known)
+        counts = np.ones(len(self.units), np.int64)
+        counts[inside] = 0
+        counts[begins] = np.diff(part.ends, prepend=0)
+        changed = np.zeros(len(self.units), bool)
+        changed[begins] = True
+        place = np.repeat(changed, counts)
+        units = np.empty(len(place), self.units.dtype)
+        units[place] = part.units
+        changed[inside] = True
+        units[~place] = self.units[~changed]
+        self.units, self.ends = units, np.cumsum(counts)[self.ends - 1]
 
     def words_with(self, pairs: np.ndarray) -> list[dict]:
         """The words that hold one of the pairs (ascending keys)."""
@@ -152,19 +213,41 @@ class Block:
             for w in hits.tolist()
         ]
 
-    def row(self, stats: list[dict], found: list[dict]) -> pa.RecordBatch:
-        blobs = [self.units.astype("<i4"), self.ends.astype("<i8"), self.freqs.astype("<i8"), self.ranks.astype("<i8")]
-        return pa.record_batch([pa.array([x], f.type) for x, f in zip([*(b.tobytes() for b in blobs), stats, found], _ARROW)], schema=_ARROW)
+    def blobs(self) -> list[bytes]:
+        return [b.tobytes() for b in (self.units.astype("<i4"), self.ends.astype("<i8"), self.freqs.astype("<i8"), self.ranks.astype("<i8"))]
 
+    def row(self, stats: np.ndarray, found: list[dict]) -> pa.RecordBatch:
+        fields = [pa.array(np.ascontiguousarray(stats[name])) for name in _STAT.names]
+        listed = pa.ListArray.from_arrays(pa.array([0, len(stats)], pa.int32()), pa.StructArray.from_arrays(fields, fields=list(_STATS.value_type)))
+        columns = [pa.array([x], f.type) for x, f in zip(self.blobs(), _ARROW)]
+        return pa.record_batch([*columns, listed, pa.array([found], _FOUND)], schema=_ARROW)
 
-def _summed(units: np.ndarray, weights: np.ndarray) -> list[dict]:
+
+def _stats(*columns: np.ndarray | int) -> np.ndarray:
+    out = np.empty(len(columns[0]), _STAT)
+    for name, column in zip(_STAT.names, columns):
+        out[name] = column
+    return out
+
+
+def _summed(units: np.ndarray, weights: np.ndarray) -> np.ndarray:
     found, place = np.unique(units, return_inverse=True)
     totals = np.zeros(len(found), np.int64)
     np.add.at(totals, place, weights)
-    return [{"lhs": u, "rhs": _USES, "n": n, "rank": 0, "pos": 0} for u, n in zip(found.tolist(), totals.tolist())]
+    return _stats(found, _USES, totals, 0, 0)
+
+
+def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """One block at a time, in the memory of its batch."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            blobs = [batch.column(c)[i].as_buffer() for c in range(len(_BLOCK))]
+            yield Block(*(np.frombuffer(x, kind) for x, kind in zip(blobs, ("<i4", "<i8", "<i8", "<i8"))))
 
 
 def _among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+    if not len(some):
+        return np.zeros(len(keys), bool)
     place = np.minimum(np.searchsorted(some, keys), len(some) - 1)
     return some[place] == keys
 
@@ -177,7 +260,7 @@ def _blocks(numbers: dict[str, int], batches: Iterator[pa.RecordBatch]) -> Itera
         block = Block(np.array(units, np.int32), np.array(ends, np.int64), np.array(freqs, np.int64), np.array(ranks, np.int64))
         uses = block.uses()
         block.drop_whole_words()
-        return block.row(uses + block.stats(letters, None, np.empty(0, np.int64)), [])
+        return block.row(np.concatenate([uses, block.stats(letters, None, np.empty(0, np.int64))]), [])
 
     held: tuple[list, list, list, list] = ([], [], [], [])
     for batch in batches:
@@ -209,13 +292,11 @@ class Step:
         if not self.whole:
             touched = np.zeros(len(self.sizes), bool)
             touched[[u for row in self.merges for u in row]] = True
-        for batch in batches:
-            for units, ends, freqs, ranks in zip(*(c.to_pylist() for c in batch.columns)):
-                block = Block(np.frombuffer(units, "<i4"), *(np.frombuffer(x, "<i8") for x in (ends, freqs, ranks)))
-                block.update(self.ranks, self.units)
-                replaced = block.merge(self.merges, len(self.sizes)) if self.merges and len(block.units) else []
-                block.drop_whole_words()
-                yield block.row(replaced + block.stats(self.sizes, touched, self.also), block.words_with(self.wanted))
+        for block in _read_blocks(batches):
+            block.update(self.ranks, self.units)
+            replaced = block.merge(self.merges, len(self.sizes)) if self.merges and len(block.units) else np.empty(0, _STAT)
+            block.drop_whole_words()
+            yield block.row(np.concatenate([replaced, block.stats(self.sizes, touched, self.also)]), block.words_with(self.wanted))
 
 
 class Words:
@@ -458,6 +539,8 @@ def merges(
     Ranks are by score, then by first place (word rank, position). ``token_of(lhs, rhs)`` names the token of a pair.
     The blocks are kept in the shared folder after every ``checkpoint_every`` rounds of at most ``batch`` merges.
     """
+    if not likelihood:
+        return _Chained(ordered, letters, token_of, least, batch, checkpoint_every).tokens(size)
     return _Training(ordered, letters, token_of, Frontier(likelihood, least, {}), batch, checkpoint_every).tokens(size)
 
 
@@ -587,3 +670,208 @@ class _Training:
         for kept in (self.older, self.state):
             if kept is not None:
                 kept.unpersist()
+
+
+class _MergeChains:
+    """A pass by frequency: merges in the chains of ``pairs``, then the counts of all pairs."""
+
+    def __init__(self, known: int, pairs: np.ndarray, groups: list[list[tuple[int, int, int]]]) -> None:
+        self.known, self.pairs, self.groups = known, pairs, groups
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _read_blocks(batches):
+            block.merge_chains(self.pairs, self.groups, self.known)
+            block.drop_whole_words()
+            at = np.flatnonzero(block.inner())
+            found, place = np.unique(block.keys(at), return_inverse=True)
+            totals = np.zeros(len(found), np.int64)
+            np.add.at(totals, place, block.weights()[at])
+            counts = pa.StructArray.from_arrays([pa.array(found), pa.array(totals)], ["pair", "n"])
+            columns = [pa.array([x], pa.binary()) for x in block.blobs()]
+            yield pa.record_batch([*columns, pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), counts)], schema=_COUNTED)
+
+
+class _FindChains:
+    def __init__(self, sizes: list[int], pairs: np.ndarray) -> None:
+        self.sizes, self.pairs = np.array(sizes, np.int64), pairs
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _read_blocks(batches):
+            yield block.chains(self.sizes, self.pairs)
+
+
+class _Chains:
+    """Chains at the driver, in the order of their first places, with the counts of their pairs."""
+
+    def __init__(self, sizes: list[int], rows: list[tuple[bytes, int, int, int]]) -> None:
+        self.sizes = sizes
+        self.places = [(rank, pos) for _, _, rank, pos in rows]
+        self.words = [np.frombuffer(chain, "<i4").tolist() for chain, *_ in rows]
+        self.freqs = [n for _, n, *_ in rows]
+        self.counts: dict[Pair, int] = defaultdict(int)
+        self.holding: dict[Pair, set[int]] = defaultdict(set)
+        for i, (units, n) in enumerate(zip(self.words, self.freqs)):
+            for pair in zip(units, units[1:]):
+                self.counts[pair] += n
+                self.holding[pair].add(i)
+        #: by falling count; a pair that reaches the top gets its place, and one whose count has changed is passed over
+        self.heap: list[tuple] = [(-n, (-1,), pair) for pair, n in self.counts.items()]
+        heapq.heapify(self.heap)
+
+    def first(self, pair: Pair) -> tuple[int, int]:
+        """First place of a pair; chains do not overlap, so it is in the first that holds the pair."""
+        i = min(self.holding[pair])
+        rank, pos = self.places[i]
+        for left in zip(self.words[i], self.words[i][1:]):
+            if left == pair:
+                return rank, pos
+            pos += self.sizes[left[0]]
+        raise KeyError(pair)
+
+    def top(self) -> tuple | None:
+        """Key and pair of the best."""
+        while self.heap:
+            n, place, pair = self.heap[0]
+            if self.counts[pair] != -n or not n:
+                heapq.heappop(self.heap)
+            elif place == (-1,):
+                heapq.heapreplace(self.heap, (n, self.first(pair), pair))
+            else:
+                return (n, *place), pair
+        return None
+
+    def merge(self, a: int, b: int, new: int) -> None:
+        changed: set[Pair] = set()
+        for i in list(self.holding[a, b]):
+            units, n = self.words[i], self.freqs[i]
+            out: list[int] = []
+            for unit in units:
+                # The unit before may itself have been replaced, then it is ``new`` and starts no pair here.
+                if out and unit == b and out[-1] == a:
+                    out[-1] = new
+                else:
+                    out.append(unit)
+            before, after = [*zip(units, units[1:])], [*zip(out, out[1:])]
+            for pair in before:
+                self.counts[pair] -= n
+            for pair in after:
+                self.counts[pair] += n
+            for pair in set(before).difference(after):
+                self.holding[pair].discard(i)
+            for pair in set(after).difference(before):
+                self.holding[pair].add(i)
+            changed.update(before, after)
+            self.words[i] = out
+        for pair in changed:
+            if self.counts[pair]:
+                heapq.heappush(self.heap, (-self.counts[pair], (-1,), pair))
+
+
+class _Chained:
+    """Training by frequency, in passes that each make all merges down to the frequency of the first pair outside."""
+
+    def __init__(self, ordered: DataFrame, letters: list[str], token_of: Callable[[str, str], str], least: int, batch: int, checkpoint_every: int) -> None:
+        self.numbers = {unit: i for i, unit in enumerate(letters)}
+        self.names, self.sizes = list(letters), [1] * len(letters)
+        self.token_of, self.least, self.batch, self.checkpoint_every = token_of, max(least, 1), batch, checkpoint_every
+        self.candidates = 16
+        words = spread(ordered.select("word_rank", "freq", "units"), "word_rank").sortWithinPartitions("word_rank")
+        self.state = cut_lineage(words.mapInArrow(partial(_blocks, self.numbers), _SCHEMA).select(*_BLOCK))
+        self.older: DataFrame | None = None
+        self.passes = 0
+        self._pass(np.empty(0, np.int64), [])
+
+    def _pass(self, pairs: np.ndarray, groups: list[list[tuple[int, int, int]]]) -> None:
+        """One pass over the blocks; the state before it stays until the next, so that a lost part is made again."""
+        following = self.state.select(*_BLOCK).mapInArrow(_MergeChains(len(self.names), pairs, groups), _COUNTED_SCHEMA).persist()
+        self.passes += 1
+        if self.passes % self.checkpoint_every == 0:
+            kept = cut_lineage(following)
+            following.unpersist()
+            following = kept
+        if self.older is not None:
+            self.older.unpersist()
+        self.older, self.state = self.state, following
+
+    def _most_frequent(self) -> list[tuple[int, int]]:
+        """``(pair, n)``, falling, of four times as many pairs as there are candidates, and one more."""
+        rows = self.state.select(F.explode("counts").alias("c")).groupBy("c.pair").agg(F.sum("c.n").alias("n")).where(F.col("n") >= self.least)
+        found = rows.orderBy(F.desc("n")).limit(4 * self.candidates + 1).toArrow()
+        return [*zip(found["pair"].to_pylist(), found["n"].to_pylist())]
+
+    def _by_place(self) -> tuple[np.ndarray, tuple]:
+        """The best pairs by count and first place, with the key of the first outside; for more pairs of one count than a pass takes."""
+        step = Step(self.sizes, [], {}, [], [], True)
+        pairs = _totals(self.state.select(*_BLOCK).mapInArrow(step, _SCHEMA)).where((F.col("n") >= self.least) & (F.col("rhs") != _USES))
+        rows = pairs.orderBy(F.desc("n"), "rank", "pos").limit(self.candidates + 1).collect()
+        # With no pair outside, every pair of the least count may be taken.
+        cut = (-rows[-1].n, rows[-1]["rank"], rows[-1].pos) if len(rows) > self.candidates else (0.5 - self.least,)
+        return np.array(sorted(r.lhs << 32 | r.rhs for r in rows[: self.candidates]), np.int64), cut
+
+    def _chosen(self, ranked: list[tuple[int, int]]) -> tuple[np.ndarray, tuple]:
+        """Candidates, and a key before which all pairs are candidates or made from them."""
+        if len(ranked) <= self.candidates:
+            least = self.least
+        else:
+            least = ranked[self.candidates - 1][1]
+            if len(ranked) > 4 * self.candidates and ranked[-1][1] == least:
+                least += 1
+            if ranked[0][1] < least:
+                return self._by_place()
+        return np.array(sorted(pair for pair, n in ranked if n >= least), np.int64), (0.5 - least,)
+
+    def _round(self, limit: int) -> list[str]:
+        """The tokens of one pass; none if no pair is left."""
+        ranked = self._most_frequent()
+        if not ranked:
+            return []
+        while True:
+            pairs, cut = self._chosen(ranked)
+            found = self.state.select(*_BLOCK).mapInArrow(_FindChains(self.sizes, pairs), _CHAIN_SCHEMA)
+            totals = found.groupBy("chain").agg(F.sum("n").alias("n"), F.min(F.struct("rank", "pos")).alias("first"))
+            rows = totals.select("chain", "n", "first.*").limit(CHAINS + 1).toArrow()
+            if rows.num_rows <= CHAINS or self.candidates == 1:
+                break
+            self.candidates //= 2
+            ranked = ranked[: 4 * self.candidates + 1]
+        chains = _Chains(self.sizes, sorted(zip(*(rows[c].to_pylist() for c in rows.column_names)), key=lambda row: row[2:]))
+        groups: list[list[tuple[int, int, int]]] = []
+        lefts: set[int] = set()
+        rights: set[int] = set()
+        tokens: list[str] = []
+        while len(tokens) < limit and (top := chains.top()) is not None and top[0] < cut:
+            a, b = top[1]
+            token = self.token_of(self.names[a], self.names[b])
+            known = token in self.numbers
+            if not known:
+                self.numbers[token] = len(self.names)
+                self.names.append(token)
+                self.sizes.append(self.sizes[a] + self.sizes[b])
+            new = self.numbers[token]
+            # The merges of a group can be made at once: none overlaps another or needs its unit.
+            if not groups or a == b or a in lefts or a in rights or b in lefts or len(groups[-1]) >= self.batch:
+                groups.append([])
+                lefts, rights = set(), set()
+            groups[-1].append((a, b, new))
+            lefts |= {a, new}
+            rights |= {b, new}
+            tokens.append(token)
+            if a == b:
+                lefts |= {a, b}
+                rights |= {a, b}
+            if known:
+                break  # its pairs outside the chains may now be more frequent
+            chains.merge(a, b, new)
+        if 4 * rows.num_rows < CHAINS and len(ranked) > self.candidates:
+            self.candidates = min(2 * self.candidates, 2 * PAIRS)
+        self._pass(pairs, groups)
+        return tokens
+
+    def tokens(self, size: int) -> Iterator[str]:
+        made = 0
+        while made < size and (done := self._round(size - made)):
+            made += len(done)
+            yield from done
+        for kept in (self.older, self.state):
+            if kept is not None:
+                kept.unpersist()
