@@ -104,6 +104,33 @@ def test_word_pairs_by_the_rarer_word(spark):
     assert sorted((r.src_word.strip().lower(), r.tgt_word, r.pair_id, r.tf) for r in got.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize(("together", "rows_a_batch"), [(20_000, 10_000), (4, 7)])
+def test_word_pairs_move_no_row_for_each_asked_pair_of_a_posting(spark, monkeypatch, together, rows_a_batch):
+    monkeypatch.setattr(lexical, "ROWS_TOGETHER", together, raising=False)
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_a_batch))
+    try:
+        # One source word in all pairs, asked with 40 target words that stand beside it twice each.
+        names = [x + y for x in "tuvwx" for y in "abcdefgh"]
+        texts = [(i, "w " + "x " * (i % 3), f"{names[i % 40]} {names[(i + 7) % 40]}") for i in range(80)] + [(None, "w", "ta"), (500, "w", None)]
+        pairs = spark.createDataFrame(texts, "pair_id long, src string, tgt string")
+        asked = [(x, y) for x in ("w", "W ", "x", "none") for y in [*names, "zz"]] * 2 + [(None, "ta"), ("w", None)]
+        index = lexical.parallel_postings(pairs, "za", "eng")
+        found = lexical.lookup_word_pair(spark.createDataFrame(asked, "src_word string, tgt_word string"), index, "za", "eng")
+        want = [(x, names[t], i, s.split().count(x.strip().lower())) for x in ("w", "W ", "x") for i, s, g in texts[:80] for t in (i % 40, (i + 7) % 40) if x.strip().lower() in s.split()]
+        assert sorted(map(tuple, found.select("src_word", "tgt_word", "pair_id", "tf").collect())) == sorted(want)
+        assert "_salt" not in found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+
+
+def test_word_pairs_of_repeated_pairs(spark):
+    pairs = spark.createDataFrame([(1, "a b", "x"), (1, "a", "x y"), (2, "b", "y"), (3, "c", "x")], "pair_id long, src string, tgt string")
+    asked = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y"), ("c", "y")], "src_word string, tgt_word string")
+    got = lexical.lookup_word_pair(asked, lexical.parallel_postings(pairs, "za", "eng"), "za", "eng")
+    assert sorted(map(tuple, got.collect())) == [("a", "x", 1, 1), ("a", "x", 1, 1), ("b", "x", 1, 1), ("b", "y", 1, 1), ("b", "y", 2, 1)]
+
+
 def edits(a, b):
     above = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

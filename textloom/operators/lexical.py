@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -12,7 +14,7 @@ from textloom.functions import text as T
 from textloom.operators import ranking
 from textloom.operators.encoding import segment
 from textloom.operators.ranking import TIE_DIGITS
-from textloom.session import cut_lineage, fits_broadcast, salted_join, small_side
+from textloom.session import cut_lineage, fits_broadcast, salted_join, small_side, spread
 
 TOKENIZERS: dict[str, Callable[[Column], Column]] = {"za": T.tokenize_ws, "eng": T.tokenize_ws, "kgv": T.tokenize_ws}
 """Tokenizers that are plain column expressions; unspaced text goes through ``encoding.segment``."""
@@ -70,25 +72,83 @@ def lookup_word(words: DataFrame, index: DataFrame, pairs: DataFrame, repeat: bo
     return hits.join(pairs, "pair_id")
 
 
+ROWS_TOGETHER = 20_000
+"""Source postings of one word that may meet at one place; the asked pairs of a more frequent word are repeated."""
+
+
 def lookup_word_pair(word_pairs: DataFrame, index: DataFrame, src_lang: str, tgt_lang: str) -> DataFrame:
     """Pairs whose source holds ``src_word`` and target holds ``tgt_word``; ``tf`` is the source multiplicity.
 
-    The postings of the rarer of the two words are looked up first, and the other word only in the pairs found.
+    Words are numbered. A source posting goes to the asked pairs of its word with the numbers of all words of the
+    target, so that what is moved grows with the asked pairs and the index, not with the asked pairs of each posting.
+    A pair that is in the index more than once comes once for each source, or if the source word is in more pairs than
+    the target word, once for each source and target.
     """
-    asked = word_pairs.select(
-        "src_word",
-        "tgt_word",
-        T.strip(F.lower("src_word")).alias("s"),
-        T.strip(F.lower("tgt_word")).alias("t"),
-    ).distinct()
-    source = index.where(F.col("lang") == src_lang).select("pair_id", F.col("token").alias("s"), "tf")
-    target = index.where(F.col("lang") == tgt_lang).select("pair_id", F.col("token").alias("t"))
-    counted = asked.join(source.groupBy("s").agg(F.count("*").alias("s_df")), "s").join(target.groupBy("t").agg(F.count("*").alias("t_df")), "t")
-    counted = cut_lineage(counted)
+    asked = word_pairs.select("src_word", "tgt_word")
+    source = index.where((F.col("lang") == src_lang) & F.col("pair_id").isNotNull()).select("pair_id", "token", "tf")
+    target = index.where((F.col("lang") == tgt_lang) & F.col("pair_id").isNotNull()).select("pair_id", "token")
+    sides = F.explode(F.array(F.struct(F.lit(True).alias("src"), F.col("src_word").alias("word")), F.struct(F.lit(False).alias("src"), F.col("tgt_word").alias("word"))))
+    words = cut_lineage(asked.select(sides.alias("side")).select("side.*").distinct().withColumn("token", T.strip(F.lower("word"))))
+    src, tgt = (_numbered(words.where(chosen), index.where(F.col("lang") == lang)) for chosen, lang in ((F.col("src"), src_lang), (~F.col("src"), tgt_lang)))
+    src = src.withColumn("places", F.ceil(F.col("df") / ROWS_TOGETHER).cast("int"))
+    # Each a row per asked word of the index; broadcast where measured to fit, and joined by word otherwise.
+    from_src, from_tgt = small_side(src), small_side(tgt)
+    numbers = asked.join(from_src.select(F.col("word").alias("src_word"), F.col("number").alias("s"), "places"), "src_word")
+    numbers = numbers.join(from_tgt.select(F.col("word").alias("tgt_word"), F.col("number").alias("t")), "tgt_word").select("s", "t", "places").distinct()
+    place = F.explode(F.sequence(F.lit(0), F.col("places") - 1))
+    kind, tf = source.schema["pair_id"].dataType.simpleString(), source.schema["tf"].dataType.simpleString()
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("pair_id", kind), ("tf", tf), ("ts", "array<int>"))]
+    wanted = numbers.select("s", place.alias("place"), "t", *nothing)
+    held = target.join(from_tgt.select("token", "number"), "token").groupBy("pair_id").agg(F.sort_array(F.collect_set("number")).alias("ts"))
+    offered = source.join(from_src.select("token", F.col("number").alias("s"), "places"), "token").join(held, "pair_id")
+    offered = offered.select("s", F.pmod(F.xxhash64("pair_id"), "places").cast("int").alias("place"), F.lit(None).cast("int").alias("t"), "pair_id", "tf", "ts")
+    together = spread(wanted.unionByName(offered), "s", "place").sortWithinPartitions("s", "place", F.col("t").asc_nulls_last())
+    found = together.mapInArrow(_both_held, f"s int, t int, pair_id {kind}, tf {tf}")
+    found = found.join(from_src.select(F.col("number").alias("s"), F.col("word").alias("src_word"), F.col("df").alias("s_df")), "s")
+    found = found.join(from_tgt.select(F.col("number").alias("t"), F.col("word").alias("tgt_word"), F.col("df").alias("t_df"), F.col("token").alias("t_token")), "t")
     columns = ["src_word", "tgt_word", "pair_id", "tf"]
-    by_source = salted_join(source, counted.where("s_df <= t_df"), ["s"], "pair_id").join(target, ["pair_id", "t"], "left_semi")
-    by_target = salted_join(target, counted.where("s_df > t_df"), ["t"], "pair_id").join(source, ["pair_id", "s"])
-    return by_source.select(*columns).unionByName(by_target.select(*columns))
+    again = cut_lineage(target.groupBy("pair_id", F.col("token").alias("t_token")).agg(F.count("*").alias("times")).where("times > 1"))
+    if again.isEmpty():
+        return found.select(*columns)
+    times = F.when(F.col("s_df") > F.col("t_df"), F.col("times")).otherwise(1).cast("int")
+    repeated = found.join(small_side(again), ["pair_id", "t_token"], "left").withColumn("times", F.coalesce(times, F.lit(1)))
+    return repeated.select(*columns, F.explode(F.array_repeat(F.lit(1), F.col("times"))).alias("_")).drop("_")
+
+
+def _numbered(words: DataFrame, index: DataFrame) -> DataFrame:
+    """``(word, token, df, number)``: the words whose token is in the index, with whole numbers from 0, few of them left out."""
+    counted = index.groupBy("token").agg(F.count("*").alias("df"))
+    known = cut_lineage(words.select("word", "token").join(counted, "token").withColumn("n", F.monotonically_increasing_id()))
+    tasks = known.agg(F.coalesce(F.max(F.shiftright("n", 33)), F.lit(0))).first()[0] + 1
+    number = F.col("n").bitwiseAND(2**33 - 1) * tasks + F.shiftright("n", 33)
+    return known.select("word", "token", "df", number.cast("int").alias("number"))
+
+
+def _both_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The asked pairs that postings hold, ``(s, t, pair_id, tf)``, from rows sorted by word and place, asked pairs first."""
+    last, carried = None, np.empty(0, np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        s, place = (batch.column(i).to_numpy() for i in (0, 1))
+        group = np.concatenate([[0], np.cumsum((np.diff(s) != 0) | (np.diff(place) != 0))]).astype(np.int64)
+        if (s[0], place[0]) != last:
+            carried = carried[:0]
+        asks = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        asked = np.concatenate([carried, group[asks] << 32 | batch.column(2).drop_null().to_numpy()])
+        rows = np.flatnonzero(~asks)
+        # Asked pairs come by word, place and number, so their keys ascend.
+        for part in np.array_split(rows, max(len(rows) // 4096, 1)) if len(rows) and len(asked) else ():
+            lists = batch.column(5).take(pa.array(part))
+            row = np.repeat(part, lists.value_lengths().to_numpy())
+            t = lists.flatten().to_numpy().astype(np.int64)
+            keys = group[row] << 32 | t
+            hits = np.flatnonzero(asked[np.minimum(np.searchsorted(asked, keys), len(asked) - 1)] == keys)
+            row = pa.array(row[hits])
+            columns = [batch.column(0).take(row), pa.array(t[hits].astype(np.int32)), batch.column(3).take(row), batch.column(4).take(row)]
+            yield pa.record_batch(columns, names=["s", "t", "pair_id", "tf"])
+        last = (s[-1], place[-1])
+        carried = asked[asked >> 32 == group[-1]] & 0xFFFFFFFF
 
 
 def bm25_stats(index: DataFrame, docs: DataFrame, epsilon: float = 0.25) -> DataFrame:
