@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,13 +20,18 @@ def feature_words(text: Column, stop_words: list[str] | None = None) -> Column:
     return F.filter(words, lambda w: ~w.isin(C.STOP_WORDS if stop_words is None else stop_words))
 
 
+def _terms(words: str) -> Column:
+    """A column of words with their neighbouring pairs after them."""
+    pairs = F.zip_with(
+        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words) + 1), lambda a, b: F.concat_ws(" ", a, b)
+    )
+    return F.concat(words, pairs)
+
+
 def term_counts(docs: DataFrame, text: Column, id_col: str = "doc_id", stop_words: list[str] | None = None) -> DataFrame:
     """``(doc_id, term, tf)`` of unigrams and bigrams, counted inside each row."""
     words = docs.select(F.col(id_col).alias("doc_id"), feature_words(text, stop_words).alias("w"))
-    pairs = F.zip_with(
-        F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w") + 1), lambda a, b: F.concat_ws(" ", a, b)
-    )
-    ordered = words.select("doc_id", F.sort_array(F.concat("w", pairs)).alias("ordered"))
+    ordered = words.select("doc_id", F.sort_array(_terms("w")).alias("ordered"))
     runs = ordered.select("doc_id", T.count_runs(F.col("ordered")).alias("runs"))
     rows = runs.select("doc_id", F.inline_outer("runs")).where(F.col("token").isNotNull())
     return rows.withColumnRenamed("token", "term")
@@ -76,6 +83,26 @@ def assemble(weights: DataFrame, term_ids: DataFrame, size: int) -> DataFrame:
     )
 
 
+def tfidf_vectors(docs: DataFrame, vocabulary: list[tuple[str, int]], n_docs: int) -> DataFrame:
+    """``(doc_id, label, features)`` of ``(doc_id, text, label)``: the weights of ``tfidf``, made where the documents lie.
+
+    ``vocabulary`` is ``(term, df)`` in order. A document with a null id has no features.
+    """
+    if not vocabulary:
+        return docs.select("doc_id", "label", _sparse(F.lit(0), F.array().cast("array<struct<i:int,w:double>>")).alias("features"))
+    idf = np.log((n_docs + 1) / (np.array([df for _, df in vocabulary], float) + 1)) + 1
+
+    @F.udf(returnType=VectorUDT(), useArrow=False)
+    def weighted(counts: SparseVector) -> SparseVector:
+        weights = (np.log(counts.values) + 1) * idf[counts.indices]
+        return SparseVector(counts.size, counts.indices, weights / np.sqrt(weights @ weights) if len(weights) else weights)
+
+    words = docs.select("doc_id", "label", F.when(F.col("doc_id").isNotNull(), feature_words(F.col("text"))).alias("w"))
+    terms = words.select("doc_id", "label", F.coalesce(_terms("w"), T.no_tokens()).alias("terms"))
+    counter = CountVectorizerModel.from_vocabulary([term for term, _ in vocabulary], "terms", "counts")
+    return counter.transform(terms).select("doc_id", "label", weighted("counts").alias("features"))
+
+
 def loglinear_fit(train: DataFrame, c: float = 4.0, max_iter: int = 1000, tol: float = 1e-4) -> LogisticRegressionModel:
     """Balanced multinomial logistic regression on ``(features, label)``.
 
@@ -97,20 +124,12 @@ def loglinear_fit(train: DataFrame, c: float = 4.0, max_iter: int = 1000, tol: f
 
 def loglinear(train_docs: DataFrame, test_docs: DataFrame, max_features: int = 50000, c: float = 4.0, max_iter: int = 1000) -> DataFrame:
     """Fit on ``(doc_id, text, label)`` and predict both sets: ``(doc_id, split, label, prediction)``."""
-    counts = term_counts(train_docs, F.col("text")).persist()
-    vocabulary = term_vocabulary(counts, max_features).persist()
-    size = vocabulary.count()
-    # The vocabulary was cut to max_features rows, so one ordered window numbers it.
-    term_ids = vocabulary.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("i"))
-    n_train = F.lit(float(train_docs.count()))
-
-    def features(docs: DataFrame, doc_counts: DataFrame) -> DataFrame:
-        vectors = assemble(tfidf(doc_counts, vocabulary, n_train), term_ids, size)
-        empty = _sparse(F.lit(size), F.array().cast("array<struct<i:int,w:double>>"))
-        return docs.select("doc_id", "label").join(vectors, "doc_id", "left").withColumn("features", F.coalesce("features", empty))
-
-    train = features(train_docs, counts).persist()
+    # At most max_features rows, numbered in the order of the terms.
+    vocabulary = term_vocabulary(term_counts(train_docs, F.col("text")), max_features).select("term", "df").collect()
+    vocabulary = sorted((r.term, r.df) for r in vocabulary)
+    n_train = train_docs.count()
+    train = tfidf_vectors(train_docs, vocabulary, n_train).persist()
     model = loglinear_fit(train, c, max_iter)
-    test = features(test_docs, term_counts(test_docs, F.col("text")))
+    test = tfidf_vectors(test_docs, vocabulary, n_train)
     sets = train.select(F.lit("train").alias("split"), "*").unionByName(test.select(F.lit("test").alias("split"), "*"))
     return model.transform(sets).select("doc_id", "split", "label", F.col("prediction").cast("int").alias("prediction"))
