@@ -9,19 +9,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import scratch_path
+from textloom.session import written
 
 SPACES = b" \t\n\x0b\x0c\r"
 """The characters of ``[\\x20\\x09-\\x0D]``."""
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, and not lost with an executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def keyed_texts(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` of any table that has them; further columns are left out."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.lexical import TIE_DIGITS, top_k
 from textloom.operators.tiles import grid, tiles
-from textloom.session import fits_broadcast, salted_join
+from textloom.session import fits_broadcast, salted_join, written
 
 FULL_SCORE = 100.0
 EDITS = (2,)
@@ -263,13 +263,13 @@ def dict_fuzzy_topk(words: DataFrame, pool: DataFrame, k: int) -> DataFrame:
     rest = words.select("word").where(F.col("word") != "").distinct().withColumn("worst", F.lit(None).cast("double"))
     parts = []
     for edits in EDITS:
-        near = top_k(_near(rest.select("word"), pool, edits), k, "word", order).select(*columns).persist()
+        near = written(top_k(_near(rest.select("word"), pool, edits), k, "word", order).select(*columns), "near")
         found = near.groupBy("word").agg(F.count("*").alias("n"), F.min(F.round("score", TIE_DIGITS)).alias("kth"))
         found = rest.select("word").join(found.where(F.col("n") >= k), "word", "left").withColumnRenamed("kth", "worst")
         bound = 100 * F.length("word") / (F.length("word") + edits + 1)
         # Entries of at most ``edits`` characters have no segments, and are near words of up to twice that.
         finished = (F.length("word") > 2 * edits) & (F.col("worst") > bound + 1e-6)
-        split = found.select("word", "worst", F.coalesce(finished, F.lit(False)).alias("finished"))
+        split = written(found.select("word", "worst", F.coalesce(finished, F.lit(False)).alias("finished")), "asked")
         parts.append(near.join(split.where("finished"), "word", "left_semi"))
         rest = split.where("not finished").select("word", "worst")
     parts.append(top_k(_scan(rest, pool, k), k, "word", order).select(*columns))
@@ -282,16 +282,17 @@ def dict_lookup(
     """``(word, n, stage, match, score, meanings)``.
 
     The exact entry if there is one; else the first ``per_word`` of prefix, suffix and fuzzy matches. The fuzzy stage
-    only sees words that the cheaper stages left short.
+    only sees words that the cheaper stages left short. What a stage finds is written, as later stages read it up to
+    five times each, and their plans would hold its plan as often.
     """
     keyed = dictionary.select(F.col("word").alias("match"), F.slice("meanings", 1, max_meanings).alias("meanings"))
-    asked = words.select("word").distinct()
+    asked = written(words.select("word").distinct(), "words")
     exact = asked.join(dictionary.select("word"), "word", "left_semi")
-    missing = asked.join(dictionary.select("word"), "word", "left_anti").persist()
+    missing = written(asked.join(dictionary.select("word"), "word", "left_anti"), "missing")
     pool = choices(dictionary, min_chars)
-    near = affix_entries(missing, pool).persist()
-    prefix = dict_prefix(missing, near).persist()
-    suffix = dict_suffix(missing, near, prefix).persist()
+    near = written(affix_entries(missing, pool), "affixes")
+    prefix = written(dict_prefix(missing, near), "prefix")
+    suffix = written(dict_suffix(missing, near, prefix), "suffix")
     listed = prefix.withColumn("n", F.lit(1)).unionByName(suffix.withColumn("n", F.lit(2)))
     full = listed.groupBy("word").agg(F.count("*").alias("hits")).where(F.col("hits") >= per_word)
     fuzzy = dict_fuzzy_topk(missing.join(full, "word", "left_anti"), pool, per_word)

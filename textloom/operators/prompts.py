@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textloom.functions import constants as C
 from textloom.functions import text as T
 from textloom.operators.vector import cosine_topk
+from textloom.session import written
 
 
 def merge_vocab(items: DataFrame, rules: DataFrame | None, chosen: DataFrame | None) -> DataFrame:
@@ -126,16 +127,18 @@ def build_prompt_dict(
 ) -> DataFrame:
     """``(query_id, prompt)``: ranked examples (best last) with word lines, the sentence with its own, then rules.
 
-    ``lookup`` maps ``(word)`` to dictionary matches and runs once over the distinct words of all sentences.
+    ``lookup`` maps ``(word)`` to dictionary matches and runs once over the distinct words of all sentences. The ranked
+    pairs and the explained sentences, a few rows a query, are written, so that no plan holds theirs more than once.
     """
-    used = pairs.join(ranked.select("pair_id").distinct(), "pair_id", "left_semi")
+    used = written(pairs.join(ranked.select("pair_id").distinct(), "pair_id", "left_semi").select("pair_id", "src", "tgt"), "pairs")
     sentences = queries.select(F.concat(F.lit("q"), "query_id").alias("key"), F.col("text").alias("sentence")).unionByName(
         used.select(F.concat(F.lit("p"), "pair_id").alias("key"), F.col("src").alias("sentence"))
     )
     words = sentence_words(sentences, "key", tokens(F.col("sentence"))).select("word").distinct()
     explained = explain_words(sentences, "key", tokens(F.col("sentence")), word_lines(lookup(words)))
     asked = sentences.join(explained, "key").select("key", F.concat(F.lit(C.DICT_PROMPT_ASK), "sentence", F.lit("\n"), "words").alias("ask"))
-    shots = ranked.join(pairs.select("pair_id", "tgt"), "pair_id").withColumn("key", F.concat(F.lit("p"), "pair_id"))
+    asked = written(asked, "asked")
+    shots = ranked.join(used.select("pair_id", "tgt"), "pair_id").withColumn("key", F.concat(F.lit("p"), "pair_id"))
     shot = F.concat("ask", F.lit(C.DICT_PROMPT_ANSWER + " "), "tgt", F.lit("\n\n"))
     example_text = _joined(shots.join(asked, "key"), -F.col("rank"), shot, "shots")
     rule_text = _joined(rules, F.col("rank"), F.concat("rule_text", F.lit("\n")), "rules")

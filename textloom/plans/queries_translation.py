@@ -12,6 +12,7 @@ from textloom.plans import inputs as I
 from textloom.plans import queries_retrieval as R
 from textloom.plans import sql as S
 from textloom.plans.registry import query
+from textloom.session import written
 
 # The chosen rule of an item is the best hybrid one.
 _CHOSEN = f"{S.HYBRID}, {S.best_rules('0.5', 5)}, chosen AS (SELECT query_id, rule_id FROM best WHERE rank = 1)"
@@ -138,11 +139,12 @@ def build_prompt_dict(spark: SparkSession, sf: str) -> DataFrame:
     """Three ranked turn pairs per passage, dictionary lines for every sentence, nearest rules."""
     queries, pairs = I.passages(spark, sf), I.parallel_pairs(spark, sf)
     docs = pairs.select("pair_id", "src")
-    ranked = lexical.bm25_topk(queries, docs, T.tokenize_ws(F.col("text")), T.tokenize_ws(F.col("src")), k=3).persist()
-    dictionary = I.dictionary(spark, sf).persist()
+    best = lexical.bm25_topk(queries, docs, T.tokenize_ws(F.col("text")), T.tokenize_ws(F.col("src")), k=3)
+    ranked = written(best.select("query_id", "pair_id", "rank"), "ranked")
+    dictionary = written(I.dictionary(spark, sf), "dictionary")
     rules = prompts.semantic_rules(R.item_vectors(spark, sf, queries), I.rules(spark, sf), R.rule_vectors(spark, sf))
     return prompts.build_prompt_dict(
-        queries, pairs, ranked.select("query_id", "pair_id", "rank"), lambda words: lookup.dict_lookup(words, dictionary, min_chars=3), rules
+        queries, pairs, ranked, lambda words: lookup.dict_lookup(words, dictionary, min_chars=3), rules
     )
 
 

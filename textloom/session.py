@@ -42,6 +42,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and not lost with an executor.
+
+    A plan that reads it holds a scan, where a plan that reads a persisted table holds all that made it, once a use.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-distribute a compact table ahead of work that is heavy per row.
 
