@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as T
 from textloom.operators import lexical, lookup, ranking
 from textloom.operators.index import StoredIndex
+from textloom.plans import catalog
 from textloom.session import scratch_path
 
 def tokens():
@@ -124,6 +125,27 @@ def test_word_pairs_move_no_row_for_each_asked_pair_of_a_posting(spark, monkeypa
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
 
 
+@pytest.mark.parametrize("bits", [20, 2])
+def test_asked_pairs_of_a_word_are_handed_over_in_lists(spark, monkeypatch, bits):
+    monkeypatch.setattr(lexical, "LIST_BITS", bits, raising=False)
+    counts, real = [], lexical.spread
+    monkeypatch.setattr(lexical, "spread", lambda df, *keys: counts.append(df.count()) or real(df, *keys))
+    names = [x + y for x in "tuvwx" for y in "abcdefgh"]
+    texts = [(i, "w x", names[i % 40]) for i in range(50)]
+    pairs = spark.createDataFrame(texts, "pair_id long, src string, tgt string")
+    asked = spark.createDataFrame([(x, y) for x in "wx" for y in names], "src_word string, tgt_word string")
+    got = lexical.lookup_word_pair(asked, lexical.parallel_postings(pairs, "za", "eng"), "za", "eng")
+    assert sorted(map(tuple, got.collect())) == sorted((x, t, i, 1) for i, _, t in texts for x in "wx")
+    # 100 source postings, and 80 asked pairs in a list or some lists a word.
+    assert 102 <= counts[0] <= (102 if bits == 20 else 160)
+
+
+def test_texts_of_the_asked_pairs_are_cut_once_a_pass(spark, sf, monkeypatch):
+    monkeypatch.setattr(lexical, "lookup_word_pair", lambda word_pairs, *rest: word_pairs)
+    plan = catalog.QUERIES["lookup_word_pair"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_remove") == 1
+
+
 def test_word_pairs_of_repeated_pairs(spark):
     pairs = spark.createDataFrame([(1, "a b", "x"), (1, "a", "x y"), (2, "b", "y"), (3, "c", "x")], "pair_id long, src string, tgt string")
     asked = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y"), ("c", "y")], "src_word string, tgt_word string")

@@ -75,12 +75,17 @@ def lookup_word(words: DataFrame, index: DataFrame, pairs: DataFrame, repeat: bo
 ROWS_TOGETHER = 20_000
 """Source postings of one word that may meet at one place; the asked pairs of a more frequent word are repeated."""
 
+LIST_BITS = 20
+"""Asked target words of a source word are listed together by number, at most ``2**LIST_BITS`` of them in a row."""
+
 
 def lookup_word_pair(word_pairs: DataFrame, index: DataFrame, src_lang: str, tgt_lang: str) -> DataFrame:
     """Pairs whose source holds ``src_word`` and target holds ``tgt_word``; ``tf`` is the source multiplicity.
 
     Words are numbered. A source posting goes to the asked pairs of its word with the numbers of all words of the
     target, so that what is moved grows with the asked pairs and the index, not with the asked pairs of each posting.
+    The asked pairs of a source word come as a list of target numbers, since a row for each of them, handed to Python,
+    costs more than all postings.
     A pair that is in the index more than once comes once for each source, or if the source word is in more pairs than
     the target word, once for each source and target.
     """
@@ -95,14 +100,15 @@ def lookup_word_pair(word_pairs: DataFrame, index: DataFrame, src_lang: str, tgt
     from_src, from_tgt = small_side(src), small_side(tgt)
     numbers = asked.join(from_src.select(F.col("word").alias("src_word"), F.col("number").alias("s"), "places"), "src_word")
     numbers = numbers.join(from_tgt.select(F.col("word").alias("tgt_word"), F.col("number").alias("t")), "tgt_word").select("s", "t", "places").distinct()
+    listed = numbers.groupBy("s", "places", F.shiftright("t", LIST_BITS).alias("part")).agg(F.sort_array(F.collect_list("t")).alias("ts"))
     place = F.explode(F.sequence(F.lit(0), F.col("places") - 1))
     kind, tf = source.schema["pair_id"].dataType.simpleString(), source.schema["tf"].dataType.simpleString()
-    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("pair_id", kind), ("tf", tf), ("ts", "array<int>"))]
-    wanted = numbers.select("s", place.alias("place"), "t", *nothing)
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("pair_id", kind), ("tf", tf))]
+    wanted = listed.select("s", place.alias("place"), "part", *nothing, "ts")
     held = target.join(from_tgt.select("token", "number"), "token").groupBy("pair_id").agg(F.sort_array(F.collect_set("number")).alias("ts"))
     offered = source.join(from_src.select("token", F.col("number").alias("s"), "places"), "token").join(held, "pair_id")
-    offered = offered.select("s", F.pmod(F.xxhash64("pair_id"), "places").cast("int").alias("place"), F.lit(None).cast("int").alias("t"), "pair_id", "tf", "ts")
-    together = spread(wanted.unionByName(offered), "s", "place").sortWithinPartitions("s", "place", F.col("t").asc_nulls_last())
+    offered = offered.select("s", F.pmod(F.xxhash64("pair_id"), "places").cast("int").alias("place"), F.lit(None).cast("int").alias("part"), "pair_id", "tf", "ts")
+    together = spread(wanted.unionByName(offered), "s", "place").sortWithinPartitions("s", "place", F.col("part").asc_nulls_last())
     found = together.mapInArrow(_both_held, f"s int, t int, pair_id {kind}, tf {tf}")
     found = found.join(from_src.select(F.col("number").alias("s"), F.col("word").alias("src_word"), F.col("df").alias("s_df")), "s")
     found = found.join(from_tgt.select(F.col("number").alias("t"), F.col("word").alias("tgt_word"), F.col("df").alias("t_df"), F.col("token").alias("t_token")), "t")
@@ -125,7 +131,7 @@ def _numbered(words: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def _both_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The asked pairs that postings hold, ``(s, t, pair_id, tf)``, from rows sorted by word and place, asked pairs first."""
+    """The asked pairs that postings hold, ``(s, t, pair_id, tf)``, from rows sorted by word and place, asked lists first."""
     last, carried = None, np.empty(0, np.int64)
     for batch in batches:
         if not batch.num_rows:
@@ -135,9 +141,10 @@ def _both_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (s[0], place[0]) != last:
             carried = carried[:0]
         asks = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-        asked = np.concatenate([carried, group[asks] << 32 | batch.column(2).drop_null().to_numpy()])
+        wanted = batch.column(5).filter(pa.array(asks))
+        asked = np.concatenate([carried, np.repeat(group[asks] << 32, wanted.value_lengths().to_numpy()) | wanted.flatten().to_numpy()])
         rows = np.flatnonzero(~asks)
-        # Asked pairs come by word, place and number, so their keys ascend.
+        # Asked lists come by word, place and part and are sorted, so their keys ascend.
         for part in np.array_split(rows, max(len(rows) // 4096, 1)) if len(rows) and len(asked) else ():
             lists = batch.column(5).take(pa.array(part))
             row = np.repeat(part, lists.value_lengths().to_numpy())

@@ -119,8 +119,9 @@ def lookup_word_pair(spark: SparkSession, sf: str) -> DataFrame:
     stored = stored_index(spark, lexical.parallel_counted(I.parallel_pairs(spark, sf), "za", "eng"))
     both = [stored.postings(lang).withColumn("lang", F.lit(lang)) for lang in ("za", "eng")]
     words = I.documents(spark, sf).select(T.tokenize_ws(F.col("text")).alias("t"))
-    following = F.arrays_zip(F.col("t").alias("src_word"), F.slice("t", 2, F.size("t")).alias("tgt_word"))
-    asked = words.where(F.size("t") > 1).select(F.inline(following)).where("tgt_word is not null")
+    following = F.arrays_zip(F.col("t").alias("src_word"), F.slice("t", 2, 2**31 - 1).alias("tgt_word"))
+    # The outer form, and no filter on the words, so that each text is cut into words once in a pass.
+    asked = words.select(F.inline_outer(following)).where("tgt_word is not null")
     return lexical.lookup_word_pair(asked, both[0].unionByName(both[1]), "za", "eng")
 
 
