@@ -98,9 +98,13 @@ def lookup_word_pair(word_pairs: DataFrame, index: DataFrame, src_lang: str, tgt
     src = src.withColumn("places", F.ceil(F.col("df") / ROWS_TOGETHER).cast("int"))
     # Each a row per asked word of the index; broadcast where measured to fit, and joined by word otherwise.
     from_src, from_tgt = small_side(src), small_side(tgt)
-    numbers = asked.join(from_src.select(F.col("word").alias("src_word"), F.col("number").alias("s"), "places"), "src_word")
-    numbers = numbers.join(from_tgt.select(F.col("word").alias("tgt_word"), F.col("number").alias("t")), "tgt_word").select("s", "t", "places").distinct()
-    listed = numbers.groupBy("s", "places", F.shiftright("t", LIST_BITS).alias("part")).agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    numbers = asked.join(from_src.select(F.col("word").alias("src_word"), F.col("number").alias("s")), "src_word")
+    numbers = numbers.join(from_tgt.select(F.col("word").alias("tgt_word"), F.col("number").alias("t")), "tgt_word")
+    # Both numbers in one, which is quicker to tell apart.
+    numbers = numbers.select(F.shiftleft(F.col("s").cast("long"), 32).bitwiseOR(F.col("t")).alias("st")).distinct()
+    numbers = numbers.select(F.shiftright("st", 32).cast("int").alias("s"), F.col("st").bitwiseAND(2**32 - 1).cast("int").alias("t"))
+    listed = numbers.groupBy("s", F.shiftright("t", LIST_BITS).alias("part")).agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    listed = listed.join(from_src.select(F.col("number").alias("s"), "places"), "s")
     place = F.explode(F.sequence(F.lit(0), F.col("places") - 1))
     kind, tf = source.schema["pair_id"].dataType.simpleString(), source.schema["tf"].dataType.simpleString()
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (("pair_id", kind), ("tf", tf))]
